@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from claimledger.functions.expressions import status_text
 from claimledger.operators import lookups, measures
-from claimledger.operators.joins import Side
+from claimledger.operators.joins import KeyUse, lookup
 from claimledger.operators.lookups import ENCOUNTER
 from claimledger.plans import charge_fact as fact_plan
 from claimledger.plans import encounter_balances as balance_plan
@@ -27,17 +27,17 @@ SCOPE_NUMBERS = ["5", "10", "25", "100", "1000"]
 Job = Callable[[Billing], DataFrame]
 
 
-def _rows(b: Billing) -> DataFrame:
-    return lookups.encounter_rows(b.patient_encounter)
+def _use(b: Billing) -> KeyUse:
+    return KeyUse(lookups.encounter_rows(b.patient_encounter))
 
 
 def _encounters(b: Billing) -> DataFrame:
-    return lookups.one_per_encounter(_rows(b))
+    return lookups.one_per_encounter(_use(b).df)
 
 
 def _scope(b: Billing, numbers: list[str] | None) -> DataFrame:
     guarantors = lookups.chosen_guarantors(b.patient_encounter, SCOPE_PRACTICE, numbers)
-    return lookups.scoped_encounters(_rows(b), guarantors).select(*ENCOUNTER)
+    return lookups.scoped_encounters(_use(b), guarantors, few=numbers is not None).select(*ENCOUNTER)
 
 
 def encounter_scope(b: Billing) -> DataFrame:
@@ -53,7 +53,7 @@ def encounter_attributes(b: Billing) -> DataFrame:
 
 
 def account_lookup(b: Billing) -> DataFrame:
-    found = lookups.with_description(_encounters(b), lookups.account_side(b.accounts), ["guar_id"], _rows(b))
+    found = lookups.with_description(_encounters(b), lookups.account_side(b.accounts), ["guar_id"], _use(b))
     return found.select(*ENCOUNTER, "guar_id", "acct_id", "acct_nbr")
 
 
@@ -80,37 +80,38 @@ def bad_debt_move(b: Billing) -> DataFrame:
 
 def encounter_totals(b: Billing) -> DataFrame:
     encounters = _encounters(b).select(*ENCOUNTER, "enc_status")
-    totals = measures.with_totals(balance_plan.with_encounter_money(encounters, b), "enc")
+    money = balance_plan.with_encounter_money(encounters, balance_plan.encounter_sums(b))
+    totals = measures.with_totals(money, "enc")
     return totals.select(*ENCOUNTER, *[f"enc_{name}" for name in measures.TOTALS])
 
 
 def account_totals(b: Billing) -> DataFrame:
     encounters = _encounters(b).select(*ENCOUNTER, "guar_id", "enc_status")
-    guarantors = encounters.select("guar_id").distinct()
-    money = balance_plan.with_encounter_money(encounters, b)
-    totals = measures.with_account_totals(money, Side(guarantors, guarantors), _rows(b))
+    money = balance_plan.with_encounter_money(encounters, balance_plan.encounter_sums(b))
+    totals = measures.with_account_totals(money, _use(b))
     return totals.select(*ENCOUNTER, "guar_id", *measures.ACCOUNT_COLUMNS)
 
 
 def relationship_desc(b: Billing) -> DataFrame:
-    found = lookups.with_relationship(_encounters(b), b.person_relationship, b.code_tables, _rows(b))
+    side = lookups.relationship_side(b.person_relationship, b.code_tables)
+    found = lookups.with_description(_encounters(b), side, ["guar_id", "person_id"], _use(b))
     return found.select(*ENCOUNTER, "relationship_id", "relationship_desc")
 
 
 def practice_name(b: Billing) -> DataFrame:
-    found = lookups.with_description(_encounters(b), lookups.practice_side(b.practice), ["practice_id"], _rows(b))
+    found = lookups.with_description(_encounters(b), lookups.practice_side(b.practice), ["practice_id"], _use(b))
     return found.select(*ENCOUNTER, "practice_name")
 
 
 def guarantor_name(b: Billing) -> DataFrame:
     people = lookups.guarantor_person_side(lookups.person_side(b.person))
     sides = [lookups.employer_side(b.employer_mstr), people]
-    found = lookups.lookup(_encounters(b), sides, ["guar_id"], spread=ENCOUNTER, measured_on=_rows(b))
+    found = lookup(_encounters(b), sides, ["guar_id"], _use(b).hot("guar_id"), spread=ENCOUNTER)
     return lookups.with_guarantor_name(found).select(*ENCOUNTER, "guar_id", "guar_type", "guar_name")
 
 
 def person_name(b: Billing) -> DataFrame:
-    found = lookups.with_description(_encounters(b), lookups.person_side(b.person), ["person_id"], _rows(b))
+    found = lookups.with_description(_encounters(b), lookups.person_side(b.person), ["person_id"], _use(b))
     return found.select(*ENCOUNTER, "person_id", "person_name")
 
 
@@ -119,13 +120,13 @@ def status_desc(b: Billing) -> DataFrame:
 
 
 def location_name(b: Billing) -> DataFrame:
-    found = lookups.with_description(_encounters(b), lookups.location_side(b.location_mstr), ["location_id"], _rows(b))
+    found = lookups.with_description(_encounters(b), lookups.location_side(b.location_mstr), ["location_id"], _use(b))
     return found.select(*ENCOUNTER, "location_id", "location_name")
 
 
 def patient_type_desc(b: Billing) -> DataFrame:
     types = lookups.master_list_side(b.mstr_lists, lookups.PATIENT_TYPES, "pat_type", "pat_type_desc")
-    found = lookups.with_description(_encounters(b), types, ["pat_type"], _rows(b))
+    found = lookups.with_description(_encounters(b), types, ["pat_type"], _use(b))
     return found.select(*ENCOUNTER, "pat_type", "pat_type_desc")
 
 
@@ -165,7 +166,8 @@ def charge_trans_sums(b: Billing) -> DataFrame:
 
 def charge_guarantor(b: Billing) -> DataFrame:
     charges = fact_plan.with_insurance_balance(fact_plan.summed_charges(b.charges, ALL_PRACTICES))
-    return typed(fact_plan.with_guarantor(charges, b, ALL_PRACTICES), CHARGES_SUMMED)
+    use = fact_plan.key_use(b.charges, ALL_PRACTICES)
+    return typed(fact_plan.with_guarantor(charges, b.patient_encounter, use), CHARGES_SUMMED)
 
 
 def charge_fact(b: Billing) -> DataFrame:

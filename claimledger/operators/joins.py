@@ -2,19 +2,21 @@
 
 Every join of the jobs looks up at most one row per key. Three cases, decided on measured sizes:
 
-* the looked-up side is small: it is broadcast, and the larger side is not shuffled at all;
-* no key is hot: a plain equi-join, left to Spark;
-* some keys are hot: only their rows are cut into slices on the large side, and only their single
-  row is repeated per slice on the other. All other keys stay as they are.
+* no key is hot: a plain equi-join. Spark broadcasts the looked-up side below its own size limit,
+  and no shuffle partition can be burdened by one key;
+* some keys are hot, and the looked-up side is small: it is broadcast, and nothing is shuffled;
+* some keys are hot, and the side is large: only the rows of hot keys are cut into slices, and only
+  the single row of each hot key is repeated per slice on the other side.
 
 Slicing changes where rows are joined, never which rows come out.
 """
 
 import math
 from collections.abc import Callable, Sequence
-from functools import cached_property
+from functools import cached_property, reduce
+from operator import or_
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Row
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -38,6 +40,11 @@ MERGE_GROUPS = 64
 
 HotKeys = list[tuple[int, int]]
 
+# Rows with a NULL key match nothing. All of them count as one key, and as slices of it cost nothing
+# on the other side, they are spread as widely as can be.
+NULL_KEY = 0
+NULL_KEY_HOT = (NULL_KEY, 1)
+
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     """One row per key: the least by its other columns. Rows with a NULL key never match and go.
@@ -55,16 +62,19 @@ class Side:
     """The looked-up side of a join: ``rows`` holds one row per key.
 
     ``probe`` is what its size is judged by: a table with the same text columns, at least as many
-    rows, and cheap to count.
+    rows, and cheap to count. It is looked at only when it decides something.
     """
 
-    def __init__(self, rows: DataFrame, probe: DataFrame):
+    def __init__(self, rows: DataFrame, probe: DataFrame, original: "Side | None" = None):
         self.rows = rows
         self.probe = probe
+        self.original = original
 
     @cached_property
     def small(self) -> bool:
         """Whether the side is within the broadcast bounds. A plain Parquet count reads footers only."""
+        if self.original is not None:
+            return self.original.small
         count = self.probe.count()
         if count > MAX_BROADCAST_ROWS:
             return False
@@ -74,10 +84,8 @@ class Side:
         return text_bytes + count * FIXED_WIDTH * len(fields) <= MAX_BROADCAST_BYTES
 
     def renamed(self, names: dict[str, str]) -> "Side":
-        """The same side for another role, sized once."""
-        side = Side(self.rows.withColumnsRenamed(names), self.probe)
-        side.__dict__["small"] = self.small
-        return side
+        """The same side for another role."""
+        return Side(self.rows.withColumnsRenamed(names), self.probe, original=self)
 
 
 def keyed(df: DataFrame, keys: Sequence[str]) -> Side:
@@ -85,32 +93,55 @@ def keyed(df: DataFrame, keys: Sequence[str]) -> Side:
 
 
 def _key_hash(keys: Sequence[str]) -> Column:
-    """One number per key. Rows with a NULL key, which can be many, count as one key."""
-    missing = F.lit(False)
-    for key in keys:
-        missing = missing | F.col(key).isNull()
-    return F.when(missing, F.lit(0)).otherwise(F.xxhash64(*keys))
+    """One number per key."""
+    return F.when(_missing(keys), F.lit(NULL_KEY)).otherwise(F.xxhash64(*keys))
+
+
+def _missing(keys: Sequence[str]) -> Column:
+    return reduce(or_, [F.col(key).isNull() for key in keys])
 
 
-def hot_keys(df: DataFrame, keys: Sequence[str]) -> HotKeys:
-    """The hot keys of ``df`` as (key hash, number of slices), at most ``MAX_HOT_KEYS`` of them.
+class KeyUse:
+    """How the rows of a table spread over their keys, measured once when first asked for.
 
-    One scan of the key columns into fixed-size sketches. They only steer the slicing, so neither
-    their error nor a hash collision can change a result.
+    The table stands for the left side of a join: it has its key columns and, up to copies and rows
+    that were filtered out, its rows, without all that was joined on since.
     """
-    rows = df.count()
-    if rows <= SLICE_ROWS:
-        return []
-    most = max(SLICE_ROWS, rows / MAX_HOT_KEYS)
-    top = (
-        df.select(_key_hash(keys).alias("key"), F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part"))
-        .groupBy("part")
-        .agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED_KEYS})").alias("sketch"))
-        .agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
-        .select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})").alias("top"))
-        .first()["top"]
-    )
-    return [(t["item"], math.ceil(t["count"] / most)) for t in top if t["count"] > most]
+
+    def __init__(self, df: DataFrame):
+        self.df = df
+        self._hot: dict[tuple[str, ...], HotKeys] = {}
+
+    @cached_property
+    def rows(self) -> int:
+        return self.df.count()
+
+    def hot(self, *keys: str) -> HotKeys:
+        """The hot keys as (key hash, number of slices), at most ``MAX_HOT_KEYS`` of them.
+
+        One scan of the key columns into fixed-size sketches; none for a table that a single task
+        can take. The sketches only steer the slicing, so neither their error nor a hash collision
+        can change a result.
+        """
+        if self.rows <= SLICE_ROWS:
+            return []
+        if keys not in self._hot:
+            most = max(SLICE_ROWS, self.rows / MAX_HOT_KEYS)
+            self._hot[keys] = [
+                (top["item"], math.ceil(top["count"] / most)) for top in self._most_used(keys) if top["count"] > most
+            ]
+        return self._hot[keys]
+
+    def _most_used(self, keys: Sequence[str]) -> list[Row]:
+        part = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part")
+        return (
+            self.df.select(_key_hash(keys).alias("key"), part)
+            .groupBy("part")
+            .agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED_KEYS})").alias("sketch"))
+            .agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
+            .select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})").alias("top"))
+            .first()["top"]
+        )
 
 
 def sliced_join(
@@ -129,19 +160,17 @@ def sliced_join(
     keys = list(keys)
     slices = F.broadcast(left.sparkSession.createDataFrame(hot, "_key bigint, _slices int"))
 
-    def marked(df: DataFrame) -> DataFrame:
-        return df.withColumn("_key", _key_hash(keys)).join(slices, "_key", "left")
+    def with_slices(df: DataFrame) -> DataFrame:
+        marked = df.withColumn("_key", _key_hash(keys)).join(slices, "_key", "left")
+        return marked.withColumn("_slices", F.coalesce("_slices", F.lit(1))).drop("_key")
 
-    count = F.coalesce(F.col("_slices"), F.lit(1))
-    out = (
-        marked(left)
-        .withColumn("_slice", F.pmod(F.xxhash64(*spread), count).cast("int"))
-        .drop("_key", "_slices")
-    )
+    slice_of_row = F.pmod(
+        F.xxhash64(*spread), F.when(_missing(keys), F.lit(MAX_HOT_KEYS)).otherwise(F.col("_slices"))
+    ).cast("int")
+    out = with_slices(left).withColumn("_slice", slice_of_row).drop("_slices")
     for right in rights:
-        repeated = (
-            marked(right).withColumn("_slice", F.explode(F.sequence(F.lit(0), count - 1))).drop("_key", "_slices")
-        )
+        every_slice = F.explode(F.sequence(F.lit(0), F.col("_slices") - 1))
+        repeated = with_slices(right).withColumn("_slice", every_slice).drop("_slices")
         out = out.join(repeated, [*keys, "_slice"], how)
     return out.drop("_slice")
 
@@ -150,30 +179,26 @@ def lookup(
     left: DataFrame,
     sides: Side | Sequence[Side],
     keys: Sequence[str],
+    hot: HotKeys,
     spread: Sequence[str],
     how: str = "left",
-    measured_on: DataFrame | None = None,
     collapse: Callable[[DataFrame], DataFrame] | None = None,
 ) -> DataFrame:
     """Join ``left`` to each of ``sides`` on ``keys``. No row of ``left`` comes out twice.
 
-    ``measured_on`` is a table near the source with the key columns of ``left``, on which to find the
-    hot keys without running everything that leads to ``left``. ``collapse`` merges the rows of
-    ``left`` that agree on ``spread``; it runs only if there are hot keys, so that copies of a row,
-    which no slicing can part, are merged before the shuffle.
+    ``hot`` are the hot keys of ``left`` and ``spread`` the columns that tell their rows apart.
+    ``collapse`` merges the rows that agree on ``spread``; it runs only if rows are to be sliced, so
+    that copies of a row, which no slicing can part, are merged before the shuffle.
     """
     keys = list(keys)
     large = []
     for side in [sides] if isinstance(sides, Side) else sides:
-        if side.small:
+        if not hot:
+            left = left.join(side.rows, keys, how)
+        elif side.small:
             left = left.join(F.broadcast(side.rows), keys, how)
         else:
             large.append(side.rows)
     if not large:
         return left
-    hot = hot_keys(left if measured_on is None else measured_on, keys)
-    if hot:
-        return sliced_join(left if collapse is None else collapse(left), large, keys, hot, spread, how)
-    for right in large:
-        left = left.join(right, keys, how)
-    return left
+    return sliced_join(left if collapse is None else collapse(left), large, keys, hot, spread, how)

@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimledger.functions.expressions import EMPLOYER, PERSON, encounter_numbers, full_name
-from claimledger.operators.joins import Side, keyed, lookup
+from claimledger.operators.joins import NULL_KEY_HOT, KeyUse, Side, keyed, lookup
 
 ENCOUNTER = ["practice_id", "enc_id"]
 
@@ -61,12 +61,25 @@ def chosen_guarantors(
     return Side(guarantors, guarantors)
 
 
-def scoped_encounters(rows: DataFrame, guarantors: Side) -> DataFrame:
-    """Every encounter of the chosen guarantors, in whatever practice, one row each."""
-    owned = rows.where(F.col("guar_id").isNotNull())
-    scoped = lookup(
-        owned, guarantors, ["guar_id"], spread=rows.columns, how="left_semi", collapse=lambda df: df.distinct()
-    )
+def scoped_encounters(use: KeyUse, guarantors: Side, few: bool = False) -> DataFrame:
+    """Every encounter of the chosen guarantors, in whatever practice, one row each.
+
+    ``use`` holds the encounter rows. With ``few``, the guarantors are expected to be few: if they
+    are, the encounters are filtered where they are read.
+    """
+    owned = use.df.where(F.col("guar_id").isNotNull())
+    if few and guarantors.small:
+        scoped = owned.join(F.broadcast(guarantors.rows), "guar_id", "left_semi")
+    else:
+        scoped = lookup(
+            owned,
+            guarantors,
+            ["guar_id"],
+            use.hot("guar_id"),
+            spread=owned.columns,
+            how="left_semi",
+            collapse=lambda df: df.distinct(),
+        )
     return one_per_encounter(scoped)
 
 
@@ -100,20 +113,20 @@ def location_side(location_mstr: DataFrame) -> Side:
     return keyed(location_mstr.select("location_id", "location_name"), ["location_id"])
 
 
-def relationship_side(person_relationship: DataFrame) -> Side:
+def relationship_side(person_relationship: DataFrame, code_tables: DataFrame) -> Side:
+    """How a patient (person_id) is related to a guarantor: the code, and the text of the code."""
     pairs = person_relationship.select(
         F.col("person_id").alias("guar_id"),
         F.col("related_person_id").alias("person_id"),
         F.col("relation_code").alias("relationship_id"),
     )
-    return keyed(pairs, ["guar_id", "person_id"])
-
-
-def relation_code_side(code_tables: DataFrame) -> Side:
     codes = code_tables.where(F.col("code_type") == RELATION_CODES).select(
         F.col("code").alias("relationship_id"), F.col("description").alias("relationship_desc")
     )
-    return keyed(codes, ["relationship_id"])
+    keys = ["guar_id", "person_id"]
+    hot = KeyUse(pairs).hot("relationship_id")
+    coded = lookup(pairs, keyed(codes, ["relationship_id"]), ["relationship_id"], hot, spread=keys)
+    return keyed(coded, keys)
 
 
 def master_list_side(mstr_lists: DataFrame, list_type: str, key: str, text: str) -> Side:
@@ -127,25 +140,15 @@ def payer_side(payer_mstr: DataFrame, mstr_lists: DataFrame) -> Side:
     """Payer with name, financial class and its text, joined once for all three roles."""
     payers = payer_mstr.select("payer_id", "payer_name", F.col("financial_class").alias("fc_id"))
     classes = master_list_side(mstr_lists, FINANCIAL_CLASSES, "fc_id", "fin_class")
-    return keyed(lookup(payers, classes, ["fc_id"], spread=["payer_id", "payer_name"]), ["payer_id"])
+    hot = KeyUse(payers).hot("fc_id")
+    return keyed(lookup(payers, classes, ["fc_id"], hot, spread=["payer_id", "payer_name"]), ["payer_id"])
 
 
 # Lookups
 
 
-def with_description(
-    encounters: DataFrame, side: Side, keys: Sequence[str], measured_on: DataFrame | None = None
-) -> DataFrame:
-    return lookup(encounters, side, keys, spread=ENCOUNTER, measured_on=measured_on)
-
-
-def with_relationship(
-    encounters: DataFrame, person_relationship: DataFrame, code_tables: DataFrame, measured_on: DataFrame
-) -> DataFrame:
-    """How the patient is related to the guarantor: the code, then the text of the code."""
-    pairs, codes = relationship_side(person_relationship), relation_code_side(code_tables)
-    encounters = with_description(encounters, pairs, ["guar_id", "person_id"], measured_on)
-    return with_description(encounters, codes, ["relationship_id"])
+def with_description(encounters: DataFrame, side: Side, keys: Sequence[str], use: KeyUse) -> DataFrame:
+    return lookup(encounters, side, keys, use.hot(*keys), spread=ENCOUNTER)
 
 
 def with_guarantor_name(encounters: DataFrame) -> DataFrame:
@@ -156,13 +159,16 @@ def with_guarantor_name(encounters: DataFrame) -> DataFrame:
     return encounters.withColumn("guar_name", name).drop("employer_name", "guar_person_name")
 
 
+def of_slots(encounter_payer: DataFrame) -> DataFrame:
+    return encounter_payer.where(F.col("cob").isin(*PAYER_SLOTS) & F.col("enc_id").isNotNull())
+
+
 def payer_slots(encounter_payer: DataFrame) -> DataFrame:
     """One row per encounter with the payers of its three slots, in one pass."""
     slots = [
         F.min(F.when(F.col("cob") == slot, F.col("payer_id"))).alias(f"payer{slot}_id") for slot in PAYER_SLOTS
     ]
-    wanted = F.col("cob").isin(*PAYER_SLOTS) & F.col("enc_id").isNotNull()
-    return encounter_payer.where(wanted).groupBy("enc_id").agg(*slots)
+    return of_slots(encounter_payer).groupBy("enc_id").agg(*slots)
 
 
 def with_payers(encounters: DataFrame, encounter_payer: DataFrame) -> DataFrame:
@@ -171,6 +177,8 @@ def with_payers(encounters: DataFrame, encounter_payer: DataFrame) -> DataFrame:
 
 
 def with_payer_names(encounters: DataFrame, encounter_payer: DataFrame, payers: Side) -> DataFrame:
+    # Most encounters may leave a slot empty, so the NULL key is taken as hot from the start.
+    hot = KeyUse(of_slots(encounter_payer)).hot("payer_id") or [NULL_KEY_HOT]
     for slot in PAYER_SLOTS:
         role = {
             "payer_id": f"payer{slot}_id",
@@ -178,6 +186,5 @@ def with_payer_names(encounters: DataFrame, encounter_payer: DataFrame, payers:
             "fc_id": f"payer{slot}_fc_id",
             "fin_class": f"payer{slot}_fin_class",
         }
-        filled = encounter_payer.where(F.col("cob") == slot).select(F.col("payer_id").alias(f"payer{slot}_id"))
-        encounters = with_description(encounters, payers.renamed(role), [f"payer{slot}_id"], measured_on=filled)
+        encounters = lookup(encounters, payers.renamed(role), [f"payer{slot}_id"], hot, spread=ENCOUNTER)
     return encounters

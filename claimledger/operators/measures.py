@@ -7,7 +7,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from claimledger.functions.expressions import BAD_DEBT_STATUS, money, zero_if_null
-from claimledger.operators.joins import Side, lookup
+from claimledger.operators.joins import KeyUse, Side, lookup
 from claimledger.sources.schemas import MONEY
 
 # Codes of the transaction tables.
@@ -136,7 +136,8 @@ def transaction_sums(
         return lines.groupBy(*line).agg(F.sum("paid_amt").alias("paid_amt"), F.sum("adj_amt").alias("adj_amt"))
 
     headers = Side(header_weights(transactions, header_keys), transactions.select(*header_keys))
-    matched = lookup(details, headers, header_keys, spread=by, how="inner", collapse=collapse)
+    hot = KeyUse(details.select(*header_keys)).hot(*header_keys)
+    matched = lookup(details, headers, header_keys, hot, spread=by, how="inner", collapse=collapse)
 
     def weighted(name: str, measure: TransactionMeasure) -> Column:
         amount, count = money(F.col(measure.amount)), F.col(f"{name}_count")
@@ -205,8 +206,8 @@ def with_account_columns(encounters: DataFrame) -> DataFrame:
     return with_totals(with_zeros(encounters, list(ACCOUNT_SUMS)), "acct")
 
 
-def with_account_totals(encounters: DataFrame, guarantors: Side, measured_on: DataFrame) -> DataFrame:
+def with_account_totals(encounters: DataFrame, use: KeyUse) -> DataFrame:
     """The 20 account columns on every encounter of the guarantor."""
-    sums = Side(account_sums(encounters), guarantors.probe)
-    spread = ["practice_id", "enc_id"]
-    return with_account_columns(lookup(encounters, sums, ["guar_id"], spread, measured_on=measured_on))
+    sums = Side(account_sums(encounters), use.df.select("guar_id").distinct())
+    found = lookup(encounters, sums, ["guar_id"], use.hot("guar_id"), spread=["practice_id", "enc_id"])
+    return with_account_columns(found)

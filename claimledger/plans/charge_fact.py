@@ -5,7 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from claimledger.operators.joins import Side, keyed, lookup
+from claimledger.operators.joins import KeyUse, Side, keyed, lookup
 from claimledger.operators.measures import (
     TRANSACTION_MEASURES,
     charge_sums,
@@ -46,7 +46,9 @@ def with_insurance_balance(charges: DataFrame) -> DataFrame:
     return charges.withColumn("chginsbal", total_of(["chgcob1", "chgcob2", "chgcob3"]))
 
 
-def with_transactions(charges: DataFrame, billing: Billing, practices: Sequence[str]) -> DataFrame:
+def with_transactions(
+    charges: DataFrame, billing: Billing, practices: Sequence[str], use: KeyUse
+) -> DataFrame:
     """The six measures by charge, zero where a charge has none.
 
     Only posted lines count, and a header is found by transaction id alone: a line counts once per
@@ -61,30 +63,40 @@ def with_transactions(charges: DataFrame, billing: Billing, practices: Sequence[
         unposted_payments=False,
         names=TRANSACTION_SUMS,
     )
-    spread = [c for c in GRAIN if c in charges.columns]
-    measured_on = of_practices(billing.charges, practices)
-    joined = lookup(charges, Side(sums, details.select(*CHARGE)), CHARGE, spread, measured_on=measured_on)
+    joined = lookup(
+        charges,
+        Side(sums, details.select(*CHARGE)),
+        CHARGE,
+        use.hot(*CHARGE),
+        spread=[c for c in GRAIN if c in charges.columns],
+    )
     return with_zeros(joined, TRANSACTION_SUMS.values())
 
 
 def charge_transactions(billing: Billing, practices: Sequence[str]) -> DataFrame:
     """One row per (practice, charge), each charge included."""
-    charges = of_practices(billing.charges, practices).select(*CHARGE).distinct()
-    return with_transactions(charges, billing, practices)
+    lines = of_practices(billing.charges, practices).select(*CHARGE)
+    return with_transactions(lines.distinct(), billing, practices, KeyUse(lines))
+
 
+def key_use(charges: DataFrame, practices: Sequence[str]) -> KeyUse:
+    """How charge lines spread over encounters and over charges."""
+    keys = of_practices(charges, practices).select("practice_id", F.col("source_id").alias("enc_id"), "charge_id")
+    return KeyUse(keys)
 
-def with_guarantor(charges: DataFrame, billing: Billing, practices: Sequence[str]) -> DataFrame:
+
+def with_guarantor(charges: DataFrame, patient_encounter: DataFrame, use: KeyUse) -> DataFrame:
     """Guarantor of the charge's encounter, found by encounter id; a charge without one is dropped."""
-    owners = keyed(billing.patient_encounter.select("enc_id", "guar_id", "guar_type"), ["enc_id"])
-    measured_on = of_practices(billing.charges, practices).select(F.col("source_id").alias("enc_id"))
-    return lookup(charges, owners, ["enc_id"], spread=GRAIN, measured_on=measured_on).where(
-        F.col("guar_id").isNotNull()
-    )
+    owners = keyed(patient_encounter.select("enc_id", "guar_id", "guar_type"), ["enc_id"])
+    found = lookup(charges, owners, ["enc_id"], use.hot("enc_id"), spread=GRAIN)
+    return found.where(F.col("guar_id").isNotNull())
 
 
 def charge_fact(billing: Billing, practices: Sequence[str]) -> DataFrame:
+    use = key_use(billing.charges, practices)
     charges = with_insurance_balance(summed_charges(billing.charges, practices))
-    fact = with_transactions(with_guarantor(charges, billing, practices), billing, practices)
+    owned = with_guarantor(charges, billing.patient_encounter, use)
+    fact = with_transactions(owned, billing, practices, use)
     fact = fact.withColumn("chgencbal", total_of(["chgamt", *TRANSACTION_SUMS.values()]))
     return typed(fact, CHARGE_FACT)
 

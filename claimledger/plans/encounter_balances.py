@@ -7,17 +7,25 @@ from pyspark.sql import functions as F
 
 from claimledger.functions.expressions import status_text
 from claimledger.operators import lookups, measures
-from claimledger.operators.joins import Side, lookup
+from claimledger.operators.joins import KeyUse, Side, lookup
 from claimledger.operators.lookups import ENCOUNTER
 from claimledger.sources.billing import Billing
 from claimledger.sources.schemas import ENCOUNTER_BALANCES, typed
 
 
-def with_encounter_money(encounters: DataFrame, billing: Billing) -> DataFrame:
-    """Charge sums, transaction sums and the bad debt move."""
-    encounters = measures.with_sums(encounters, measures.encounter_charge_sums(billing.charges))
-    transactions = measures.encounter_transaction_sums(billing.trans_detail, billing.transactions)
-    return measures.with_bad_debt(measures.with_sums(encounters, transactions))
+def encounter_sums(billing: Billing) -> list[DataFrame]:
+    """The charge sums and the transaction sums by encounter."""
+    return [
+        measures.encounter_charge_sums(billing.charges),
+        measures.encounter_transaction_sums(billing.trans_detail, billing.transactions),
+    ]
+
+
+def with_encounter_money(encounters: DataFrame, sums: Sequence[DataFrame]) -> DataFrame:
+    """The sums by encounter, and the bad debt move."""
+    for by_encounter in sums:
+        encounters = measures.with_sums(encounters, by_encounter)
+    return measures.with_bad_debt(encounters)
 
 
 def _facts_of(scoped: DataFrame, billing: Billing) -> Billing:
@@ -41,33 +49,38 @@ def encounter_balances(
     before the money, while rows are narrow. Everything keyed by guarantor is joined last and together:
     the account sums need the money of all encounters first, and the rows then move once for all four.
     """
-    rows = lookups.encounter_rows(billing.patient_encounter)
+    use = KeyUse(lookups.encounter_rows(billing.patient_encounter))
     guarantors = lookups.chosen_guarantors(billing.patient_encounter, practices, numbers)
-    scoped = lookups.scoped_encounters(rows, guarantors)
+    scoped = lookups.scoped_encounters(use, guarantors, few=numbers is not None)
     if numbers is not None:
         billing = _facts_of(scoped, billing)
+    sums = encounter_sums(billing)
 
     persons = lookups.person_side(billing.person)
     payers = lookups.payer_side(billing.payer_mstr, billing.mstr_lists)
     types = lookups.master_list_side(billing.mstr_lists, lookups.PATIENT_TYPES, "pat_type", "pat_type_desc")
-    wide = lookups.with_description(scoped, lookups.practice_side(billing.practice), ["practice_id"], rows)
-    wide = lookups.with_description(wide, lookups.location_side(billing.location_mstr), ["location_id"], rows)
-    wide = lookups.with_description(wide, types, ["pat_type"], rows)
-    wide = lookups.with_description(wide, persons, ["person_id"], rows)
-    wide = lookups.with_relationship(wide, billing.person_relationship, billing.code_tables, rows)
+    relationships = lookups.relationship_side(billing.person_relationship, billing.code_tables)
+    wide = scoped
+    for side, keys in (
+        (lookups.practice_side(billing.practice), ["practice_id"]),
+        (lookups.location_side(billing.location_mstr), ["location_id"]),
+        (types, ["pat_type"]),
+        (persons, ["person_id"]),
+        (relationships, ["guar_id", "person_id"]),
+    ):
+        wide = lookups.with_description(wide, side, keys, use)
     wide = lookups.with_payers(wide, billing.encounter_payer)
     wide = lookups.with_payer_names(wide, billing.encounter_payer, payers)
+    wide = with_encounter_money(wide, sums)
 
-    owners = scoped.select(*ENCOUNTER, "guar_id", "enc_status")
-    accounts = Side(measures.account_sums(with_encounter_money(owners, billing)), guarantors.probe)
+    owners = with_encounter_money(scoped.select(*ENCOUNTER, "guar_id", "enc_status"), sums)
     by_guarantor = [
         lookups.account_side(billing.accounts),
         lookups.employer_side(billing.employer_mstr),
         lookups.guarantor_person_side(persons),
-        accounts,
+        Side(measures.account_sums(owners), guarantors.probe),
     ]
-    wide = with_encounter_money(wide, billing)
-    wide = lookup(wide, by_guarantor, ["guar_id"], spread=ENCOUNTER, measured_on=rows)
+    wide = lookup(wide, by_guarantor, ["guar_id"], use.hot("guar_id"), spread=ENCOUNTER)
     wide = lookups.with_guarantor_name(wide).withColumn("enc_status_desc", status_text("enc_status"))
     wide = measures.with_account_columns(measures.with_totals(wide, "enc"))
     return typed(wide, ENCOUNTER_BALANCES)
