@@ -184,7 +184,10 @@ STEPS = {
         group by all""",
     "owned": """
         select s.*, s.chgcob1 + s.chgcob2 + s.chgcob3 chginsbal, e.guar_id, e.guar_type
-        from summed s left join patient_encounter e on e.enc_id = s.enc_id
+        from summed s
+        left join (
+            select enc_id, any_value(guar_id) guar_id, any_value(guar_type) guar_type
+            from patient_encounter group by enc_id) e on e.enc_id = s.enc_id
         where e.guar_id is not null""",
     "fact": """
         select o.*, t.* exclude (practice_id, charge_id),
@@ -236,11 +239,6 @@ def _accounts(alias: str) -> str:
     )
 
 
-def _sql(body: str) -> str:
-    ctes = ",\n".join(f"{name} as ({text})" for name, text in {**STAGED, **STEPS}.items())
-    return f"with {ctes}\n{body}"
-
-
 _SCOPE = """
     select distinct w.practice_id, w.enc_id from patient_encounter w
     where w.guar_id in (select guar_id from patient_encounter where {chosen})"""
@@ -251,86 +249,92 @@ _RULES = " union all ".join(
     for c in [*WAREHOUSE_TEXT, *WAREHOUSE_MONEY]
 )
 
-ORACLE_SQL = {
-    name: _sql(body)
-    for name, body in {
-        "encounter_scope": _SCOPE.format(chosen="practice_id = '0001'"),
-        "encounter_scope_by_number": _SCOPE.format(
-            chosen="practice_id = '0001' and enc_nbr in (5, 10, 25, 100, 1000)"
-        ),
-        "encounter_attributes": """
-            select practice_id, enc_id, guar_id, guar_type, person_id, enc_status, location_id, enc_nbr, dos,
-                   pat_resp_date, pat_type
-            from enc""",
-        "account_lookup": """
-            select enc.practice_id, enc.enc_id, enc.guar_id, named.acct_id, named.acct_nbr
-            from enc inner join named using (practice_id, enc_id)""",
-        "payer_slots": "select practice_id, enc_id, payer1_id, payer2_id, payer3_id from payers",
-        "encounter_charge_sums": f"""
-            select practice_id, enc_id, {_money(*CHARGE_BUCKETS)},
-                   cast(raw_pat_buc as decimal(19, 4)) as enc_pat_buc
-            from charged""",
-        "encounter_trans_sums": f"select practice_id, enc_id, {_money(*TRANSACTIONS)} from moneyed",
-        "bad_debt_move": f"""
-            select practice_id, enc_id, enc_status, {_money("enc_pat_buc", "enc_bad_debt_amt")} from moneyed""",
-        "encounter_totals": f"select practice_id, enc_id, {_money(*TOTALS)} from totalled",
-        "account_totals": f"select t.practice_id, t.enc_id, t.guar_id, {_accounts('t')} from totalled t",
-        "relationship_desc": "select practice_id, enc_id, relationship_id, relationship_desc from named",
-        "practice_name": "select practice_id, enc_id, practice_name from named",
-        "guarantor_name": """
-            select enc.practice_id, enc.enc_id, enc.guar_id, enc.guar_type, named.guar_name
-            from enc inner join named using (practice_id, enc_id)""",
-        "person_name": """
-            select enc.practice_id, enc.enc_id, enc.person_id, named.person_name
-            from enc inner join named using (practice_id, enc_id)""",
-        "status_desc": """
-            select enc.practice_id, enc.enc_id, enc.enc_status, named.enc_status_desc
-            from enc inner join named using (practice_id, enc_id)""",
-        "location_name": """
-            select enc.practice_id, enc.enc_id, enc.location_id, named.location_name
-            from enc inner join named using (practice_id, enc_id)""",
-        "patient_type_desc": """
-            select enc.practice_id, enc.enc_id, enc.pat_type, named.pat_type_desc
-            from enc inner join named using (practice_id, enc_id)""",
-        "payer_names": """
-            select practice_id, enc_id, payer1_id, payer1_name, payer1_fc_id, payer2_id, payer2_name,
-                   payer2_fc_id, payer3_id, payer3_name, payer3_fc_id
-            from payers""",
-        "payer_financial_class": """
-            select practice_id, enc_id, payer1_fc_id, payer1_fin_class, payer2_fc_id, payer2_fin_class,
-                   payer3_fc_id, payer3_fin_class
-            from payers""",
-        "encounter_balances": f"""
-            select t.practice_id, n.practice_name, n.acct_id, n.acct_nbr, t.guar_id, t.guar_type, n.guar_name,
-                   t.person_id, n.person_name, n.relationship_id, n.relationship_desc, t.enc_id, t.enc_status,
-                   n.enc_status_desc, t.enc_nbr, t.dos, t.pat_resp_date, t.location_id, n.location_name,
-                   t.pat_type, n.pat_type_desc, p.* exclude (practice_id, enc_id),
-                   {_money(*CHARGE_BUCKETS, *TRANSACTIONS, *TOTALS, "enc_pat_buc", "enc_bad_debt_amt")},
-                   {_accounts("t")}
-            from totalled t
-            inner join named n on n.practice_id = t.practice_id and n.enc_id = t.enc_id
-            inner join payers p on p.practice_id = t.practice_id and p.enc_id = t.enc_id
-            where t.guar_id in (
-                select guar_id from patient_encounter
-                where practice_id in ('0001', '0002', '0003', '0004', '0005'))""",
-        "charge_sums": f"""
-            select practice_id, enc_id, charge_id, {_money(*FACT_MONEY[:5])} from summed""",
-        "charge_insurance_balance": """
-            select practice_id, enc_id, charge_id,
-                   cast(chgcob1 + chgcob2 + chgcob3 as decimal(19, 4)) as chginsbal
-            from summed""",
-        "charge_trans_sums": f"select practice_id, charge_id, {_money(*FACT_MONEY[6:12])} from settled",
-        "charge_guarantor": f"select {', '.join(FACT_TEXT)}, {_money(*FACT_MONEY[:6])} from owned",
-        "charge_fact": f"select {', '.join(FACT_TEXT)}, {_money(*FACT_MONEY)} from fact",
-        "charge_fact_sample": f"""
-            select {', '.join(FACT_TEXT)}, {_money(*FACT_MONEY)} from fact
-            order by practice_id, enc_id, charge_id limit 100""",
-        "fact_load": f"select {', '.join(WAREHOUSE_TEXT)}, {_money(*WAREHOUSE_MONEY)} from f_transactions",
-        "fact_contract_violations": f"""
-            {_RULES}
-            union all
-            select 'PRIMARY KEY', 'Charge_ID', count(*) from (
-                select "Charge_ID" from f_transactions where "Charge_ID" is not null
-                group by "Charge_ID" having count(*) > 1)""",
-    }.items()
+BODIES = {
+    "encounter_scope": _SCOPE.format(chosen="practice_id = '0001'"),
+    "encounter_scope_by_number": _SCOPE.format(
+        chosen="practice_id = '0001' and enc_nbr in (5, 10, 25, 100, 1000)"
+    ),
+    "encounter_attributes": """
+        select practice_id, enc_id, guar_id, guar_type, person_id, enc_status, location_id, enc_nbr, dos,
+               pat_resp_date, pat_type
+        from enc""",
+    "account_lookup": """
+        select enc.practice_id, enc.enc_id, enc.guar_id, named.acct_id, named.acct_nbr
+        from enc inner join named using (practice_id, enc_id)""",
+    "payer_slots": "select practice_id, enc_id, payer1_id, payer2_id, payer3_id from payers",
+    "encounter_charge_sums": f"""
+        select practice_id, enc_id, {_money(*CHARGE_BUCKETS)},
+               cast(raw_pat_buc as decimal(19, 4)) as enc_pat_buc
+        from charged""",
+    "encounter_trans_sums": f"select practice_id, enc_id, {_money(*TRANSACTIONS)} from moneyed",
+    "bad_debt_move": f"""
+        select practice_id, enc_id, enc_status, {_money("enc_pat_buc", "enc_bad_debt_amt")} from moneyed""",
+    "encounter_totals": f"select practice_id, enc_id, {_money(*TOTALS)} from totalled",
+    "account_totals": f"select t.practice_id, t.enc_id, t.guar_id, {_accounts('t')} from totalled t",
+    "relationship_desc": "select practice_id, enc_id, relationship_id, relationship_desc from named",
+    "practice_name": "select practice_id, enc_id, practice_name from named",
+    "guarantor_name": """
+        select enc.practice_id, enc.enc_id, enc.guar_id, enc.guar_type, named.guar_name
+        from enc inner join named using (practice_id, enc_id)""",
+    "person_name": """
+        select enc.practice_id, enc.enc_id, enc.person_id, named.person_name
+        from enc inner join named using (practice_id, enc_id)""",
+    "status_desc": """
+        select enc.practice_id, enc.enc_id, enc.enc_status, named.enc_status_desc
+        from enc inner join named using (practice_id, enc_id)""",
+    "location_name": """
+        select enc.practice_id, enc.enc_id, enc.location_id, named.location_name
+        from enc inner join named using (practice_id, enc_id)""",
+    "patient_type_desc": """
+        select enc.practice_id, enc.enc_id, enc.pat_type, named.pat_type_desc
+        from enc inner join named using (practice_id, enc_id)""",
+    "payer_names": """
+        select practice_id, enc_id, payer1_id, payer1_name, payer1_fc_id, payer2_id, payer2_name,
+               payer2_fc_id, payer3_id, payer3_name, payer3_fc_id
+        from payers""",
+    "payer_financial_class": """
+        select practice_id, enc_id, payer1_fc_id, payer1_fin_class, payer2_fc_id, payer2_fin_class,
+               payer3_fc_id, payer3_fin_class
+        from payers""",
+    "encounter_balances": f"""
+        select t.practice_id, n.practice_name, n.acct_id, n.acct_nbr, t.guar_id, t.guar_type, n.guar_name,
+               t.person_id, n.person_name, n.relationship_id, n.relationship_desc, t.enc_id, t.enc_status,
+               n.enc_status_desc, t.enc_nbr, t.dos, t.pat_resp_date, t.location_id, n.location_name,
+               t.pat_type, n.pat_type_desc, p.* exclude (practice_id, enc_id),
+               {_money(*CHARGE_BUCKETS, *TRANSACTIONS, *TOTALS, "enc_pat_buc", "enc_bad_debt_amt")},
+               {_accounts("t")}
+        from totalled t
+        inner join named n on n.practice_id = t.practice_id and n.enc_id = t.enc_id
+        inner join payers p on p.practice_id = t.practice_id and p.enc_id = t.enc_id
+        where t.guar_id in (
+            select guar_id from patient_encounter
+            where practice_id in ('0001', '0002', '0003', '0004', '0005'))""",
+    "charge_sums": f"""
+        select practice_id, enc_id, charge_id, {_money(*FACT_MONEY[:5])} from summed""",
+    "charge_insurance_balance": """
+        select practice_id, enc_id, charge_id,
+               cast(chgcob1 + chgcob2 + chgcob3 as decimal(19, 4)) as chginsbal
+        from summed""",
+    "charge_trans_sums": f"select practice_id, charge_id, {_money(*FACT_MONEY[6:12])} from settled",
+    "charge_guarantor": f"select {', '.join(FACT_TEXT)}, {_money(*FACT_MONEY[:6])} from owned",
+    "charge_fact": f"select {', '.join(FACT_TEXT)}, {_money(*FACT_MONEY)} from fact",
+    "charge_fact_sample": f"""
+        select {', '.join(FACT_TEXT)}, {_money(*FACT_MONEY)} from fact
+        order by practice_id, enc_id, charge_id limit 100""",
+    "fact_load": f"select {', '.join(WAREHOUSE_TEXT)}, {_money(*WAREHOUSE_MONEY)} from f_transactions",
+    "fact_contract_violations": f"""
+        {_RULES}
+        union all
+        select 'PRIMARY KEY', 'Charge_ID', count(*) from (
+            select "Charge_ID" from f_transactions where "Charge_ID" is not null
+            group by "Charge_ID" having count(*) > 1)""",
 }
+
+
+def full_sql(name: str, tables: dict[str, str] = STAGED) -> str:
+    """The SQL of a query over the given billing tables, each a SELECT."""
+    ctes = ",\n".join(f"{step} as ({text})" for step, text in {**tables, **STEPS}.items())
+    return f"with {ctes}\n{BODIES[name]}"
+
+
+ORACLE_SQL = {name: full_sql(name) for name in BODIES}

@@ -134,10 +134,12 @@ class KeyUse:
 
     def _most_used(self, keys: Sequence[str]) -> list[Row]:
         part = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part")
+        # Grouped by a constant: without a grouping, an empty shuffle partition has no sketch to give.
         return (
             self.df.select(_key_hash(keys).alias("key"), part)
             .groupBy("part")
             .agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED_KEYS})").alias("sketch"))
+            .groupBy(F.lit("all"))
             .agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
             .select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})").alias("top"))
             .first()["top"]
