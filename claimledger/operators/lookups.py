@@ -159,16 +159,13 @@ def with_guarantor_name(encounters: DataFrame) -> DataFrame:
     return encounters.withColumn("guar_name", name).drop("employer_name", "guar_person_name")
 
 
-def of_slots(encounter_payer: DataFrame) -> DataFrame:
-    return encounter_payer.where(F.col("cob").isin(*PAYER_SLOTS) & F.col("enc_id").isNotNull())
-
-
 def payer_slots(encounter_payer: DataFrame) -> DataFrame:
     """One row per encounter with the payers of its three slots, in one pass."""
     slots = [
         F.min(F.when(F.col("cob") == slot, F.col("payer_id"))).alias(f"payer{slot}_id") for slot in PAYER_SLOTS
     ]
-    return of_slots(encounter_payer).groupBy("enc_id").agg(*slots)
+    wanted = F.col("cob").isin(*PAYER_SLOTS) & F.col("enc_id").isNotNull()
+    return encounter_payer.where(wanted).groupBy("enc_id").agg(*slots)
 
 
 def with_payers(encounters: DataFrame, encounter_payer: DataFrame) -> DataFrame:
@@ -178,7 +175,7 @@ def with_payers(encounters: DataFrame, encounter_payer: DataFrame) -> DataFrame:
 
 def with_payer_names(encounters: DataFrame, encounter_payer: DataFrame, payers: Side) -> DataFrame:
     # Most encounters may leave a slot empty, so the NULL key is taken as hot from the start.
-    hot = KeyUse(of_slots(encounter_payer)).hot("payer_id") or [NULL_KEY_HOT]
+    hot = KeyUse(encounter_payer.select("payer_id")).hot("payer_id") or [NULL_KEY_HOT]
     for slot in PAYER_SLOTS:
         role = {
             "payer_id": f"payer{slot}_id",

@@ -121,9 +121,11 @@ def transaction_sums(
 ) -> DataFrame:
     """The six transaction measures by ``by``, in one pass over details and headers.
 
-    ``names`` gives each measure its column. The two jobs differ on purpose: ``header_keys`` is how a line finds its header, and
-    ``unposted_payments`` says whether payments that are not posted count.
+    ``names`` gives each measure its column. The two jobs differ on purpose: ``header_keys`` is how a
+    line finds its header, and ``unposted_payments`` says whether payments that are not posted count.
     """
+    # Measured before the lines are filtered, where a Parquet count reads footers only.
+    use = KeyUse(trans_detail.select(*header_keys))
     line = list(dict.fromkeys([*by, *header_keys]))
     posted = F.col("post_ind") == POSTED
     if not unposted_payments:
@@ -136,7 +138,7 @@ def transaction_sums(
         return lines.groupBy(*line).agg(F.sum("paid_amt").alias("paid_amt"), F.sum("adj_amt").alias("adj_amt"))
 
     headers = Side(header_weights(transactions, header_keys), transactions.select(*header_keys))
-    hot = KeyUse(details.select(*header_keys)).hot(*header_keys)
+    hot = use.hot(*header_keys)
     matched = lookup(details, headers, header_keys, hot, spread=by, how="inner", collapse=collapse)
 
     def weighted(name: str, measure: TransactionMeasure) -> Column:

@@ -2,7 +2,10 @@ import sys
 from decimal import Decimal
 from pathlib import Path
 
+import pyarrow as pa
 import pytest
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import DecimalType
 
 sys.path.insert(0, str(Path(__file__).resolve().parent.parent))
 
@@ -48,17 +51,15 @@ def stored(spark, staged, tmp_path_factory):
 def make_table(spark, name, rows):
     """A table from dicts; columns left out are NULL and amounts may be plain numbers."""
     schema = SOURCES[name]
-    values = []
     for row in rows:
         assert set(row) <= set(schema.names), row
-        values.append(
-            tuple(
-                Decimal(str(row[f.name])) if row.get(f.name) is not None and "decimal" in f.dataType.simpleString()
-                else row.get(f.name)
-                for f in schema.fields
-            )
-        )
-    return spark.createDataFrame(values, schema)
+
+    def value(row, field):
+        given = row.get(field.name)
+        return Decimal(str(given)) if given is not None and isinstance(field.dataType, DecimalType) else given
+
+    columns = {f.name: [value(row, f) for row in rows] for f in schema.fields}
+    return spark.createDataFrame(pa.table(columns, schema=to_arrow_schema(schema)), schema)
 
 
 def make_billing(spark, **tables) -> Billing:

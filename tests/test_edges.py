@@ -11,6 +11,17 @@ from tests.conftest import dollars, make_billing
 P1, P2 = "0001", "0002"
 
 
+@pytest.fixture(autouse=True, scope="module")
+def tiny(spark):
+    """Cheap settings for plans over a handful of rows."""
+    before = {key: spark.conf.get(key) for key in ("spark.sql.shuffle.partitions", "spark.sql.codegen.wholeStage")}
+    spark.conf.set("spark.sql.shuffle.partitions", "1")
+    spark.conf.set("spark.sql.codegen.wholeStage", "false")
+    yield
+    for key, value in before.items():
+        spark.conf.set(key, value)
+
+
 def encounter(enc_id, guar_id="G", practice_id=P1, **more):
     return {"practice_id": practice_id, "enc_id": enc_id, "guar_id": guar_id, "guar_type": "P", **more}
 
