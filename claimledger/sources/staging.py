@@ -9,6 +9,18 @@ from pyspark.sql import functions as F
 from claimledger.sources.billing import Billing
 from claimledger.sources.schemas import ACCOUNT_NUMBER, ENCOUNTER_NUMBER, MONEY
 
+# The columns used of the test tables. Declared, so that reading needs no job to infer them.
+TEST_TABLES = {
+    "region": "r_regionkey int, r_name string",
+    "nation": "n_nationkey int, n_name string",
+    "customer": "c_custkey bigint, c_name string, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_name string, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint, o_orderstatus string, o_orderdate timestamp_ntz,"
+    " o_orderpriority string",
+    "lineitem": "l_orderkey bigint, l_partkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double,"
+    " l_extendedprice double, l_discount double, l_returnflag string, l_linestatus string",
+}
+
 # Every practice the staged tables hold.
 ALL_PRACTICES = ("0001", "0002", "0003", "0004", "0005")
 
@@ -98,7 +110,7 @@ def _transactions(lineitem: DataFrame) -> DataFrame:
 
 def stage_billing(spark: SparkSession, sf_dir: str) -> Billing:
     def table(name: str) -> DataFrame:
-        return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+        return spark.read.schema(TEST_TABLES[name]).parquet(f"{sf_dir}/{name}.parquet")
 
     orders, lineitem, customer = table("orders"), table("lineitem"), table("customer")
     nation, region, supplier = table("nation"), table("region"), table("supplier")
