@@ -75,5 +75,7 @@ def load_fact(fact: DataFrame, path: str) -> DataFrame:
     broken = contract_violations(rows).where(F.col("violations") > 0).collect()
     if broken:
         raise ContractError("; ".join(f"{r.rule} {r.column_name}: {r.violations}" for r in broken))
-    rows.hint("rebalance", "Practice_ID").write.mode("overwrite").partitionBy("Practice_ID").parquet(path)
+    # Static, whatever the session says: practices that are gone must go from the table.
+    writer = rows.hint("rebalance", "Practice_ID").write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer.partitionBy("Practice_ID").parquet(path)
     return read_fact(rows.sparkSession, path)

@@ -10,8 +10,6 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # Unsorted hash joins where every shuffle partition is small; decided at run time.
     "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold": "64m",
-    # One output file set is replaced as a whole on each run.
-    "spark.sql.sources.partitionOverwriteMode": "static",
 }
 
 

@@ -54,7 +54,11 @@ def test_columns_are_bound_by_name(spark):
 def test_a_load_replaces_the_table(spark, tmp_path):
     path = str(tmp_path / "fact")
     load_fact(small_fact(spark, [{"charge_id": "A"}, {"charge_id": "B", "practice_id": "0002"}]), path)
-    load_fact(small_fact(spark, [{"charge_id": "C"}]), path)
+    spark.conf.set("spark.sql.sources.partitionOverwriteMode", "dynamic")
+    try:
+        load_fact(small_fact(spark, [{"charge_id": "C"}]), path)
+    finally:
+        spark.conf.unset("spark.sql.sources.partitionOverwriteMode")
     assert [(r.Practice_ID, r.Charge_ID) for r in read_fact(spark, path).collect()] == [("0001", "C")]
 
 
