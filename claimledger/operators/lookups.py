@@ -78,7 +78,7 @@ def scoped_encounters(use: KeyUse, guarantors: Side, few: bool = False) -> DataF
             use.hot("guar_id"),
             spread=owned.columns,
             how="left_semi",
-            collapse=lambda df: df.distinct(),
+            collapse=DataFrame.distinct,
         )
     return one_per_encounter(scoped)
 
@@ -125,7 +125,9 @@ def relationship_side(person_relationship: DataFrame, code_tables: DataFrame) ->
     )
     keys = ["guar_id", "person_id"]
     hot = KeyUse(pairs).hot("relationship_id")
-    coded = lookup(pairs, keyed(codes, ["relationship_id"]), ["relationship_id"], hot, spread=keys)
+    coded = lookup(
+        pairs, keyed(codes, ["relationship_id"]), ["relationship_id"], hot, spread=keys, collapse=DataFrame.distinct
+    )
     return keyed(coded, keys)
 
 
@@ -141,7 +143,9 @@ def payer_side(payer_mstr: DataFrame, mstr_lists: DataFrame) -> Side:
     payers = payer_mstr.select("payer_id", "payer_name", F.col("financial_class").alias("fc_id"))
     classes = master_list_side(mstr_lists, FINANCIAL_CLASSES, "fc_id", "fin_class")
     hot = KeyUse(payers).hot("fc_id")
-    return keyed(lookup(payers, classes, ["fc_id"], hot, spread=["payer_id", "payer_name"]), ["payer_id"])
+    spread = ["payer_id", "payer_name"]
+    classed = lookup(payers, classes, ["fc_id"], hot, spread, collapse=DataFrame.distinct)
+    return keyed(classed, ["payer_id"])
 
 
 # Lookups

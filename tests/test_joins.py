@@ -42,7 +42,8 @@ def names(spark, skewed):
 
 
 def test_one_per_key_keeps_one_whole_row(spark):
-    df = spark.createDataFrame([("a", 2, None), ("a", 1, "x"), ("b", 3, "y"), (None, 4, "z")], "k string, n int, t string")
+    rows = [("a", 2, None), ("a", 1, "x"), ("b", 3, "y"), (None, 4, "z")]
+    df = spark.createDataFrame(rows, "k string, n int, t string")
     assert sorted(map(tuple, one_per_key(df, ["k"]).collect())) == [("a", 1, "x"), ("b", 3, "y")]
     assert sorted(map(tuple, one_per_key(df.select("k"), ["k"]).collect())) == [("a",), ("b",)]
 

@@ -99,7 +99,8 @@ def test_slicing_every_join_gives_the_same_rows(plain, every_join_hot, skewed_ta
 
 
 @pytest.mark.parametrize(
-    ("name", "job"), [("encounter_balances", "balances"), ("charge_fact", "fact"), ("charge_trans_sums", "transactions")]
+    ("name", "job"),
+    [("encounter_balances", "balances"), ("charge_fact", "fact"), ("charge_trans_sums", "transactions")],
 )
 def test_sliced_jobs_match_sql(every_join_hot, skewed_tables, con, name, job):
     _, got = spark_rows(JOBS[job](skewed_tables))
