@@ -11,7 +11,10 @@ from tests.conftest import SMALL
 
 
 def test_every_query_has_its_sql():
-    assert contract.queries().keys() == contract.oracle_sql().keys() == QUERIES.keys() == ORACLE_SQL.keys()
+    assert QUERIES.keys() == ORACLE_SQL.keys()
+    assert QUERIES.items() <= contract.queries().items()
+    assert ORACLE_SQL.items() <= contract.oracle_sql().items()
+    assert contract.oracle_sql().keys() <= contract.queries().keys()
 
 
 @pytest.mark.parametrize("name", list(QUERIES))
