@@ -5,23 +5,22 @@ keys, once per distinct key, so that however many documents of a block share a k
 are dealt by value into buckets, packed (four bytes a key); a bucket sees which keys came from several
 blocks and reports back to those. Blocks are made again from the same shuffle for each round.
 
-A key of a bucket is 32 bits besides the bucket's number. There are about as many buckets as blocks, so a bucket
-holds about as many keys as a block, and chance equality stays rare (about 1 in 10,000 keys) at every size. The rounds
+A key of a bucket is 32 bits besides the bucket's number. The number of buckets
+follows the number of blocks, so a bucket holds about as many keys as two blocks, and chance equality stays rare (about
+1 in 1,000 keys) at every size. The rounds
 use it to find candidates only.
 """
 
-from collections.abc import Iterable
-from hashlib import blake2b
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 16 * 1024 * 1024
-BLOCKS_PER_PARTITION = 4
+BLOCKS_PER_PARTITION = 2
 KEYS = "bucket int, block int, keys binary, counts binary"
-REMEMBERED_WORDS = 500_000
+# Texts are hashed in chunks of so many bytes; a longer text is a chunk of its own.
+HASHED_BYTES = 100_000
 
 
 def block_count(documents: DataFrame, text: str = "text") -> int:
@@ -43,24 +42,49 @@ def with_block(documents: DataFrame, count: int, id: str = "doc_id", text: str =
 
 
 def bucket_bits(count: int) -> int:
-    return max(1, (count - 1).bit_length())
-
-
-class WordHashes(dict):
-    """64-bit hashes of words, remembered."""
-
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED_WORDS:
-            self.clear()
-        value = self[word] = int.from_bytes(blake2b(word, digest_size=8).digest(), "little")
-        return value
-
-
-_HASHES = WordHashes()
-
-
-def hash_words(words: list[bytes]) -> np.ndarray:
-    return np.fromiter(map(_HASHES.__getitem__, words), np.uint64, len(words))
+    """About half as many buckets as blocks, as a power of two."""
+    return max(1, (count // 2 - 1).bit_length())
+
+
+_SPACE = np.zeros(256, bool)
+_SPACE[[9, 10, 11, 12, 13, 32]] = True
+_BYTE = np.random.default_rng(20240229).integers(0, 2**64, 256, np.uint64)
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+
+
+def hash_words(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of all texts in a row, and how many words each text has.
+
+    Words are runs of anything but ASCII white space. A word's hash is a polynomial in its bytes' random values.
+    """
+    hashes, counts, start = [np.empty(0, np.uint64)], [np.empty(0, np.int64)], 0
+    while start < len(texts):
+        stop, size = start, 0
+        while stop < len(texts) and (stop == start or size + len(texts[stop]) <= HASHED_BYTES):
+            size += len(texts[stop])
+            stop += 1
+        own, number = _hash_chunk(texts[start:stop])
+        hashes.append(own)
+        counts.append(number)
+        start = stop
+    return np.concatenate(hashes), np.concatenate(counts)
+
+
+def _hash_chunk(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    data = np.frombuffer(b"\n".join([b"", *texts, b""]), np.uint8)
+    space = _SPACE[data]
+    edges = np.flatnonzero(space[1:] != space[:-1]) + 1  # it begins and ends with white space
+    begin, lengths = edges[::2], edges[1::2] - edges[::2]
+    bounds = np.cumsum([1, *(len(t) + 1 for t in texts)])
+    counts = np.diff(np.searchsorted(begin, bounds))
+    if not len(begin):
+        return np.empty(0, np.uint64), counts
+    letters = data[~space]
+    first = np.cumsum(lengths) - lengths
+    place = np.arange(len(letters)) - np.repeat(first, lengths)
+    with np.errstate(over="ignore"):
+        power = np.cumprod(np.full(int(lengths.max()), _STEP))
+        return mix(np.add.reduceat(_BYTE[letters] * power[place], first)), counts
 
 
 def mix(values: np.ndarray) -> np.ndarray:
@@ -82,6 +106,12 @@ def rolling(hashes: np.ndarray, width: int, multiplier: int = 0x9E3779B97F4A7C15
     return mix(out)
 
 
+def distinct(values: np.ndarray) -> np.ndarray:
+    """The distinct values, sorted."""
+    ranked = np.sort(values)
+    return ranked[np.append(True, ranked[1:] != ranked[:-1])[: len(ranked)]]
+
+
 def packed(keys: np.ndarray, bits: int, block: int, counts: np.ndarray | None = None) -> pa.Table:
     """Sorted distinct 64-bit keys as one row per bucket."""
     keys = keys >> np.uint64(32 - bits)
@@ -157,19 +187,14 @@ def places_in(ranked: np.ndarray, values: np.ndarray) -> np.ndarray:
 class Block:
     """The documents of one block in order of (id, text), ids that are missing last, with their words' hashes."""
 
-    def __init__(self, rows: pa.Table, lower: bool = False):
+    def __init__(self, rows: pa.Table):
         order = rows.select(["doc_id", "text"]).append_column("at", pa.array(np.arange(rows.num_rows)))
         order = order.sort_by([("doc_id", "ascending"), ("text", "ascending"), ("at", "ascending")])
         self.ids: list[int | None] = order.column("doc_id").to_pylist()
         self.texts: list[bytes] = order.column("text").cast(pa.large_binary()).to_pylist()
-        self.words: list[list[bytes]] = [(t.lower() if lower else t).split() for t in self.texts]
-        self.lengths = np.fromiter(map(len, self.words), np.int64, len(self.words))
+        self.hashes, self.lengths = hash_words(self.texts)
         self.starts = np.cumsum(self.lengths) - self.lengths
         self.owner = np.repeat(np.arange(len(self.ids)), self.lengths)
-        self.hashes = np.concatenate([np.empty(0, np.uint64), *self._hashed()])
         #: Place of each word in its document, and words that are left from it on.
         self.place = np.arange(len(self.owner)) - self.starts[self.owner]
         self.left = self.lengths[self.owner] - self.place
-
-    def _hashed(self) -> Iterable[np.ndarray]:
-        return (hash_words(w) for w in self.words)

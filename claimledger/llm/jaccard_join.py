@@ -11,9 +11,10 @@ band (powers of two; a set near the next band joins there too).
 3. A cell that more than ``HOT`` sets share is hot. A set with more than d cells that are not hot meets every partner in one of
    its first d + 1 such cells, where at most ``HOT`` sets are compared. A set without so many is "dense".
 4. Dense sets, which consist of much-shared elements, are joined among each other on their rarest elements (more than a
-   quarter of the set). Elements that over ``HOT`` of these prefixes share are hot; there, every set is compared with the
-   least one first, and what is then still in another component than the most with all others.
+   quarter of the set). Elements that over ``HOT`` sets share are hot; there, every set is compared with the least one
+   first, and what is then still in another component than the most with all others.
 5. Pairs whose bit sketches differ in more bits than the sets may in elements are dropped; the rest is verified on the texts.
+   Pairs that verified links connect already are not verified.
 """
 
 from collections.abc import Iterator
@@ -25,7 +26,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from claimledger.llm import blocks
-from claimledger.llm.blocks import hash_words, mix, places_in, rolling
+from claimledger.llm.blocks import distinct, hash_words, mix, places_in, rolling
 from claimledger.llm.common import add_columns, stored
 from claimledger.llm.components import components
 
@@ -41,19 +42,19 @@ CANDIDATE = "block int, doc_id bigint, n int, cells array<bigint>, dense boolean
 RARE = "doc_id bigint, element bigint, hot boolean"
 
 
-def shingles(words: list[bytes]) -> np.ndarray:
-    """Sorted distinct hashes of the runs of ``SHINGLE`` words; of all words if there are fewer."""
-    if not words:
-        return np.empty(0, np.uint64)
-    hashes = hash_words(words)
-    if len(words) < SHINGLE:
-        return mix(rolling(hashes, len(words)) + np.uint64(len(words)))
-    return np.unique(rolling(hashes, SHINGLE))
+def shingles(hashes: np.ndarray) -> np.ndarray:
+    """Sorted distinct hashes of the runs of ``SHINGLE`` words, given the words' hashes; of all words if there are fewer."""
+    if not len(hashes):
+        return hashes
+    if len(hashes) < SHINGLE:
+        return mix(rolling(hashes, len(hashes)) + np.uint64(len(hashes)))
+    return distinct(rolling(hashes, SHINGLE))
 
 
-def shingles_of(text: str | bytes) -> np.ndarray:
-    data = text.encode("utf-8", "surrogatepass") if isinstance(text, str) else text
-    return shingles(data.lower().split())
+def sets_of(texts: list[str]) -> list[np.ndarray]:
+    """The sets of shingles of texts."""
+    hashes, counts = hash_words([t.encode("utf-8", "surrogatepass").lower() for t in texts])
+    return [shingles(own) for own in np.split(hashes, np.cumsum(counts)[:-1])] if texts else []
 
 
 def linked(a: np.ndarray, b: np.ndarray) -> bool:
@@ -94,7 +95,7 @@ def document_sets(documents: DataFrame, text: str = "text") -> DataFrame:
 
     def make():
         def compute(texts: list[str]) -> list[pa.Array]:
-            sets = [shingles_of(t) for t in texts]
+            sets = sets_of(texts)
             plain = [int(np.add.reduce(s).astype(np.int64)) if len(s) else 0 for s in sets]
             mixed = [int(np.add.reduce(mix(s)).astype(np.int64)) if len(s) else 0 for s in sets]
             return [pa.array([len(s) for s in sets], pa.int64()), pa.array(plain, pa.int64()), pa.array(mixed, pa.int64())]
@@ -114,8 +115,8 @@ class _Sets(blocks.Block):
         mask = pc.is_in(rows.column("doc_id"), wanted.column("doc_id").combine_chunks())
         rows = rows.filter(mask)
         self.ids, self.texts, self.sets = [], [], []
-        for doc_id, text in sorted(zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), strict=True)):
-            elements = shingles_of(text)
+        own = sorted(zip(rows.column("doc_id").to_pylist(), rows.column("text").to_pylist(), strict=True))
+        for (doc_id, text), elements in zip(own, sets_of([text for _, text in own]), strict=True):
             name = (doc_id, int(np.add.reduce(elements).astype(np.int64)) if len(elements) else 0)
             if len(elements) and name in names:
                 names.discard(name)  # equal rows of one id count once
@@ -179,7 +180,7 @@ def _candidates(bits: int):
 
 def _send_elements(bits: int):
     def run(rows: pa.Table) -> pa.Table:
-        sets = [shingles_of(t) for t in rows.column("text").to_pylist()]
+        sets = sets_of(rows.column("text").to_pylist())
         keys, counts = np.unique(np.concatenate(sets), return_counts=True)
         return blocks.packed(keys, bits, rows.column("block")[0].as_py(), counts)
 
@@ -190,7 +191,7 @@ def _rare_elements(bits: int):
     """The rarest elements of each dense set: one more than a partner can lack."""
 
     def run(rows: pa.Table, shared: pa.Table) -> pa.Table:
-        sets = [shingles_of(t) for t in rows.column("text").to_pylist()]
+        sets = sets_of(rows.column("text").to_pylist())
         flat = np.concatenate([np.empty(0, np.uint64), *sets])
         # Kept as far as it is exchanged, so that all blocks order elements alike.
         names, uses = flat >> np.uint64(32 - bits), _uses(flat, bits, shared)
@@ -249,32 +250,35 @@ def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _linking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        seen: dict[int, np.ndarray] = {}
-        rows = zip(*(batch.column(c).to_pylist() for c in ("low", "high", "low_text", "high_text")), strict=True)
-        good = []
-        for low, high, low_text, high_text in rows:
-            if low not in seen:
-                if len(seen) > 200:
-                    seen.clear()
-                seen[low] = shingles_of(low_text)
-            good.append(linked(seen[low], shingles_of(high_text)))
-        yield batch.select(["low", "high"]).filter(pa.array(good, pa.bool_()))
-
-
-def _hot_links(hot: DataFrame, links: DataFrame, candidates: DataFrame) -> DataFrame:
-    """Links of documents that share hot elements, where ``links`` do not connect them already."""
+        for start in range(0, batch.num_rows, 200):
+            part = batch.slice(start, 200)
+            low = dict(zip(part.column("low").to_pylist(), part.column("low_text").to_pylist(), strict=True))
+            known = dict(zip(low, sets_of(list(low.values())), strict=True))
+            other = sets_of(part.column("high_text").to_pylist())
+            good = [linked(known[i], b) for i, b in zip(part.column("low").to_pylist(), other, strict=True)]
+            yield part.select(["low", "high"]).filter(pa.array(good, pa.bool_()))
+
+
+def _links(pairs: DataFrame, hot: DataFrame, candidates: DataFrame) -> DataFrame:
+    """Enough links to connect what links connect: of ``pairs``, and among the documents that share a hot element.
+
+    Only components are wanted, so pairs whose ends are connected already are not verified. First every document is
+    compared with the least one it is paired with, and with the least one of each hot element; then the pairs between
+    different components, and of each hot element all but the largest component with everything else.
+    """
     least = hot.groupBy("element").agg(F.min("doc_id").alias("low"))
-    star = hot.join(least, "element").where("doc_id > low").select("low", F.col("doc_id").alias("high")).distinct()
-    links = stored(links.union(_verified(star, candidates)))
-    # What is still apart: in each group all but the largest component are compared with everything else.
-    label = components(links, "low", "high")
-    placed = stored(
-        hot.join(label, hot.doc_id == label.id, "left").select("element", "doc_id", F.coalesce("component", "doc_id").alias("component"))
-    )
+    star = hot.join(least, "element").where("doc_id > low").select("low", F.col("doc_id").alias("high"))
+    first = pairs.groupBy("high").agg(F.min("low").alias("low")).select("low", "high").union(star).distinct()
+    links = stored(_verified(first, candidates))
+    label = stored(components(links, "low", "high"))
+
+    def labelled(rows: DataFrame, id: str, name: str) -> DataFrame:
+        return rows.join(label.toDF(id, name), id, "left").withColumn(name, F.coalesce(name, id))
+
+    rest = labelled(labelled(pairs, "low", "low_part"), "high", "high_part").where("low_part != high_part").select("low", "high")
+    placed = stored(labelled(hot, "doc_id", "component"))
     sizes = placed.groupBy("element", "component").agg(F.count("doc_id").alias("members"))
-    most = sizes.groupBy("element").agg(
-        F.max(F.struct("members", "component")).alias("most"), F.count("component").alias("parts")
-    )
+    most = sizes.groupBy("element").agg(F.max(F.struct("members", "component")).alias("most"), F.count("component").alias("parts"))
     split = most.where("parts > 1").select("element", F.col("most.component").alias("largest"))
     members = placed.join(split, "element")
     others = members.where("component != largest").select("element", F.col("doc_id").alias("one"), F.col("component").alias("own"))
@@ -282,9 +286,8 @@ def _hot_links(hot: DataFrame, links: DataFrame, candidates: DataFrame) -> DataF
         others.join(members, "element")
         .where("own != component")
         .select(F.least("one", "doc_id").alias("low"), F.greatest("one", "doc_id").alias("high"))
-        .distinct()
     )
-    return links.union(_verified(apart, candidates))
+    return links.union(_verified(rest.union(apart).distinct(), candidates))
 
 
 def similar_documents(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -315,12 +318,8 @@ def similar_documents(documents: DataFrame, id: str = "doc_id", text: str = "tex
     dense = candidates.where("dense").select("block", "doc_id", "text")
     elements = blocks.shared_keys(dense.groupBy("block").applyInArrow(_send_elements(bits), blocks.KEYS))
     rare = stored(dense.groupBy("block").cogroup(elements.groupBy("block")).applyInArrow(_rare_elements(bits), RARE))
-    pairs = _pairs_within(cold, "cell").union(_pairs_within(rare.where("not hot"), "element")).distinct()
-    links = stored(_verified(pairs, candidates))
-    hot = rare.where("hot").select("element", "doc_id")
-    if not hot.isEmpty():
-        links = _hot_links(hot, links, candidates)
-    reached = components(links, "low", "high")
+    pairs = stored(_pairs_within(cold, "cell").union(_pairs_within(rare.where("not hot"), "element")).distinct())
+    reached = components(_links(pairs, rare.where("hot").select("element", "doc_id"), candidates), "low", "high")
 
     named = classes.join(reached, classes.class_id == reached.id, "left").select(
         *signature, "class_id", F.coalesce("component", "class_id").alias("component_id")

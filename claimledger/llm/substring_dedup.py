@@ -14,6 +14,8 @@ equal windows share the hash of an aligned anchor. Hence, in rounds over blocks
 3. blocks mark the windows reported, and those that start earlier within the block, and cut out their words.
 """
 
+from itertools import compress
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -51,21 +53,22 @@ def _windows(block: Block) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
 def _send_anchors(bits: int):
     def run(rows: pa.Table) -> pa.Table:
         _, hashes = _anchors(Block(rows))
-        return blocks.packed(np.unique(hashes), bits, rows.column("block")[0].as_py())
+        return blocks.packed(blocks.distinct(hashes), bits, rows.column("block")[0].as_py())
 
     return run
 
 
-def _groups(first: np.ndarray, second: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """An order that puts equal windows together, earliest first, and a mark at the first of each."""
-    order = np.argsort(first, kind="stable")
+def _earliest(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    """Where each distinct window occurs first, in order of the windows' hashes."""
+    if not len(first):
+        return np.empty(0, np.int64)
+    order = np.argsort(first)
     a, b = first[order], second[order]
-    same = a[1:] == a[:-1]
-    if np.any(same & (b[1:] != b[:-1])):  # one half agrees by chance
-        order = np.lexsort((np.arange(len(first)), second, first))
+    if np.any((a[1:] == a[:-1]) & (b[1:] != b[:-1])):  # one half agrees by chance
+        order = np.lexsort((second, first))
         a, b = first[order], second[order]
-        same = a[1:] == a[:-1]
-    return order, np.append(True, ~(same & (b[1:] == b[:-1])))[: len(order)]
+    start = np.flatnonzero(np.append(True, (a[1:] != a[:-1]) | (b[1:] != b[:-1])))
+    return np.minimum.reduceat(order, start)
 
 
 def _send_windows(bits: int):
@@ -74,8 +77,9 @@ def _send_windows(bits: int):
         at, hashes = _anchors(block)
         first, second, whole = _windows(block)
         known, _ = blocks.unpacked(shared)
-        _, back, copies = np.unique(hashes, return_inverse=True, return_counts=True)
-        marked = (blocks.places_in(known, hashes >> np.uint64(32 - bits)) >= 0) | (copies[back] > 1)
+        ranked = np.sort(hashes)
+        here = ranked[1:][ranked[1:] == ranked[:-1]]  # repeated within the block
+        marked = (blocks.places_in(known, hashes >> np.uint64(32 - bits)) >= 0) | (blocks.places_in(here, hashes) >= 0)
         sums = np.zeros(len(block.hashes) + 1, np.int64)
         sums[at[marked] + 1] = 1
         sums = np.cumsum(sums)
@@ -83,8 +87,7 @@ def _send_windows(bits: int):
         # A window at i holds the anchors that start at i to i + PERIOD - 1.
         chosen = np.flatnonzero(whole & (sums[PERIOD : PERIOD + n] > sums[:n]))
         first, second, document = first[chosen], second[chosen], block.owner[chosen]
-        order, new = _groups(first, second)
-        kept = order[new]
+        kept = _earliest(first, second)
         ids = np.array([_NO_ID if i is None else i for i in block.ids], np.int64)
         first, second, document = first[kept], second[kept], ids[document[kept]]
         bucket = (first >> np.uint64(64 - bits)).astype(np.int64)
@@ -136,9 +139,9 @@ def _cut(rows: pa.Table, earlier: pa.Table) -> pa.Table:
     block = Block(rows)
     first, second, whole = _windows(block)
     at = np.flatnonzero(whole)
-    order, new = _groups(first[at], second[at])
     repeated = np.zeros(len(block.hashes) + 1, np.int64)
-    repeated[at[order[~new]]] = 1
+    repeated[at] = 1
+    repeated[at[_earliest(first[at], second[at])]] = 0
     a, b = (
         np.concatenate([np.empty(0, np.uint64), *(np.frombuffer(v, np.uint64) for v in earlier.column(c).to_pylist())])
         for c in ("first", "second")
@@ -162,10 +165,10 @@ def _cut(rows: pa.Table, earlier: pa.Table) -> pa.Table:
     gone[near] = sums[near + 1] > sums[block.starts[block.owner[near]]]
     removed = np.bincount(block.owner[gone], minlength=len(block.ids))
     texts, stays = [], ~gone
-    for words, start, lost in zip(block.words, block.starts.tolist(), removed.tolist(), strict=True):
+    for text, start, lost in zip(block.texts, block.starts.tolist(), removed.tolist(), strict=True):
+        words = text.split()
         if lost:
-            keep = stays[start : start + len(words)].tolist()
-            words = [w for w, k in zip(words, keep, strict=True) if k]
+            words = compress(words, stays[start : start + len(words)].tolist())
         texts.append(b" ".join(words))
     return pa.table(
         {
