@@ -33,7 +33,8 @@ from claimledger.llm.components import components
 SHINGLE = 5
 LINK = 75
 HOT = 16
-SKETCH_BITS = 1024
+# A bit sketch has at least so many bits, and at least one for each element.
+SKETCH_BITS = 256
 # Smaller sets have a cell for each element.
 SMALL = 64
 _ALONE = 32
@@ -86,8 +87,19 @@ def cells(elements: np.ndarray, band: int) -> np.ndarray:
 
 def bit_sketch(elements: np.ndarray) -> bytes:
     """The parity of the number of elements that fall on each bit."""
-    counts = np.bincount((elements & np.uint64(SKETCH_BITS - 1)).astype(np.int64), minlength=SKETCH_BITS)
-    return np.packbits(counts & 1).tobytes()
+    bits = max(SKETCH_BITS, 1 << (len(elements) - 1).bit_length())
+    counts = np.bincount((elements & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits(counts & 1, bitorder="little").tobytes()
+
+
+def distance(a: bytes, b: bytes) -> int:
+    """In how many bits two sketches differ; a longer one is folded onto the other's length."""
+    x, y = np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint64)
+    while len(x) > len(y):
+        x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
 
 
 def document_sets(documents: DataFrame, text: str = "text") -> DataFrame:
@@ -237,15 +249,9 @@ def _verified(pairs: DataFrame, candidates: DataFrame) -> DataFrame:
 
 def _near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        a, b = (
-            np.frombuffer(b"".join(batch.column(c).to_pylist()), np.uint64).reshape(batch.num_rows, -1)
-            for c in ("low_sketch", "high_sketch")
-        )
-        bits = np.bitwise_count(a ^ b).sum(1, dtype=np.int64)
-        sizes = np.asarray(batch.column("low_n")).astype(np.int64) + np.asarray(batch.column("high_n"))
-        yield batch.select(["low", "high"]).filter(pa.array(7 * bits <= sizes))
+        rows = zip(*(batch.column(c).to_pylist() for c in ("low_n", "high_n", "low_sketch", "high_sketch")), strict=True)
+        good = [7 * distance(a, b) <= low + high for low, high, a, b in rows]
+        yield batch.select(["low", "high"]).filter(pa.array(good, pa.bool_()))
 
 
 def _linking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
