@@ -13,21 +13,25 @@ other characters) that are encoded on their own. That is checked when the vocabu
 
 import heapq
 import re
-from collections.abc import Iterable
+from array import array
+from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import lru_cache
 
 import ahocorasick
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 
 from claimledger.llm.common import add_columns
 
 SPACE = "▁"
+CUT = f"\0{SPACE}"
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
 # Chunks and pairs remembered per task. The memory is emptied when full.
-REMEMBERED_CHUNKS = 600_000
+REMEMBERED_CHUNKS = 800_000
 REMEMBERED_PAIRS = 2_000_000
 LONGEST_REMEMBERED = 64
 
@@ -67,7 +71,7 @@ class Codec:
         self.id_of = {p: i for i, p in enumerate(vocabulary.pieces) if vocabulary.normal[i]}
         self.matches = ahocorasick.Automaton()
         self._pairs: dict[tuple[int, int], bool] = {}
-        self._chunks: dict[str, list[int]] = {}
+        self._chunks: dict[str, bytes] = {}
         self._length = [len(piece) for piece in vocabulary.pieces]
         # A piece that merging does not rebuild can never come out.
         usable = {p: i for p, i in self.id_of.items() if len(p) == 1 or self._merge(p) == [p]}
@@ -79,8 +83,10 @@ class Codec:
             self._shorter[i] = next((p for p in prefixes if p is not None), -1)
         self.matches.make_automaton()
         shown = zip(vocabulary.pieces, vocabulary.normal, strict=True)
-        self._text = [piece.replace(SPACE, " ") if use else "" for piece, use in shown]
+        self._text: list[str | None] = [piece.replace(SPACE, " ") if use else "" for piece, use in shown]
         self._byte_of = {i: value for value, i in enumerate(vocabulary.byte_ids)}
+        for value, i in enumerate(vocabulary.byte_ids):
+            self._text[i] = chr(value) if value < 128 else None
 
     def _merge(self, text: str) -> list[str]:
         """The pieces of ``text`` by merging. Used for pieces and pairs of pieces, which are short."""
@@ -154,37 +160,58 @@ class Codec:
             i, last = shorter[tried], ids[-1] if ids else -1
         return ids
 
-    def _chunk(self, chunk: str) -> list[int]:
-        known = self._chunks.get(chunk)
-        if known is not None:
-            return known
-        ids: list[int] = []
+    def _chunk(self, chunk: str) -> bytes:
+        """The ids of a chunk, packed as 32-bit numbers."""
+        ids = array("i")
         start = 0
         for at, character in enumerate(chunk):
             if character not in self.id_of:  # never merges: its bytes
                 if start < at:
-                    ids += self._walk(chunk[start:at])
-                ids += [self.vocabulary.byte_ids[b] for b in character.encode("utf-8", "surrogatepass")]
+                    ids.extend(self._walk(chunk[start:at]))
+                ids.extend(self.vocabulary.byte_ids[b] for b in character.encode("utf-8", "surrogatepass"))
                 start = at + 1
         if start < len(chunk):
-            ids += self._walk(chunk[start:])
+            ids.extend(self._walk(chunk[start:]))
+        packed = ids.tobytes()
         if len(chunk) <= LONGEST_REMEMBERED:
             if len(self._chunks) >= REMEMBERED_CHUNKS:
                 self._chunks.clear()
-            self._chunks[chunk] = ids
-        return ids
+            self._chunks[chunk] = packed
+        return packed
 
-    def encode(self, text: str) -> list[int]:
-        """The ids of ``text``, none for an empty one."""
+    def encode_into(self, text: str, out: bytearray) -> None:
+        """Append the ids of ``text`` as 32-bit numbers, none for an empty one."""
         if not text:
-            return []
-        ids: list[int] = []
-        for chunk in CHUNK.findall(f"{SPACE}{text.replace(' ', SPACE)}"):
-            ids += self._chunk(chunk)
-        return ids
+            return
+        remembered = self._chunks.get
+        if SPACE in text or "\0" in text or "  " in text or text[0] == " " or text[-1] == " ":
+            chunks = CHUNK.findall(f"{SPACE}{text.replace(' ', SPACE)}")
+        else:  # single spaces only: every word with the mark before it
+            chunks = f"{SPACE}{text.replace(' ', CUT)}".split("\0")
+        for chunk in chunks:
+            known = remembered(chunk)
+            out += self._chunk(chunk) if known is None else known
+
+    def encode(self, text: str) -> list[int]:
+        """The ids of ``text``."""
+        out = bytearray()
+        self.encode_into(text, out)
+        return array("i", bytes(out)).tolist()
 
-    def decode(self, ids: Iterable[int]) -> str:
+    def decode(self, ids: Sequence[int]) -> str:
         """The text of ``ids``. Control ids vanish, and bytes that are no UTF-8 become the replacement character."""
+        if not ids:
+            return ""
+        shown = self._text
+        try:
+            text = "".join([shown[i] for i in ids])
+        except TypeError:  # bytes of longer characters
+            text = self._decode_bytes(ids)
+        # The mark that encoding puts before a text is dropped again; a space given as a byte is not.
+        first = next((i for i in ids if shown[i] != ""), ids[0])
+        return text[1:] if first not in self._byte_of and text.startswith(" ") else text
+
+    def _decode_bytes(self, ids: Sequence[int]) -> str:
         parts: list[str] = []
         pending = bytearray()
         for i in ids:
@@ -195,12 +222,8 @@ class Codec:
             if pending:
                 parts.append(_utf8(pending))
                 pending = bytearray()
-            piece = self._text[i]
-            # The mark that encoding puts before a text is dropped again; a space given as a byte is not.
-            parts.append(piece if parts or not piece.startswith(" ") else piece[1:])
-        if pending:
-            parts.append(_utf8(pending))
-        return "".join(parts)
+            parts.append(self._text[i])
+        return "".join([*parts, _utf8(pending)])
 
 
 def _utf8(data: bytearray) -> str:
@@ -238,7 +261,11 @@ def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> D
         codec = _codec(vocabulary.value)
 
         def compute(texts: list[str]) -> list[pa.Array]:
-            return [pa.array([codec.encode(t) for t in texts], pa.list_(pa.int32()))]
+            flat, offsets = bytearray(), [0]
+            for given in texts:
+                codec.encode_into(given, flat)
+                offsets.append(len(flat) // 4)
+            return [pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.frombuffer(flat, np.int32)))]
 
         return compute
 
@@ -257,8 +284,14 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
-                lists = part.column(ids).to_pylist()
-                texts = [codec.decode(i for i in given or [] if i is not None) for given in lists]
+                lists = part.column(ids)
+                if lists.flatten().null_count:
+                    given = [[i for i in own or [] if i is not None] for own in lists.to_pylist()]
+                else:
+                    sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
+                    flat, ends = lists.flatten().to_numpy().tolist(), np.cumsum(sizes).tolist()
+                    given = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
+                texts = [codec.decode(own) for own in given]
                 arrays = [*(part.column(c) for c in kept), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, [*kept, text])
 
