@@ -10,6 +10,8 @@ A paragraph without any word of ``CUE`` is unknown by definition, so the corpus
 paragraphs with a cue are classified.
 """
 
+from collections.abc import Callable
+
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
@@ -104,6 +106,11 @@ MENTIONS = (
 )
 
 
+def _once(value: Column, use: Callable[[Column], Column]) -> Column:
+    """``use(value)`` with ``value`` computed a single time, however often it is used."""
+    return F.get(F.transform(F.array(value), use), F.lit(0))
+
+
 def words(text: Column) -> Column:
     """Words in lower case, version numbers as ``#``: a notice is the same in every version."""
     plain = F.regexp_replace(F.lower(text), r"[0-9]+(?:\.[0-9]+)*", " # ")
@@ -204,9 +211,14 @@ class LicenceModel:
         raw = self.classifier.transform(_hashed(rows)).withColumn("_raw", vector_to_array("_raw"))
 
         def softmax(heat: float) -> Column:
-            powers = F.transform("_raw", lambda r: F.exp((r - F.array_max("_raw")) / heat))
-            total = F.aggregate(powers, F.lit(0.0), lambda s, x: s + x)
-            return F.transform(powers, lambda x: x / total)
+            def powers(most: Column) -> Column:
+                return F.transform("_raw", lambda r: F.exp((r - most) / heat))
+
+            def shares(given: Column) -> Column:
+                total = F.aggregate(given, F.lit(0.0), lambda s, x: s + x)
+                return _once(total, lambda t: F.transform(given, lambda x: x / t))
+
+            return _once(_once(F.array_max("_raw"), powers), shares)
 
         chances = F.array(*map(softmax, temperatures)) if temperatures else softmax(self.temperature)
         return raw.withColumn("chances", chances).drop("_raw", "_features", "_grams", "_likelihood", "_class")
@@ -214,7 +226,7 @@ class LicenceModel:
 
 def _hashed(rows: DataFrame) -> DataFrame:
     hashing = HashingTF(inputCol="_grams", outputCol="_features", numFeatures=1 << BITS, binary=True)
-    return hashing.transform(rows.withColumn("_grams", grams(F.col("words"))))
+    return hashing.transform(rows.withColumn("_grams", _once(F.col("words"), grams)))
 
 
 def train(documents: DataFrame, text: str = "text") -> LicenceModel:
@@ -248,11 +260,13 @@ def train(documents: DataFrame, text: str = "text") -> LicenceModel:
 
 def similarity(tokens: Column, family: Column, templates: list[tuple[str, list[str]]]) -> Column:
     """The greatest share of the word pairs of one of the family's notices that the words hold."""
-    shares = [
-        F.when(family == name, F.size(F.array_intersect(F.array(*map(F.lit, own)), _pairs(tokens))) / len(own))
-        for name, own in templates
-    ]
-    return F.coalesce(F.greatest(*shares), F.lit(0.0))
+
+    def best(pairs: Column) -> Column:
+        return F.greatest(
+            *[F.when(family == name, F.size(F.array_intersect(F.array(*map(F.lit, own)), pairs)) / len(own)) for name, own in templates]
+        )
+
+    return F.coalesce(_once(_once(tokens, _pairs), best), F.lit(0.0))
 
 
 def find_licences(documents: DataFrame, model: LicenceModel, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -260,7 +274,8 @@ def find_licences(documents: DataFrame, model: LicenceModel, id: str = "doc_id",
 
     NULL and empty texts have no paragraphs. Repeated rows give their rows again; a NULL id stays NULL. No shuffle.
     """
-    scored = model.chances(paragraphs(documents, id, text))
+    # Only paragraphs with a cue: written, so that each is classified once.
+    scored = stored(model.chances(paragraphs(documents, id, text)))
     best = F.array_max(F.transform("chances", lambda c, i: F.struct(c.alias("probability"), (-i).alias("place"))))
     family = F.element_at(F.array(*map(F.lit, model.families)), (1 - F.col("best.place")).cast("int"))
     rows = scored.withColumn("best", best).withColumn("family", family).withColumn("probability", F.col("best.probability"))
