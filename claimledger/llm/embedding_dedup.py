@@ -1,7 +1,7 @@
 """Near-duplicate vectors by search in a robust-pruned neighbour graph.
 
 Vectors are compared within a label only. Equal vectors are one point. The points of a label are dealt to shards of
-bounded size by their nearest centroids (learned from a bounded sample), ``OVERLAP`` shards each, so that neighbours meet
+bounded size by their nearest centroids (learned from a bounded sample), several shards each, so that neighbours meet
 in a shard. In each shard a graph is built: every point's nearest ones, pruned so that a neighbour is left out where
 another neighbour is much closer to it (robust pruning), with links in both directions. A point's lists from all its
 shards are united. Then every point is searched for from the shard's medoid: the best known
@@ -23,8 +23,10 @@ RANGE = 0.93
 SHARD_ROWS = 1_500
 FAN_OUT = 16
 SAMPLE_ROWS = 4_000
+# Shards a point is dealt to when a label is cut, and when a shard that is still too large is cut again.
 OVERLAP = 3
-MAX_LEVELS = 12
+OVERLAP_AGAIN = 2
+MAX_LEVELS = 6
 
 NEIGHBOURS = 24
 POOL = 64
@@ -63,7 +65,8 @@ def fit_centroids(rows: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
 def _learn(rows: pa.Table) -> pa.Table:
     ranked = rows.sort_by("point")
     size = ranked.column("members")[0].as_py()
-    count = min(FAN_OUT, max(2, -(-OVERLAP * size // SHARD_ROWS)))
+    # Shards come out at about half the limit, and always at a quarter of what is cut or less.
+    count = min(FAN_OUT, max(4 * OVERLAP_AGAIN, -(-2 * OVERLAP * size // SHARD_ROWS)))
     centre = fit_centroids(_matrix(ranked.column("embedding")), count)
     kind = pa.list_(pa.list_(pa.float64()))
     return pa.table({"label": ranked.column("label")[:1], "shard": ranked.column("shard")[:1], "centre": pa.array([centre.tolist()], kind)})
@@ -80,7 +83,8 @@ def _deal(batches):
             key = hash((label, names[at]))
             if key not in cache:
                 cache[key] = np.array(given.as_py())
-            near = np.argsort(-(cache[key] @ vectors[at]), kind="stable")[:OVERLAP]
+            deal = OVERLAP_AGAIN if names[at] else OVERLAP
+            near = np.argsort(-(cache[key] @ vectors[at]), kind="stable")[:deal]
             take += [at] * len(near)
             shards += [f"{names[at]}/{n}" for n in near.tolist()]
         rows = batch.select(["label", "point", "embedding"]).take(pa.array(take))
