@@ -24,7 +24,10 @@ PERSON = "P"
 
 
 def money(column: Column) -> Column:
-    return column.cast(MONEY)
+    """The column as an amount. One beyond the range is an error in every session, not NULL and then zero."""
+    fitted = column.try_cast(MONEY)
+    lost = F.raise_error(F.lit(f"NUMERIC_VALUE_OUT_OF_RANGE: an amount does not fit {MONEY.simpleString()}"))
+    return F.when(column.isNotNull() & fitted.isNull(), lost).otherwise(fitted)
 
 
 def zero_if_null(column: Column) -> Column:

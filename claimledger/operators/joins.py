@@ -28,14 +28,16 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 FIXED_WIDTH = 16
 
 # A key is hot when it holds more rows than one task should take, or 1/5000 of all rows where that
-# is more. So there can be no more than 5000 hot keys, whatever the data.
+# is more. So there can be no more than 5000 hot keys, whatever the data. A hot key is cut into slices of
+# ``SLICE_ROWS``, however many those are.
 SLICE_ROWS = 1_000_000
 MAX_HOT_KEYS = 5_000
 
 # Keys the heavy-hitter sketch tracks. Its error is at most 3.5/65536 of all rows, under 1/5000.
 TRACKED_KEYS = 65_536
 
-# Sketches are merged in two steps, so that no task merges those of all input splits.
+# Sketches are merged in two steps, so that no task merges those of all input splits. At least so many groups; with
+# more rows, about the square root of the number of splits.
 MERGE_GROUPS = 64
 
 HotKeys = list[tuple[int, int]]
@@ -47,7 +49,7 @@ NULL_KEY_HOT = (NULL_KEY, 1)
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """One row per key: the least by its other columns. Rows with a NULL key never match and go.
+    """One row per key: the least by its other columns, NULL last. Rows with a NULL key never match and go.
 
     An update from several matches keeps any one of them; a fixed choice makes the result repeatable.
     """
@@ -55,7 +57,9 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     df = df.dropna(subset=list(keys))
     if not rest:
         return df.distinct()
-    return df.groupBy(*keys).agg(F.min(F.struct(*rest)).alias("row")).select(*keys, "row.*")
+    order = [part for c in rest for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    least = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("row"))
+    return least.select(*keys, *[F.col("row")[c].alias(c) for c in rest])
 
 
 class Side:
@@ -128,12 +132,13 @@ class KeyUse:
         if keys not in self._hot:
             most = max(SLICE_ROWS, self.rows / MAX_HOT_KEYS)
             self._hot[keys] = [
-                (top["item"], math.ceil(top["count"] / most)) for top in self._most_used(keys) if top["count"] > most
+                (top["item"], math.ceil(top["count"] / SLICE_ROWS)) for top in self._most_used(keys) if top["count"] > most
             ]
         return self._hot[keys]
 
     def _most_used(self, keys: Sequence[str]) -> list[Row]:
-        part = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS)).alias("part")
+        groups = max(MERGE_GROUPS, math.isqrt(self.rows // SLICE_ROWS))
+        part = F.pmod(F.spark_partition_id(), F.lit(groups)).alias("part")
         # Grouped by a constant: without a grouping, an empty shuffle partition has no sketch to give.
         return (
             self.df.select(_key_hash(keys).alias("key"), part)
@@ -167,7 +172,7 @@ def sliced_join(
         return marked.withColumn("_slices", F.coalesce("_slices", F.lit(1))).drop("_key")
 
     slice_of_row = F.pmod(
-        F.xxhash64(*spread), F.when(_missing(keys), F.lit(MAX_HOT_KEYS)).otherwise(F.col("_slices"))
+        F.xxhash64(*spread), F.when(_missing(keys), F.greatest("_slices", F.lit(MAX_HOT_KEYS))).otherwise(F.col("_slices"))
     ).cast("int")
     out = with_slices(left).withColumn("_slice", slice_of_row).drop("_slices")
     for right in rights:

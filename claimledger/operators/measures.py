@@ -5,11 +5,14 @@ from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DecimalType
 
 from claimledger.functions.expressions import BAD_DEBT_STATUS, money, zero_if_null
 from claimledger.operators.joins import KeyUse, Side, lookup
 from claimledger.sources.schemas import MONEY
 
+WIDE = DecimalType(38, MONEY.scale)
+
 # Codes of the transaction tables.
 INSURANCE = "T"
 PATIENT = "P"
@@ -142,9 +145,10 @@ def transaction_sums(
     matched = lookup(details, headers, header_keys, hot, spread=by, how="inner", collapse=collapse)
 
     def weighted(name: str, measure: TransactionMeasure) -> Column:
-        amount, count = money(F.col(measure.amount)), F.col(f"{name}_count")
+        # Wide until the end: lines may have been added up before, or not, and only the final sum must fit.
+        amount, count = F.col(measure.amount).cast(WIDE), F.col(f"{name}_count")
         # Nearly every line has one header, which needs no multiplication.
-        value = F.when(count == 1, amount).when(count > 1, (amount * count).cast(MONEY))
+        value = F.when(count == 1, amount).when(count > 1, (F.col(measure.amount) * count).cast(WIDE))
         return money(F.sum(value)).alias(names[name])
 
     return matched.groupBy(*by).agg(*[weighted(n, m) for n, m in TRANSACTION_MEASURES.items()])

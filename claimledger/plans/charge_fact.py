@@ -86,8 +86,13 @@ def key_use(charges: DataFrame, practices: Sequence[str]) -> KeyUse:
 
 
 def with_guarantor(charges: DataFrame, patient_encounter: DataFrame, use: KeyUse) -> DataFrame:
-    """Guarantor of the charge's encounter, found by encounter id; a charge without one is dropped."""
-    owners = keyed(patient_encounter.select("enc_id", "guar_id", "guar_type"), ["enc_id"])
+    """Guarantor of the charge's encounter, found by encounter id; a charge without one is dropped.
+
+    Where an encounter id occurs with a guarantor and without, the row with one counts: no charge that has an
+    owner is lost.
+    """
+    owned = patient_encounter.where(F.col("guar_id").isNotNull())
+    owners = keyed(owned.select("enc_id", "guar_id", "guar_type"), ["enc_id"])
     found = lookup(charges, owners, ["enc_id"], use.hot("enc_id"), spread=GRAIN)
     return found.where(F.col("guar_id").isNotNull())
 

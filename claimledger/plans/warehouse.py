@@ -1,15 +1,19 @@
-"""The warehouse load of the charge fact and the check of its contract."""
+"""The warehouse load of the charge fact and the check of its contract.
+
+The table is a folder of versions and a log that names the current one.
+"""
 
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from claimledger.sources.schemas import F_TRANSACTIONS, F_TRANSACTIONS_FROM, F_TRANSACTIONS_KEY, typed
 
 NOT_NULL = "NOT NULL"
 PRIMARY_KEY = "PRIMARY KEY"
+VERSIONS = "_versions"
 
 
 class ContractError(ValueError):
@@ -46,7 +50,8 @@ def shared_folder(spark: SparkSession) -> str:
     """A new folder name where all executors can write: below the session's checkpoint folder."""
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        if not spark.sparkContext.master.startswith("local"):
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
             raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         root = tempfile.mkdtemp(prefix="claimledger-")
     return f"{root.rstrip('/')}/f_transactions-{uuid.uuid4().hex}"
@@ -59,23 +64,51 @@ def stored(rows: DataFrame) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(folder)
 
 
+def _versions(spark: SparkSession, path: str) -> DataFrame:
+    return spark.read.schema("number bigint, folder string").parquet(f"{path}/{VERSIONS}")
+
+
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
-    """The stored warehouse table. The declared schema keeps practice ``0001`` as text."""
-    return typed(spark.read.schema(F_TRANSACTIONS).parquet(path), F_TRANSACTIONS)
+    """The warehouse table as last loaded. The declared schema keeps practice ``0001`` as text."""
+    folder = _versions(spark, path).agg(F.max_by("folder", "number")).first()[0]
+    return typed(spark.read.schema(F_TRANSACTIONS).parquet(f"{path}/{folder}"), F_TRANSACTIONS)
+
+
+def _delete(spark: SparkSession, folder: str) -> None:
+    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def load_fact(fact: DataFrame, path: str) -> DataFrame:
     """Replace the warehouse table at ``path`` by ``fact``, or raise and leave it as it is.
 
-    The rows are computed once, into a stored copy; the contract is checked on the copy, and only
-    then is the table replaced. Rebalancing splits a practice with many rows over several files and
-    keeps small practices from leaving many small ones.
+    The rows are computed and written once, into a version folder of their own, and the contract is checked there. Only
+    then does one small row in ``path/_versions`` make that folder the table; until that is committed, readers see
+    the version before. A version that breaks the contract is deleted, and so are versions older than the last two.
+    One load runs at a time. Rebalancing splits a practice with many rows over several files and keeps small
+    practices from leaving many small ones.
     """
-    rows = stored(warehouse_rows(fact))
-    broken = contract_violations(rows).where(F.col("violations") > 0).collect()
+    spark = fact.sparkSession
+    folder = f"version-{uuid.uuid4().hex}"
+    rows = warehouse_rows(fact).hint("rebalance", "Practice_ID")
+    rows.write.partitionBy("Practice_ID").parquet(f"{path}/{folder}")
+    written = typed(spark.read.schema(F_TRANSACTIONS).parquet(f"{path}/{folder}"), F_TRANSACTIONS)
+    broken = contract_violations(written).where(F.col("violations") > 0).collect()
     if broken:
+        _delete(spark, f"{path}/{folder}")
         raise ContractError("; ".join(f"{r.rule} {r.column_name}: {r.violations}" for r in broken))
-    # Static, whatever the session says: practices that are gone must go from the table.
-    writer = rows.hint("rebalance", "Practice_ID").write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy("Practice_ID").parquet(path)
-    return read_fact(rows.sparkSession, path)
+    old = _earlier(spark, path)
+    number = old[0].number + 1 if old else 1
+    one = spark.createDataFrame([(number, folder)], "number bigint, folder string").coalesce(1)
+    one.write.mode("append").parquet(f"{path}/{VERSIONS}")
+    for version in old[1:]:
+        _delete(spark, f"{path}/{version.folder}")
+    return read_fact(spark, path)
+
+
+def _earlier(spark: SparkSession, path: str) -> list[Row]:
+    """The last few versions, newest first."""
+    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSIONS}")
+    if not log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
+        return []
+    return _versions(spark, path).orderBy(F.desc("number")).limit(5).collect()

@@ -4,8 +4,10 @@ import datetime
 
 import pytest
 
+from claimledger.operators import joins
 from claimledger.plans.charge_fact import charge_fact, charge_fact_sample, charge_transactions
 from claimledger.plans.encounter_balances import encounter_balances
+from claimledger.sources.staging import ALL_PRACTICES
 from tests.conftest import dollars, make_billing
 
 P1, P2 = "0001", "0002"
@@ -388,3 +390,49 @@ def test_money_beyond_its_range_is_an_error(spark):
     )
     with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
         charge_fact(tables, [P1]).collect()
+
+
+def test_an_encounter_with_and_without_guarantor_keeps_its_charges(spark):
+    tables = make_billing(
+        spark,
+        patient_encounter=[
+            {"practice_id": "0001", "enc_id": "1", "guar_id": None, "guar_type": "P"},
+            {"practice_id": "0002", "enc_id": "1", "guar_id": "G", "guar_type": "P"},
+        ],
+        charges=[{"practice_id": "0001", "source_id": "1", "charge_id": "C", "amt": 1}],
+    )
+    assert [(r.charge_id, r.guar_id) for r in charge_fact(tables, ALL_PRACTICES).collect()] == [("C", "G")]
+
+
+def test_amounts_that_cancel_beyond_the_range(spark, monkeypatch):
+    """The same rows give the same sum on the plain and on the sliced way."""
+    lines = [("T1", 6e14), ("T1", 6e14), ("T2", -6e14), ("T2", -6e14)]
+    tables = make_billing(
+        spark,
+        patient_encounter=[{"practice_id": "0001", "enc_id": "1", "guar_id": "G", "guar_type": "P"}],
+        charges=[{"practice_id": "0001", "source_id": "1", "charge_id": "C", "amt": 1}],
+        trans_detail=[
+            {"practice_id": "0001", "trans_id": t, "source_id": "1", "charge_id": "C", "paid_amt": a, "post_ind": "Y"}
+            for t, a in lines
+        ],
+        transactions=[{"practice_id": "0001", "trans_id": t, "source": "P"} for t in ("T1", "T2")],
+    )
+    plain = charge_fact(tables, ALL_PRACTICES).collect()
+    monkeypatch.setattr(joins, "SLICE_ROWS", 1)
+    monkeypatch.setattr(joins, "MAX_BROADCAST_ROWS", 0)
+    sliced = charge_fact(tables, ALL_PRACTICES).collect()
+    assert plain == sliced
+    assert plain[0].chgpatpmt == dollars(0)
+
+
+def test_an_overflow_is_an_error_without_ansi_too(spark):
+    charges = [{"practice_id": "0001", "source_id": "1", "charge_id": "C", "amt": 9e14}] * 3
+    tables = make_billing(
+        spark, patient_encounter=[{"practice_id": "0001", "enc_id": "1", "guar_id": "G", "guar_type": "P"}], charges=charges
+    )
+    spark.conf.set("spark.sql.ansi.enabled", "false")
+    try:
+        with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+            charge_fact(tables, ALL_PRACTICES).collect()
+    finally:
+        spark.conf.unset("spark.sql.ansi.enabled")

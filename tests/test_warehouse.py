@@ -42,7 +42,7 @@ def test_load_and_read_back(spark, staged, tmp_path):
     assert [(f.name, f.dataType) for f in loaded.schema] == [(f.name, f.dataType) for f in F_TRANSACTIONS]
     same_rows(loaded, warehouse_rows(fact))
     assert {r[0] for r in loaded.select("Practice_ID").distinct().collect()} == set(ALL_PRACTICES)
-    assert {p.name for p in (tmp_path / "fact").glob("Practice_ID=*")} == {f"Practice_ID={p}" for p in ALL_PRACTICES}
+    assert {p.name for p in (tmp_path / "fact").glob("version-*/Practice_ID=*")} == {f"Practice_ID={p}" for p in ALL_PRACTICES}
 
 
 def test_columns_are_bound_by_name(spark):
@@ -96,6 +96,25 @@ def test_a_broken_load_leaves_the_table_alone(spark, tmp_path):
     with pytest.raises(ContractError, match="PRIMARY KEY Charge_ID: 1"):
         load_fact(small_fact(spark, [{"charge_id": "B", "source_id": s} for s in ("1", "3")]), path)
     assert [r.Charge_ID for r in read_fact(spark, path).collect()] == ["A"]
+    assert len(list(Path(path).glob("version-*"))) == 1
+
+
+def test_a_failed_write_leaves_the_table_alone(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    load_fact(small_fact(spark, [{"charge_id": "A"}]), path)
+    fact = small_fact(spark, [{"charge_id": "B"}])
+    failing = fact.withColumn("chgamt", F.when(F.col("charge_id") == "B", F.raise_error("task")).otherwise(F.col("chgamt")))
+    with pytest.raises(Exception, match="task"):
+        load_fact(failing, path)
+    assert [r.Charge_ID for r in read_fact(spark, path).collect()] == ["A"]
+
+
+def test_old_versions_go(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    for charge in "ABCD":
+        load_fact(small_fact(spark, [{"charge_id": charge}]), path)
+    assert [r.Charge_ID for r in read_fact(spark, path).collect()] == ["D"]
+    assert len(list(Path(path).glob("version-*"))) == 2
 
 
 def test_stored_copies_go_below_the_checkpoint_folder(spark):
@@ -120,5 +139,5 @@ def test_a_practice_with_many_rows_is_split_over_files(spark, staged, tmp_path):
     finally:
         for key in settings:
             spark.conf.unset(key)
-    assert len(list((tmp_path / "fact" / "Practice_ID=0001").glob("*.parquet"))) > 2
-    assert len(list((tmp_path / "fact" / "Practice_ID=0002").glob("*.parquet"))) <= 2
+    assert len(list((tmp_path / "fact").glob("version-*/Practice_ID=0001/*.parquet"))) > 2
+    assert len(list((tmp_path / "fact").glob("version-*/Practice_ID=0002/*.parquet"))) <= 2
