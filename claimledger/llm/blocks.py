@@ -6,7 +6,7 @@ are dealt by value into buckets, packed (four bytes a key); a bucket sees which
 blocks and reports back to those. Blocks are made again from the same shuffle for each round.
 
 A key of a bucket is 32 bits besides the bucket's number. The number of buckets
-follows the number of blocks, so a bucket holds about as many keys as two blocks, and chance equality stays rare (about
+follows the number of blocks, so a bucket holds about as many keys as three blocks at most, and chance equality stays rare (about
 1 in 1,000 keys) at every size. The rounds
 use it to find candidates only.
 """
@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 BLOCK_BYTES = 16 * 1024 * 1024
-BLOCKS_PER_PARTITION = 2
+BLOCKS_PER_PARTITION = 3
 KEYS = "bucket int, block int, keys binary, counts binary"
 # Texts are hashed in chunks of so many bytes; a longer text is a chunk of its own.
 HASHED_BYTES = 100_000
@@ -42,8 +42,8 @@ def with_block(documents: DataFrame, count: int, id: str = "doc_id", text: str =
 
 
 def bucket_bits(count: int) -> int:
-    """About half as many buckets as blocks, as a power of two."""
-    return max(1, (count // 2 - 1).bit_length())
+    """At least a third as many buckets as blocks, as a power of two."""
+    return max(1, (count // 3 - 1).bit_length())
 
 
 _SPACE = np.zeros(256, bool)

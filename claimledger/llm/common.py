@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 # Rows taken from an Arrow batch at a time end at so many bytes of text (a single longer text is whole).
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 2_000_000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -89,5 +89,6 @@ def add_columns(
             for part, texts in text_slices(batch, column):
                 arrays = [a.cast(f.type) for a, f in zip(compute(texts), wanted, strict=True)]
                 yield pa.RecordBatch.from_arrays([*(part.column(c) for c in kept), *arrays], [*kept, *new.names])
+        pa.default_memory_pool().release_unused()  # the worker goes on to other tasks
 
     return df.mapInArrow(run, StructType([*(df.schema[c] for c in kept), *new.fields]))
