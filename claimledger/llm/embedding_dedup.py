@@ -4,7 +4,7 @@ Vectors are compared within a label only. Equal vectors are one point. The point
 bounded size by their nearest centroids (learned from a bounded sample), several shards each, so that neighbours meet
 in a shard. In each shard a graph is built: every point's nearest ones, pruned so that a neighbour is left out where
 another neighbour is much closer to it (robust pruning), with links in both directions. A point's lists from all its
-shards are united. Then every point is searched for from the shard's medoid: the best known
+shards are united. Then every point is searched for from the shard's medoid and its own list: the best known
 point is expanded next, until the best ``BEAM`` are; points within the range are all expanded, however many there are. What is
 found is verified in double precision.
 
@@ -21,7 +21,7 @@ from claimledger.llm.components import components
 
 RANGE = 0.93
 SHARD_ROWS = 1_500
-FAN_OUT = 16
+FAN_OUT = 24
 SAMPLE_ROWS = 4_000
 # Shards a point is dealt to when a label is cut, and when a shard that is still too large is cut again.
 OVERLAP = 3
@@ -30,6 +30,7 @@ MAX_LEVELS = 6
 
 NEIGHBOURS = 24
 POOL = 64
+NEAREST = 12
 ALPHA = 1.2
 BEAM = 12
 # Points this little below the range are expanded too: their neighbours may lie within.
@@ -146,7 +147,8 @@ def build_graph(vectors: np.ndarray) -> list[list[int]]:
     for row in range(count):
         near = np.argpartition(-similar[row], width - 1)[:width] if width > 0 else np.empty(0, int)
         near = near[np.argsort(-similar[row][near], kind="stable")]
-        lists.append(robust_prune(near, similar[row][near], vectors))
+        # The nearest ones stay unpruned: in a dense cluster, pruning alone leaves parts that do not reach each other.
+        lists.append([*dict.fromkeys([*near[:NEAREST].tolist(), *robust_prune(near, similar[row][near], vectors)])])
     both = [set(own) for own in lists]
     for row, own in enumerate(lists):
         for other in own:
@@ -156,7 +158,8 @@ def build_graph(vectors: np.ndarray) -> list[list[int]]:
         near = np.array(sorted(own), int)
         if len(near) > 2 * NEIGHBOURS:
             near = near[np.argsort(-similar[row][near], kind="stable")]
-            near = np.array(robust_prune(near, similar[row][near], vectors, 2 * NEIGHBOURS), int)
+            pruned = robust_prune(near, similar[row][near], vectors, 2 * NEIGHBOURS)
+            near = np.array([*dict.fromkeys([*near[:NEIGHBOURS].tolist(), *pruned])], int)
         out.append(near.tolist())
     return out
 
@@ -173,6 +176,8 @@ def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) ->
     medoid = int((vectors @ vectors.mean(0)).argmax())
     seen = np.full((count, count), -np.inf, np.float32)
     seen[:, medoid] = vectors @ vectors[medoid]
+    # A query is a point of the graph itself, so its own list is known from the start, besides the way from the medoid.
+    np.fill_diagonal(seen, 1.0)
     waiting = seen.copy()  # seen and not expanded
     rows = np.arange(count)
     while len(rows):
