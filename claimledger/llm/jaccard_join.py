@@ -11,8 +11,10 @@ band (powers of two; a set near the next band joins there too).
 3. A cell that more than ``HOT`` sets share is hot. A set with more than d cells that are not hot meets every partner in one of
    its first d + 1 such cells, where at most ``HOT`` sets are compared. A set without so many is "dense".
 4. Dense sets, which consist of much-shared elements, are joined among each other on their rarest elements (more than a
-   quarter of the set). Elements that over ``HOT`` sets share are hot; there, every set is compared with the least one
-   first, and what is then still in another component than the most with all others.
+   quarter of the set). Elements that over ``HOT`` sets share are hot. A pair of sets of n and m that shares only hot ones
+   cannot have the c elements of the first that are not hot in common, so it links only if 7(n - c) >= 3(n + m); that leaves
+   each set a greatest size of partners. Within a hot element, every set is compared with the one of the fewest other
+   elements first, and what is then still in another component than the most with those of the sizes that both allow.
 5. Pairs whose bit sketches differ in more bits than the sets may in elements are dropped; the rest is verified on the texts.
    Pairs that verified links connect already are not verified.
 """
@@ -38,9 +40,11 @@ SKETCH_BITS = 256
 # Smaller sets have a cell for each element.
 SMALL = 64
 _ALONE = 32
+# Partners by hot elements are looked up by size, in classes whose sizes differ by this factor at most.
+SIZE_STEP = 1.1
 
 CANDIDATE = "block int, doc_id bigint, n int, cells array<bigint>, dense boolean, sketch binary, text string"
-RARE = "doc_id bigint, element bigint, hot boolean"
+RARE = "doc_id bigint, element bigint, hot boolean, n int, cold int"
 
 
 def shingles(hashes: np.ndarray) -> np.ndarray:
@@ -207,18 +211,21 @@ def _rare_elements(bits: int):
         flat = np.concatenate([np.empty(0, np.uint64), *sets])
         # Kept as far as it is exchanged, so that all blocks order elements alike.
         names, uses = flat >> np.uint64(32 - bits), _uses(flat, bits, shared)
-        ids, found, hot, start = [], [], [], 0
+        ids, sizes, colds, found, hot, start = [], [], [], [], [], 0
         for doc_id, elements in zip(rows.column("doc_id").to_pylist(), sets, strict=True):
             name, use = names[start : start + len(elements)], uses[start : start + len(elements)]
             start += len(elements)
             first = np.lexsort((elements, name, use))[: len(elements) // 4 + 1]
             first = first[use[first] > 1]
             ids += [doc_id] * len(first)
+            sizes += [len(elements)] * len(first)
+            colds += [int(np.count_nonzero(use <= HOT))] * len(first)
             found.append(name[first])
             hot.append(use[first] > HOT)
         elements = np.concatenate([np.empty(0, np.uint64), *found]).astype(np.int64)
         flags = np.concatenate([np.empty(0, bool), *hot])
-        return pa.table({"doc_id": pa.array(ids, pa.int64()), "element": pa.array(elements), "hot": pa.array(flags)})
+        columns = {"doc_id": pa.array(ids, pa.int64()), "element": pa.array(elements), "hot": pa.array(flags)}
+        return pa.table({**columns, "n": pa.array(sizes, pa.int32()), "cold": pa.array(colds, pa.int32())})
 
     return run
 
@@ -265,15 +272,26 @@ def _linking(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield part.select(["low", "high"]).filter(pa.array(good, pa.bool_()))
 
 
-def _links(pairs: DataFrame, hot: DataFrame, candidates: DataFrame) -> DataFrame:
+def _size_class(n: Column) -> Column:
+    return F.floor(F.log(SIZE_STEP, n))
+
+
+def _links(pairs: DataFrame, rare: DataFrame, candidates: DataFrame) -> DataFrame:
     """Enough links to connect what links connect: of ``pairs``, and among the documents that share a hot element.
 
     Only components are wanted, so pairs whose ends are connected already are not verified. First every document is
-    compared with the least one it is paired with, and with the least one of each hot element; then the pairs between
-    different components, and of each hot element all but the largest component with everything else.
+    compared with the least one it is paired with, and of each hot element with the one of the least share of cold elements;
+    then the pairs between different components, and of each hot element all but the largest component with everything else
+    of a fitting size. ``room`` is the greatest size of a partner that shares no cold element; the others are in ``pairs``.
     """
-    least = hot.groupBy("element").agg(F.min("doc_id").alias("low"))
-    star = hot.join(least, "element").where("doc_id > low").select("low", F.col("doc_id").alias("high"))
+    room = F.floor((4 * F.col("n") - 7 * F.col("cold")) / 3)
+    hot = rare.where("hot").select("element", "doc_id", "n", room.alias("room"), (F.col("cold") / F.col("n")).alias("share"))
+    centre = hot.groupBy("element").agg(F.min(F.struct("share", "doc_id", "n", "room")).alias("centre"))
+    star = (
+        hot.join(centre, "element")
+        .where("doc_id != centre.doc_id and n <= centre.room and centre.n <= room")
+        .select(F.least("doc_id", "centre.doc_id").alias("low"), F.greatest("doc_id", "centre.doc_id").alias("high"))
+    )
     first = pairs.groupBy("high").agg(F.min("low").alias("low")).select("low", "high").union(star).distinct()
     links = stored(_verified(first, candidates))
     label = stored(components(links, "low", "high"))
@@ -282,15 +300,22 @@ def _links(pairs: DataFrame, hot: DataFrame, candidates: DataFrame) -> DataFrame
         return rows.join(label.toDF(id, name), id, "left").withColumn(name, F.coalesce(name, id))
 
     rest = labelled(labelled(pairs, "low", "low_part"), "high", "high_part").where("low_part != high_part").select("low", "high")
-    placed = stored(labelled(hot, "doc_id", "component"))
+    placed = stored(labelled(hot.drop("share"), "doc_id", "component"))
     sizes = placed.groupBy("element", "component").agg(F.count("doc_id").alias("members"))
     most = sizes.groupBy("element").agg(F.max(F.struct("members", "component")).alias("most"), F.count("component").alias("parts"))
     split = most.where("parts > 1").select("element", F.col("most.component").alias("largest"))
-    members = placed.join(split, "element")
-    others = members.where("component != largest").select("element", F.col("doc_id").alias("one"), F.col("component").alias("own"))
+    members = placed.join(split, "element").withColumn("class", _size_class(F.col("n")))
+    others = members.where("component != largest and 4 * room >= 3 * n").select(
+        "element",
+        F.col("doc_id").alias("one"),
+        F.col("component").alias("own"),
+        F.col("n").alias("own_n"),
+        F.col("room").alias("own_room"),
+        F.explode(F.sequence(_size_class(F.ceil(3 * F.col("n") / 4)), _size_class(F.col("room")))).alias("class"),
+    )
     apart = (
-        others.join(members, "element")
-        .where("own != component")
+        others.join(members, ["element", "class"])
+        .where("own != component and n <= own_room and own_n <= room")
         .select(F.least("one", "doc_id").alias("low"), F.greatest("one", "doc_id").alias("high"))
     )
     return links.union(_verified(rest.union(apart).distinct(), candidates))
@@ -325,7 +350,7 @@ def similar_documents(documents: DataFrame, id: str = "doc_id", text: str = "tex
     elements = blocks.shared_keys(dense.groupBy("block").applyInArrow(_send_elements(bits), blocks.KEYS))
     rare = stored(dense.groupBy("block").cogroup(elements.groupBy("block")).applyInArrow(_rare_elements(bits), RARE))
     pairs = stored(_pairs_within(cold, "cell").union(_pairs_within(rare.where("not hot"), "element")).distinct())
-    reached = components(_links(pairs, rare.where("hot").select("element", "doc_id"), candidates), "low", "high")
+    reached = components(_links(pairs, rare, candidates), "low", "high")
 
     named = classes.join(reached, classes.class_id == reached.id, "left").select(
         *signature, "class_id", F.coalesce("component", "class_id").alias("component_id")

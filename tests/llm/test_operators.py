@@ -261,6 +261,31 @@ def test_jaccard_components_equal_brute_force(documents, monkeypatch, hot):
     assert got == similar_groups(rows)
 
 
+@pytest.mark.parametrize("hot", [2, 5])
+def test_jaccard_group_around_the_limit_equals_brute_force(documents, monkeypatch, hot):
+    """Copies about as similar to their base as the limit asks, shorter and longer ones, and copies of these."""
+    monkeypatch.setattr(jaccard_join, "HOT", hot)
+    draw = random.Random(21)
+    base, rows = words(4000, 120), []
+    for k in range(70):
+        copy = list(base)
+        for _ in range(draw.randint(0, 9)):
+            copy[draw.randrange(len(copy))] = f"own{draw.randrange(10**9)}"
+        if k % 3 == 1:
+            copy = copy[: draw.randint(80, 118)]
+        elif k % 3 == 2:
+            copy += words(4100 + k, draw.randint(1, 40))
+        rows.append((k, " ".join(copy)))
+        if k % 5 == 0:
+            copy[draw.randrange(len(copy))] = "again"
+            rows.append((1000 + k, " ".join(copy)))
+    draw.shuffle(rows)
+    expected = similar_groups(rows)
+    assert 1 < len({component for _, component in expected.values()}) < len(rows)
+    got = {r.doc_id: (r.n_shingles, r.component_id) for r in jaccard_join.similar_documents(documents(rows)).collect()}
+    assert got == expected
+
+
 def test_jaccard_odd_rows(documents, odd):
     rows = jaccard_join.similar_documents(documents(odd)).collect()
     assert len(rows) == len(odd)
