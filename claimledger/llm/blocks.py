@@ -16,18 +16,21 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 16 * 1024 * 1024
-BLOCKS_PER_PARTITION = 3
+BLOCK_BYTES = 12 * 1024 * 1024
+# Smaller inputs are cut into smaller blocks, so many for each core, but not below this size: every block
+# may send a row to every bucket, so blocks follow the text and not the number of shuffle partitions.
+BLOCKS_PER_CORE = 8
+LEAST_BYTES = 1024 * 1024
 KEYS = "bucket int, block int, keys binary, counts binary"
 # Texts are hashed in chunks of so many bytes; a longer text is a chunk of its own.
 HASHED_BYTES = 100_000
 
 
 def block_count(documents: DataFrame, text: str = "text") -> int:
-    """Blocks of at most about ``BLOCK_BYTES`` of text; some for each shuffle partition, for an even spread."""
+    """Blocks of at most about ``BLOCK_BYTES`` of text, smaller ones where that leaves cores without work."""
     total = documents.agg(F.sum(F.octet_length(text).cast("bigint"))).first()[0] or 0
-    partitions = int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(BLOCKS_PER_PARTITION * partitions, -(-total // BLOCK_BYTES))
+    spread = min(BLOCKS_PER_CORE * documents.sparkSession.sparkContext.defaultParallelism, -(-total // LEAST_BYTES))
+    return max(1, spread, -(-total // BLOCK_BYTES))
 
 
 def with_block(documents: DataFrame, count: int, id: str = "doc_id", text: str = "text") -> DataFrame:

@@ -1,6 +1,7 @@
 import pytest
 from pyspark.sql.types import LongType, StringType, StructField, StructType
 
+from claimledger.llm import blocks
 from claimledger.llm.common import ship
 
 DOCUMENTS = StructType(
@@ -20,12 +21,15 @@ DOCUMENTS = StructType(
 
 @pytest.fixture(autouse=True, scope="module")
 def sent(spark):
-    """The package at the workers, and few partitions for few rows."""
+    """The package at the workers, few partitions for few rows, and several blocks for little text."""
     ship(spark)
+    sizes = blocks.BLOCKS_PER_CORE, blocks.LEAST_BYTES
+    blocks.BLOCKS_PER_CORE, blocks.LEAST_BYTES = 1, 1
     before = spark.conf.get("spark.sql.shuffle.partitions")
     spark.conf.set("spark.sql.shuffle.partitions", "2")
     yield
     spark.conf.set("spark.sql.shuffle.partitions", before)
+    blocks.BLOCKS_PER_CORE, blocks.LEAST_BYTES = sizes
 
 
 @pytest.fixture(scope="session")
