@@ -16,7 +16,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BLOCK_BYTES = 12 * 1024 * 1024
+BLOCK_BYTES = 6 * 1024 * 1024
 # Smaller inputs are cut into smaller blocks, so many for each core, but not below this size: every block
 # may send a row to every bucket, so blocks follow the text and not the number of shuffle partitions.
 BLOCKS_PER_CORE = 8

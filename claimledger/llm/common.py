@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 # Rows taken from an Arrow batch at a time end at so many bytes of text (a single longer text is whole).
 SLICE_BYTES = 2_000_000
+BATCH_ROWS = 1000
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -21,7 +22,10 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ship(spark: SparkSession) -> None:
-    """Send this package to the executors' Python workers, once per session, as ``--py-files`` would."""
+    """Send this package to the executors' Python workers, once per session, as ``--py-files`` would.
+
+    Arrow batches of the session get at most ``BATCH_ROWS`` rows, as rows hold whole texts.
+    """
     context = spark.sparkContext
     if getattr(context, "_claimledger_sent", False):
         return
@@ -31,6 +35,9 @@ def ship(spark: SparkSession) -> None:
         for source in sorted(package.rglob("*.py")):
             out.write(source, source.relative_to(package.parent))
     context.addPyFile(archive)
+    limit = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(limit)) <= BATCH_ROWS:
+        spark.conf.set(limit, str(BATCH_ROWS))
     context._claimledger_sent = True
 
 

@@ -40,6 +40,8 @@ SKETCH_BITS = 256
 # Smaller sets have a cell for each element.
 SMALL = 64
 _ALONE = 32
+# Keys looked up at a time, which bounds what a lookup needs besides the keys.
+_LOOKED_UP = 100_000
 # Partners by hot elements are looked up by size, in classes whose sizes differ by this factor at most.
 SIZE_STEP = 1.1
 
@@ -139,15 +141,17 @@ class _Sets(blocks.Block):
                 self.ids.append(doc_id)
                 self.texts.append(text)
                 self.sets.append(elements)
-        self.rows: list[list[np.ndarray]] = [[cells(s, band) for band in bands(len(s))] for s in self.sets]
-        flat = [c for own in self.rows for c in own]
-        self.cells = np.concatenate([np.empty(0, np.uint64), *flat])
+        own_cells = [[cells(s, band) for band in bands(len(s))] for s in self.sets]
+        #: How many cells each set has in each of its bands, in the order of ``cells``.
+        self.lengths = [[len(c) for c in own] for own in own_cells]
+        self.cells = np.concatenate([np.empty(0, np.uint64), *(c for own in own_cells for c in own)])
 
 
 def _send_cells(bits: int):
     def run(rows: pa.Table, chosen: pa.Table) -> pa.Table:
         sets = _Sets(rows, chosen.filter(pc.is_valid(chosen.column("signature_1"))))
         keys, counts = np.unique(sets.cells, return_counts=True)
+        pa.default_memory_pool().release_unused()  # the worker goes on to other blocks
         return blocks.packed(keys, bits, sets.number, counts)
 
     return run
@@ -156,9 +160,14 @@ def _send_cells(bits: int):
 def _uses(keys: np.ndarray, bits: int, shared: pa.Table) -> np.ndarray:
     """In how many sets of all blocks each key occurs."""
     known, totals = blocks.unpacked(shared)
-    _, back, here = np.unique(keys, return_inverse=True, return_counts=True)
-    at = places_in(known, keys >> np.uint64(32 - bits))
-    return np.maximum(np.where(at >= 0, totals[at] if len(totals) else 0, 0), here[back])
+    ranked, here = np.unique(keys, return_counts=True)
+    uses = np.empty(len(keys), np.int32)
+    for start in range(0, len(keys), _LOOKED_UP):
+        part = keys[start : start + _LOOKED_UP]
+        at = places_in(known, part >> np.uint64(32 - bits))
+        elsewhere = np.where(at >= 0, totals[at] if len(totals) else 0, 0)
+        uses[start : start + _LOOKED_UP] = np.maximum(elsewhere, here[np.searchsorted(ranked, part)])
+    return uses
 
 
 def _candidates(bits: int):
@@ -168,11 +177,11 @@ def _candidates(bits: int):
         uses = _uses(sets.cells, bits, notes.filter(pc.invert(is_choice)))
         out: dict[str, list] = {"doc_id": [], "n": [], "cells": [], "dense": [], "sketch": [], "text": []}
         start = 0
-        for doc_id, text, elements, own in zip(sets.ids, sets.texts, sets.sets, sets.rows, strict=True):
+        for doc_id, text, elements, own in zip(sets.ids, sets.texts, sets.sets, sets.lengths, strict=True):
             kept, dense, limit = [], False, may_differ(len(elements))
-            for band_cells in own:
-                use = uses[start : start + len(band_cells)]
-                start += len(band_cells)
+            for length in own:
+                band_cells, use = sets.cells[start : start + length], uses[start : start + length]
+                start += length
                 if len(band_cells) <= limit:
                     raise RuntimeError(f"too few filled cells for document {doc_id}: {len(band_cells)} of {len(elements)}")
                 cold = np.flatnonzero(use <= HOT)
@@ -189,6 +198,7 @@ def _candidates(bits: int):
                 out["text"].append(text)
         kinds = (pa.int64(), pa.int32(), pa.list_(pa.int64()), pa.bool_(), pa.binary(), pa.string())
         columns = {name: pa.array(values, kind) for (name, values), kind in zip(out.items(), kinds, strict=True)}
+        pa.default_memory_pool().release_unused()  # the worker goes on to other blocks
         return pa.table({"block": pa.array([sets.number] * len(out["n"]), pa.int32()), **columns})
 
     return run
