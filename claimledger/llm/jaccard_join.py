@@ -11,10 +11,11 @@ band (powers of two; a set near the next band joins there too).
 3. A cell that more than ``HOT`` sets share is hot. A set with more than d cells that are not hot meets every partner in one of
    its first d + 1 such cells, where at most ``HOT`` sets are compared. A set without so many is "dense".
 4. Dense sets, which consist of much-shared elements, are joined among each other on their rarest elements (more than a
-   quarter of the set). Elements that over ``HOT`` sets share are hot. A pair of sets of n and m that shares only hot ones
-   cannot have the c elements of the first that are not hot in common, so it links only if 7(n - c) >= 3(n + m); that leaves
-   each set a greatest size of partners. Within a hot element, every set is compared with the one of the fewest other
-   elements first, and what is then still in another component than the most with those of the sizes that both allow.
+   quarter of the set). Elements that over ``HOT`` sets share are hot. If the rarest element that sets of n and m share is
+   the one at place i of the first (from 0, rarest first), none of the i before it is common, so they link only if
+   7(n - i) >= 3(n + m); that leaves each set a greatest size of partners at each of its elements. Within a hot element, every
+   set is compared with the one of the fewest elements that are not hot first, and what is then still in another component
+   than the most with those of the sizes that both allow.
 5. Pairs whose bit sketches differ in more bits than the sets may in elements are dropped; the rest is verified on the texts.
    Pairs that verified links connect already are not verified.
 """
@@ -46,7 +47,7 @@ _LOOKED_UP = 100_000
 SIZE_STEP = 1.1
 
 CANDIDATE = "block int, doc_id bigint, n int, cells array<bigint>, dense boolean, sketch binary, text string"
-RARE = "doc_id bigint, element bigint, hot boolean, n int, cold int"
+RARE = "doc_id bigint, element bigint, hot boolean, n int, cold int, place int"
 
 
 def shingles(hashes: np.ndarray) -> np.ndarray:
@@ -166,7 +167,8 @@ def _uses(keys: np.ndarray, bits: int, shared: pa.Table) -> np.ndarray:
         part = keys[start : start + _LOOKED_UP]
         at = places_in(known, part >> np.uint64(32 - bits))
         elsewhere = np.where(at >= 0, totals[at] if len(totals) else 0, 0)
-        uses[start : start + _LOOKED_UP] = np.maximum(elsewhere, here[np.searchsorted(ranked, part)])
+        # Exchanged counts end at 65,535; the block's own do too, so that all blocks count alike.
+        uses[start : start + _LOOKED_UP] = np.maximum(elsewhere, np.minimum(here[np.searchsorted(ranked, part)], 65535))
     return uses
 
 
@@ -221,21 +223,24 @@ def _rare_elements(bits: int):
         flat = np.concatenate([np.empty(0, np.uint64), *sets])
         # Kept as far as it is exchanged, so that all blocks order elements alike.
         names, uses = flat >> np.uint64(32 - bits), _uses(flat, bits, shared)
-        ids, sizes, colds, found, hot, start = [], [], [], [], [], 0
+        ids, sizes, colds, places, found, hot, start = [], [], [], [], [], [], 0
         for doc_id, elements in zip(rows.column("doc_id").to_pylist(), sets, strict=True):
             name, use = names[start : start + len(elements)], uses[start : start + len(elements)]
             start += len(elements)
             first = np.lexsort((elements, name, use))[: len(elements) // 4 + 1]
-            first = first[use[first] > 1]
+            place = np.flatnonzero(use[first] > 1)
+            first = first[place]
             ids += [doc_id] * len(first)
             sizes += [len(elements)] * len(first)
             colds += [int(np.count_nonzero(use <= HOT))] * len(first)
+            places.append(place)
             found.append(name[first])
             hot.append(use[first] > HOT)
         elements = np.concatenate([np.empty(0, np.uint64), *found]).astype(np.int64)
         flags = np.concatenate([np.empty(0, bool), *hot])
+        order = np.concatenate([np.empty(0, np.int64), *places]).astype(np.int32)
         columns = {"doc_id": pa.array(ids, pa.int64()), "element": pa.array(elements), "hot": pa.array(flags)}
-        return pa.table({**columns, "n": pa.array(sizes, pa.int32()), "cold": pa.array(colds, pa.int32())})
+        return pa.table({**columns, "n": pa.array(sizes, pa.int32()), "cold": pa.array(colds, pa.int32()), "place": pa.array(order)})
 
     return run
 
@@ -292,9 +297,10 @@ def _links(pairs: DataFrame, rare: DataFrame, candidates: DataFrame) -> DataFram
     Only components are wanted, so pairs whose ends are connected already are not verified. First every document is
     compared with the least one it is paired with, and of each hot element with the one of the least share of cold elements;
     then the pairs between different components, and of each hot element all but the largest component with everything else
-    of a fitting size. ``room`` is the greatest size of a partner that shares no cold element; the others are in ``pairs``.
+    of a fitting size. ``room`` is the greatest size of a partner that shares no rarer element; a pair whose rarest common
+    element is cold is in ``pairs``.
     """
-    room = F.floor((4 * F.col("n") - 7 * F.col("cold")) / 3)
+    room = F.floor((4 * F.col("n") - 7 * F.col("place")) / 3)
     hot = rare.where("hot").select("element", "doc_id", "n", room.alias("room"), (F.col("cold") / F.col("n")).alias("share"))
     centre = hot.groupBy("element").agg(F.min(F.struct("share", "doc_id", "n", "room")).alias("centre"))
     star = (
