@@ -30,9 +30,9 @@ SPACE = "▁"
 CUT = f"\0{SPACE}"
 CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
-# Chunks and pairs remembered per task. The memory is emptied when full.
-REMEMBERED_CHUNKS = 800_000
-REMEMBERED_PAIRS = 2_000_000
+# Chunks and pairs remembered per worker process, about 100 MB, as workers go on to other stages. Emptied when full.
+REMEMBERED_CHUNKS = 200_000
+REMEMBERED_PAIRS = 400_000
 LONGEST_REMEMBERED = 64
 
 
@@ -63,10 +63,49 @@ class Vocabulary:
         return cls(pieces, tuple(model.get_score(i) for i in size), normal, byte_ids)
 
 
-class Codec:
+class Decoder:
+    """Decodes with one vocabulary. Much smaller than a codec."""
+
+    def __init__(self, vocabulary: Vocabulary):
+        shown = zip(vocabulary.pieces, vocabulary.normal, strict=True)
+        self._text: list[str | None] = [piece.replace(SPACE, " ") if use else "" for piece, use in shown]
+        self._byte_of = {i: value for value, i in enumerate(vocabulary.byte_ids)}
+        for value, i in enumerate(vocabulary.byte_ids):
+            self._text[i] = chr(value) if value < 128 else None
+
+    def decode(self, ids: Sequence[int]) -> str:
+        """The text of ``ids``. Control ids vanish, and bytes that are no UTF-8 become the replacement character."""
+        if not ids:
+            return ""
+        shown = self._text
+        try:
+            text = "".join([shown[i] for i in ids])
+        except TypeError:  # bytes of longer characters
+            text = self._decode_bytes(ids)
+        # The mark that encoding puts before a text is dropped again; a space given as a byte is not.
+        first = next((i for i in ids if shown[i] != ""), ids[0])
+        return text[1:] if first not in self._byte_of and text.startswith(" ") else text
+
+    def _decode_bytes(self, ids: Sequence[int]) -> str:
+        parts: list[str] = []
+        pending = bytearray()
+        for i in ids:
+            value = self._byte_of.get(i)
+            if value is not None:
+                pending.append(value)
+                continue
+            if pending:
+                parts.append(_utf8(pending))
+                pending = bytearray()
+            parts.append(self._text[i])
+        return "".join([*parts, _utf8(pending)])
+
+
+class Codec(Decoder):
     """Encodes and decodes with one vocabulary."""
 
     def __init__(self, vocabulary: Vocabulary):
+        super().__init__(vocabulary)
         self.vocabulary = vocabulary
         self.id_of = {p: i for i, p in enumerate(vocabulary.pieces) if vocabulary.normal[i]}
         self.matches = ahocorasick.Automaton()
@@ -82,11 +121,6 @@ class Codec:
             prefixes = (usable.get(piece[:length]) for length in range(len(piece) - 1, 0, -1))
             self._shorter[i] = next((p for p in prefixes if p is not None), -1)
         self.matches.make_automaton()
-        shown = zip(vocabulary.pieces, vocabulary.normal, strict=True)
-        self._text: list[str | None] = [piece.replace(SPACE, " ") if use else "" for piece, use in shown]
-        self._byte_of = {i: value for value, i in enumerate(vocabulary.byte_ids)}
-        for value, i in enumerate(vocabulary.byte_ids):
-            self._text[i] = chr(value) if value < 128 else None
 
     def _merge(self, text: str) -> list[str]:
         """The pieces of ``text`` by merging. Used for pieces and pairs of pieces, which are short."""
@@ -198,33 +232,6 @@ class Codec:
         self.encode_into(text, out)
         return array("i", bytes(out)).tolist()
 
-    def decode(self, ids: Sequence[int]) -> str:
-        """The text of ``ids``. Control ids vanish, and bytes that are no UTF-8 become the replacement character."""
-        if not ids:
-            return ""
-        shown = self._text
-        try:
-            text = "".join([shown[i] for i in ids])
-        except TypeError:  # bytes of longer characters
-            text = self._decode_bytes(ids)
-        # The mark that encoding puts before a text is dropped again; a space given as a byte is not.
-        first = next((i for i in ids if shown[i] != ""), ids[0])
-        return text[1:] if first not in self._byte_of and text.startswith(" ") else text
-
-    def _decode_bytes(self, ids: Sequence[int]) -> str:
-        parts: list[str] = []
-        pending = bytearray()
-        for i in ids:
-            value = self._byte_of.get(i)
-            if value is not None:
-                pending.append(value)
-                continue
-            if pending:
-                parts.append(_utf8(pending))
-                pending = bytearray()
-            parts.append(self._text[i])
-        return "".join([*parts, _utf8(pending)])
-
 
 def _utf8(data: bytearray) -> str:
     """One replacement character for every byte that belongs to no character."""
@@ -243,12 +250,17 @@ def _utf8(data: bytearray) -> str:
     return "".join(out)
 
 
-@lru_cache(maxsize=2)
+@lru_cache(maxsize=1)
 def _codec(vocabulary: Vocabulary) -> Codec:
     """One codec, with what it remembers, per worker process."""
     return Codec(vocabulary)
 
 
+@lru_cache(maxsize=1)
+def _decoder(vocabulary: Vocabulary) -> Decoder:
+    return Decoder(vocabulary)
+
+
 def encode(df: DataFrame, model: str, text: str = "text", ids: str = "ids") -> DataFrame:
     """``df`` with the ids of each text in an array column. A NULL or empty text has none.
 
@@ -280,7 +292,7 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
     kept = [c for c in df.columns if c != text]
 
     def run(batches):
-        codec = _codec(vocabulary.value)
+        decoder = _decoder(vocabulary.value)
         for batch in batches:
             for start in range(0, batch.num_rows, 500):
                 part = batch.slice(start, 500)
@@ -291,7 +303,7 @@ def decode(df: DataFrame, model: str, ids: str = "ids", text: str = "decoded") -
                     sizes = pc.fill_null(pc.list_value_length(lists), 0).to_numpy(zero_copy_only=False)
                     flat, ends = lists.flatten().to_numpy().tolist(), np.cumsum(sizes).tolist()
                     given = [flat[a:b] for a, b in zip([0, *ends], ends, strict=False)]
-                texts = [codec.decode(own) for own in given]
+                texts = [decoder.decode(own) for own in given]
                 arrays = [*(part.column(c) for c in kept), pa.array(texts, pa.string())]
                 yield pa.RecordBatch.from_arrays(arrays, [*kept, text])
 
