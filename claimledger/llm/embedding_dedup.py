@@ -8,9 +8,16 @@ shards are united. Then every point is searched for from the shard's medoid and
 point is expanded next, until the best ``BEAM`` are; points within the range are all expanded, however many there are. What is
 found is verified in double precision.
 
-The search is approximate: ``audit_recall`` compares it with all pairs for a stated set of queries.
+A shard knows only its own points, so its links tell which points belong to one group, and no more. The links are then counted
+over each whole group, all pairs of it, whatever shards its points were in: a group of at most ``SHARD_ROWS`` at once, a
+larger one in pairs of blocks. Larger groups are laid in rings by the angle to one of their points, and rings that are certain
+to be within the range of each other, or certain not to be, are not compared.
+
+Which groups there are is approximate: ``audit_recall`` compares the links with all pairs for a stated set of queries.
 """
 
+import math
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -36,7 +43,12 @@ BEAM = 12
 # Points this little below the range are expanded too: their neighbours may lie within.
 SLACK = 0.08
 
+# Rings of a large group that are as wide as the range.
+RINGS = 8
+_SURE = 1e-5
+
 _POINT = "label int, shard string, point bigint, embedding array<float>"
+_COUNT = "label int, point bigint, others bigint"
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
@@ -164,11 +176,11 @@ def build_graph(vectors: np.ndarray) -> list[list[int]]:
     return out
 
 
-def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) -> list[tuple[int, int]]:
-    """Pairs of rows within ``reach`` that a range-expanding greedy search for every row finds."""
+def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs of rows (the lower ones, the higher ones) within ``reach`` that a range-expanding greedy search for every row finds."""
     count = len(vectors)
     if count < 2:
-        return []
+        return np.empty(0, int), np.empty(0, int)
     width = max(1, max(map(len, graph)))
     table = np.full((count, width), -1)
     for row, near in enumerate(graph):
@@ -199,9 +211,22 @@ def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) ->
         found = np.einsum("ij,ij->i", vectors[query], vectors[flat])
         seen[query, flat] = found
         waiting[query, flat] = found
-    a, b = np.nonzero(seen >= reach - 1e-3)
-    once = a != b
-    return list(zip(a[once].tolist(), b[once].tolist(), strict=True))
+    found = seen >= reach - 1e-3
+    return np.nonzero(np.triu(found | found.T, 1))
+
+
+def least_reached(count: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
+    """For each of ``count`` rows the least row that the pairs lead to."""
+    least = np.arange(count)
+    while True:
+        both = np.minimum(least[low], least[high])
+        now = least.copy()
+        np.minimum.at(now, low, both)
+        np.minimum.at(now, high, both)
+        now = now[now]
+        if (now == least).all():
+            return least
+        least = now
 
 
 def _build(rows: pa.Table) -> pa.Table:
@@ -218,15 +243,120 @@ def _search(reach: float):
         place = {p: i for i, p in enumerate(points.tolist())}
         graph = [[place[p] for p in own or [] if p in place] for own in rows.column("near").to_pylist()]
         vectors = _matrix(rows.column("embedding"))
-        pairs = {(min(a, b), max(a, b)) for a, b in search(vectors, graph, reach)}
-        low, high = (np.array(c, int) for c in (zip(*sorted(pairs), strict=True) if pairs else ((), ())))
-        cosine = np.einsum("ij,ij->i", vectors[low], vectors[high]) if len(low) else np.empty(0)
-        keep = cosine >= reach
-        return pa.table({"low": points[low[keep]], "high": points[high[keep]]})
+        low, high = search(vectors, graph, reach)
+        keep = np.einsum("ij,ij->i", vectors[low], vectors[high]) >= reach
+        least = least_reached(len(points), low[keep], high[keep])
+        own = np.flatnonzero(least != np.arange(len(points)))
+        return pa.table({"low": points[least[own]], "high": points[own]})
+
+    return run
+
+
+def _links(left: np.ndarray, right: np.ndarray, reach: float) -> np.ndarray:
+    return (left @ right.T >= reach).astype(np.int64)
+
+
+def _count_in_groups(reach: float):
+    def run(rows: pa.Table) -> pa.Table:
+        rows = rows.sort_by([("label", "ascending"), ("component", "ascending")])
+        label, component = rows.column("label").to_numpy(), rows.column("component").to_numpy()
+        copies = rows.column("copies").to_numpy()
+        cuts = np.flatnonzero((np.diff(label) != 0) | (np.diff(component) != 0)) + 1
+        out = np.zeros(len(copies), np.int64)
+        for start, end in zip([0, *cuts.tolist()], [*cuts.tolist(), len(copies)], strict=True):
+            vectors = _matrix(rows.column("embedding").slice(start, end - start))
+            linked = _links(vectors, vectors, reach)
+            np.fill_diagonal(linked, 0)
+            out[start:end] = linked @ copies[start:end]
+        return pa.table({"label": rows.column("label"), "point": rows.column("point"), "others": out})
+
+    return run
+
+
+def _count_in_blocks(reach: float):
+    def run(rows: pa.Table) -> pa.Table:
+        side, copies = rows.column("side").to_numpy(), rows.column("copies").to_numpy()
+        vectors = _matrix(rows.column("embedding"))
+        left, right = np.flatnonzero(side == 0), np.flatnonzero(side == 1)
+        out = np.zeros(len(copies), np.int64)
+        if len(right):
+            linked = _links(vectors[left], vectors[right], reach)
+            out[left], out[right] = linked @ copies[right], copies[left] @ linked
+        else:
+            linked = _links(vectors, vectors, reach)
+            np.fill_diagonal(linked, 0)
+            out = linked @ copies
+        return pa.table({"label": rows.column("label"), "point": rows.column("point"), "others": out})
 
     return run
 
 
+def _dot(left: str, right: str) -> "F.Column":
+    return F.aggregate(F.zip_with(left, right, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+
+
+def _count_in_large(members: DataFrame, reach: float) -> DataFrame:
+    """The links within groups of any size: by rings where the angles alone decide, else in pairs of blocks.
+
+    A point at angle a from the group's centre and one at angle b are at most a + b and at least b - a apart.
+    """
+    group = ["label", "component"]
+    centre = members.groupBy(group).agg(F.min(F.struct("point", "embedding")).alias("least")).select(*group, F.col("least.embedding").alias("centre"))
+    widest = math.acos(max(-1.0, min(1.0, reach)))
+    step = max((widest - 2 * _SURE) / RINGS, 0.01)
+    within, beyond = math.floor((widest - _SURE) / step), math.ceil((widest + _SURE) / step)
+    cosine = _dot("embedding", "centre") / F.sqrt(_dot("embedding", "embedding")) / F.sqrt(_dot("centre", "centre"))
+    ring = F.floor(F.acos(F.greatest(F.lit(-1.0), F.least(F.lit(1.0), cosine))) / step).cast("int")
+    laid = stored(members.join(centre, group).withColumn("ring", ring).drop("centre"))
+    rings = stored(laid.groupBy(*group, "ring").agg(F.count("point").alias("members"), F.sum("copies").alias("weight")))
+    far = rings.select(*group, F.col("ring").alias("ring_b"), F.col("members").alias("members_b"), F.col("weight").alias("weight_b"))
+    sure = F.col("ring") + F.col("ring_b") + 2 <= within
+    whole = rings.join(far, group).where(sure).groupBy(*group, "ring").agg(F.sum("weight_b").alias("sure"))
+    # Where a ring is certain to be within the range of itself, a point is among the points counted.
+    own = F.when(2 * F.col("ring") + 2 <= within, F.col("copies")).otherwise(0)
+    certain = laid.join(whole, [*group, "ring"]).select("label", "point", (F.col("sure") - own).alias("others"))
+
+    blocks = F.ceil(F.col("members") / SHARD_ROWS).cast("int")
+    numbers = F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))
+    block = rings.withColumn("blocks", blocks).withColumn("block", numbers)
+    other = block.select(*group, F.col("ring").alias("ring_b"), F.col("block").alias("block_b"))
+    once = (F.col("ring") < F.col("ring_b")) | ((F.col("ring") == F.col("ring_b")) & (F.col("block") <= F.col("block_b")))
+    tasks = stored(
+        block.drop("members", "weight", "blocks").join(other, group).where(once & ~sure & (F.col("ring_b") - F.col("ring") - 1 < beyond))
+    )
+    dealt = laid.join(rings.select(*group, "ring", blocks.alias("blocks")), [*group, "ring"]).withColumn("block", F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int"))
+    dealt = dealt.select(*group, "point", "copies", "embedding", "ring", "block")
+    task = ["ring", "block", "ring_b", "block_b"]
+    left = dealt.join(tasks, [*group, "ring", "block"]).withColumn("side", F.lit(0))
+    right = (
+        dealt.withColumnsRenamed({"ring": "ring_b", "block": "block_b"})
+        .join(tasks.where("ring != ring_b or block != block_b"), [*group, "ring_b", "block_b"])
+        .withColumn("side", F.lit(1))
+    )
+    columns = [*group, *task, "point", "copies", "embedding", "side"]
+    compared = left.select(columns).union(right.select(columns)).groupBy(*group, *task).applyInArrow(_count_in_blocks(reach), _COUNT)
+    return certain.union(compared).groupBy("label", "point").agg(F.sum("others").alias("others"))
+
+
+def count_links(points: DataFrame, reached: DataFrame, reach: float = RANGE) -> DataFrame:
+    """(label, point, others): the rows of other points linked with each point, over all pairs of its group.
+
+    ``reached`` gives the group (id, component) of the points that have one.
+    """
+    group = ["label", "component"]
+    named = reached.select(F.col("id").alias("point"), "component")
+    members = stored(points.join(named, "point").select(*group, "point", "copies", "embedding"))
+    sizes = members.groupBy(group).agg(F.count("point").alias("members"))
+    large = stored(sizes.where(F.col("members") > SHARD_ROWS).select(group))
+    # Small groups are packed, as many together as a shard has rows.
+    packs = max(1, -(-members.count() // SHARD_ROWS))
+    small = members.join(large, group, "left_anti").withColumn("pack", F.pmod(F.xxhash64(*group), F.lit(packs)))
+    counted = small.groupBy("pack").applyInArrow(_count_in_groups(reach), _COUNT)
+    if large.isEmpty():
+        return counted
+    return counted.union(_count_in_large(members.join(large, group), reach))
+
+
 def near_duplicates(embeddings: DataFrame, id: str = "vec_id", reach: float = RANGE) -> DataFrame:
     """One row per vector: id, n_links, component_id and kept.
 
@@ -250,12 +380,10 @@ def near_duplicates(embeddings: DataFrame, id: str = "vec_id", reach: float = RA
         .applyInArrow(_search(reach), "low bigint, high bigint")
         .distinct()
     )
-    both = pairs.select(F.col("low").alias("point"), F.col("high").alias("other")).union(pairs.select(F.col("high"), F.col("low")))
-    size = points.select("point", "copies")
-    linked = both.join(size.toDF("other", "other_copies"), "other").groupBy("point").agg(F.sum("other_copies").alias("others"))
-    reached = components(pairs, "low", "high")
+    reached = stored(components(pairs, "low", "high"))
+    linked = stored(count_links(points, reached, reach))
     named = (
-        points.join(linked, "point", "left")
+        points.join(linked, ["label", "point"], "left")
         .join(reached, F.col("point") == reached.id, "left")
         .select(
             "label",

@@ -412,6 +412,26 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_near_vectors_of_groups_larger_than_a_shard(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 60)
+    draw = np.random.default_rng(8)
+    centre = draw.normal(size=(2, 16)) * 4
+    # A tight cluster, a loose one with links between some of its points only, and points on their own.
+    vectors = [*(centre[0] + draw.normal(size=(400, 16)) * 0.3), *(centre[1] + draw.normal(size=(400, 16)) * 1.0), *draw.normal(size=(100, 16))]
+    rows = [(i, [float(np.float32(x)) for x in v], 1) for i, v in enumerate(vectors)]
+    rows += [(1000 + k, rows[3][1], 1) for k in range(5)]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(table).collect()}
+    whole = np.array([r[1] for r in rows])
+    whole /= np.linalg.norm(whole, axis=1, keepdims=True)
+    wanted = dict(zip((r[0] for r in rows), ((whole @ whole.T >= 0.93).sum(1) - 1).tolist(), strict=True))
+    assert wanted[0] > 6 * 60 and 0 < sum(wanted[i] for i in range(400, 800)) < 400 * 399
+    assert all(got[i] == wanted[i] for i in [*range(400), *range(1000, 1005)])
+    assert all(got[i] <= wanted[i] for i in wanted)
+    assert sum(got.values()) >= 0.99 * sum(wanted.values())
+    assert embedding_dedup.audit_recall(table, every=20) >= 0.99
+
+
 def test_licences(spark, documents, odd):
     rows = [
         (1, "Intro\nReleased under the MIT License.\nend"),
