@@ -83,6 +83,7 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "SPDX-License-Identifier: CC0-1.0",
     ),
     "proprietary": (
+        "All rights reserved.",
         "Copyright 2020 Example Company. All rights reserved.",
         "All rights reserved. No part of this publication may be reproduced without written permission",
     ),

@@ -455,6 +455,12 @@ def test_licences(spark, documents, odd):
     assert license_scan.find_licences(documents([]), license_scan.train(documents([]))).count() == 0
 
 
+def test_all_rights_reserved_alone(spark, documents):
+    given = documents([(1, "All rights reserved."), (2, "x y\nAll rights reserved.\nz"), *((100 + i, " ".join(words(i, 40))) for i in range(60))])
+    found = license_scan.find_licences(given, license_scan.train(given)).collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [(1, 0, "proprietary"), (2, 1, "proprietary")]
+
+
 def test_the_native_operators_run_no_python(spark):
     for name in ("op5_secret_scan", "op9_license_scan"):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
