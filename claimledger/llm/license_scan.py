@@ -1,6 +1,7 @@
 """Licence notices in paragraphs. DataFrame functions and Spark's own classifier only.
 
-A paragraph is a line. A multinomial logistic regression over hashed word n-grams tells which licence family a paragraph
+A paragraph is a line, or, where a notice is wrapped, a line and those after it up to a blank line, as far as the longest
+notice can reach from the line's last words. A multinomial logistic regression over hashed word n-grams tells which licence family a paragraph
 names, or that it names none ("unknown"). It is learned from the notices below, whole and in parts, against a bounded
 sample of the corpus's own paragraphs and sentences that only mention licences. Its chances are calibrated by a
 temperature chosen on held-out examples. A paragraph that is likelier than not of a family is compared
@@ -10,17 +11,23 @@ A paragraph without any word of ``CUE`` is unknown by definition, so the corpus
 paragraphs with a cue are classified.
 """
 
+import re
 from collections.abc import Callable
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
 from pyspark.ml.feature import HashingTF
 from pyspark.ml.functions import vector_to_array
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from claimledger.llm.common import stored
 
-CUE = r"(?i)licen[sc]|copyright|copyleft|warrant|redistribut|public domain|creative commons|\bspdx\b|all rights reserved"
+# Every notice matches it, also where a line ends between its words.
+CUE = (
+    r"(?i)licen[sc]|copyright|copyleft|warrant|redistribut|public\W+domain|creative\W+commons|\bspdx\b|all\W+rights\W+reserved"
+    r"|hereby\W+granted|free\W+of\W+charge|associated\W+documentation|source\W+and\W+binary|source\W+code\W+form|free\W+software"
+    r"|no\W+part\W+of\W+this|gpl|\bgnu\b|\bmpl\b|\bbsd\b|mozilla\W+public|\bcc0|\bcc\W+by\b|apache\W+2|(?-i:\bMIT\b)"
+)
 BITS = 12
 CONFIRM = 0.5
 MAX_BACKGROUND = 400
@@ -45,11 +52,13 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License",
         "Licensed under the GNU General Public License version 2 or later",
         "SPDX-License-Identifier: GPL-3.0-or-later",
+        "GPLv3 or later",
     ),
     "LGPL": (
         "This library is licensed under the GNU Lesser General Public License, version 2.1",
         "under the terms of the GNU Lesser General Public License as published by the Free Software Foundation",
         "SPDX-License-Identifier: LGPL-2.1-only",
+        "LGPLv3 or later",
     ),
     "BSD": (
         "Redistribution and use in source and binary forms, with or without modification, are permitted",
@@ -88,6 +97,8 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "All rights reserved. No part of this publication may be reproduced without written permission",
     ),
 }
+# Words of the longest notice.
+LONGEST = max(len(re.findall(r"[^\W\d_]+|[0-9]+(?:\.[0-9]+)*", notice)) for own in NOTICES.values() for notice in own)
 # Sentences that mention licences and name none.
 MENTIONS = (
     "The driver showed a valid license to the officer.",
@@ -141,25 +152,65 @@ def grams(tokens: Column) -> Column:
 
 
 def paragraphs(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(doc_id, paragraph, start, words, content) of the lines that hold a cue. Starts are code points."""
+    """(row, doc_id, paragraph, last, start, words, head, content) of the lines with a cue, alone and with the lines after them.
+
+    A line alone has no ``head`` and is its own ``last``. Else ``words`` are the line's last words, ``head`` of them, and the
+    first words after it, up to a blank line and at most ``LONGEST`` of each: a notice that begins in the line and ends
+    in a later one is among them whole. ``row`` numbers the documents' rows. Starts are code points.
+    """
     given = documents.where(F.col(text).rlike(CUE)).select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("_text"))
-    lines = given.select("doc_id", F.split("_text", "\n").alias("_lines"))
+    lines = given.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("_text", "\n").alias("_lines"))
     starts = F.aggregate(
         "_lines",
         F.struct(F.lit(0).alias("at"), F.array().cast("array<int>").alias("out")),
         lambda s, line: F.struct((s["at"] + F.length(line) + 1).alias("at"), F.concat(s["out"], F.array(s["at"])).alias("out")),
         lambda s: s["out"],
     )
-    cued = F.filter(
+    told = lines.select(
+        "row",
+        "doc_id",
         F.transform(
-            F.arrays_zip(F.col("_lines").alias("content"), starts.alias("start")),
-            lambda line, i: F.struct(i.alias("paragraph"), line["start"].alias("start"), line["content"].alias("content")),
-        ),
-        lambda line: line["content"].rlike(CUE),
+            F.arrays_zip(F.col("_lines").alias("content"), starts.alias("start"), F.transform("_lines", words).alias("words")),
+            lambda line, i: F.struct(i.alias("at"), line["start"].alias("start"), line["content"].alias("content"), line["words"].alias("words")),
+        ).alias("_told"),
+    )
+
+    def made(line: Column, last: Column, tokens: Column, head: Column, content: Column) -> Column:
+        return F.struct(
+            line["at"].alias("paragraph"), last.alias("last"), line["start"].alias("start"), tokens.alias("words"), head.alias("head"), content.alias("content")
+        )
+
+    alone = F.transform(
+        F.filter("_told", lambda line: line["content"].rlike(CUE)),
+        lambda line: made(line, line["at"], line["words"], F.lit(None).cast("int"), line["content"]),
     )
-    return lines.select("doc_id", F.explode(cued).alias("line")).select(
-        "doc_id", "line.paragraph", "line.start", words(F.col("line.content")).alias("words"), "line.content"
+
+    def after(line: Column) -> Column:
+        """The words after a line, the last line they are taken from, and whether more can follow."""
+        return F.aggregate(
+            F.slice("_told", line["at"] + 2, LONGEST),
+            F.struct(F.array().cast("array<string>").alias("words"), line["at"].alias("last"), (F.size(line["words"]) > 0).alias("more")),
+            lambda s, then: F.when(
+                s["more"] & (F.size(then["words"]) > 0),
+                F.struct(
+                    F.concat(s["words"], then["words"]).alias("words"),
+                    then["at"].alias("last"),
+                    (F.size(s["words"]) + F.size(then["words"]) < LONGEST).alias("more"),
+                ),
+            ).otherwise(F.struct(s["words"].alias("words"), s["last"].alias("last"), F.lit(False).alias("more"))),
+        )
+
+    def wrapped(line: Column, then: Column) -> Column:
+        head = F.least(F.size(line["words"]), F.lit(LONGEST))
+        tokens = F.concat(F.slice(line["words"], F.size(line["words"]) - head + 1, head), F.slice(then["words"], 1, LONGEST))
+        inside = F.slice("_told", line["at"] + 1, then["last"] - line["at"] + 1)
+        return made(line, then["last"], tokens, head, F.concat_ws("\n", F.transform(inside, lambda x: x["content"])))
+
+    several = F.filter(
+        F.transform("_told", lambda line: _once(after(line), lambda then: wrapped(line, then))),
+        lambda p: (p["last"] > p["paragraph"]) & p["content"].rlike(CUE),
     )
+    return told.select("row", "doc_id", F.explode(F.concat(alone, several)).alias("p")).select("row", "doc_id", "p.*")
 
 
 def _examples(spark: SparkSession, documents: DataFrame, text: str) -> DataFrame:
@@ -273,7 +324,9 @@ def similarity(tokens: Column, family: Column, templates: list[tuple[str, list[s
 def find_licences(documents: DataFrame, model: LicenceModel, id: str = "doc_id", text: str = "text") -> DataFrame:
     """One row per paragraph that names a licence: doc_id, paragraph (from 0), start, family, probability, similarity, content.
 
-    NULL and empty texts have no paragraphs. Repeated rows give their rows again; a NULL id stays NULL. No shuffle.
+    A notice within a line is told with that line. One that is wrapped is told once, with the line it begins in and the content
+    up to where the longest notice could end, unless a line among them names the family by itself. NULL and empty texts
+    have no paragraphs. Repeated rows give their rows again; a NULL id stays NULL. Only what is confirmed is shuffled.
     """
     # Only paragraphs with a cue: written, so that each is classified once.
     scored = stored(model.chances(paragraphs(documents, id, text)))
@@ -281,6 +334,24 @@ def find_licences(documents: DataFrame, model: LicenceModel, id: str = "doc_id",
     family = F.element_at(F.array(*map(F.lit, model.families)), (1 - F.col("best.place")).cast("int"))
     rows = scored.withColumn("best", best).withColumn("family", family).withColumn("probability", F.col("best.probability"))
     rows = rows.where((F.col("family") != UNKNOWN) & (F.col("probability") >= 0.5))
-    confirmed = similarity(F.col("words"), F.col("family"), model.templates)
-    rows = rows.withColumn("similarity", confirmed).where(F.col("similarity") >= CONFIRM)
+
+    def similar(tokens: Column) -> Column:
+        return similarity(tokens, F.col("family"), model.templates)
+
+    rows = stored(rows.withColumn("similarity", similar(F.col("words"))).where(F.col("similarity") >= CONFIRM).drop("best", "chances"))
+    # What is wrapped needs words of the line and words after it.
+    parts = F.greatest(similar(F.slice("words", F.lit(1), F.col("head"))), similar(F.slice("words", F.col("head") + 1, F.lit(LONGEST))))
+    rows = rows.where(F.col("head").isNull() | (F.col("similarity") > parts))
+    here = Window.partitionBy("row", "family").orderBy("paragraph")
+    line = F.min(F.when(F.col("head").isNull(), F.col("paragraph"))).over(here.rangeBetween(Window.currentRow, Window.unboundedFollowing))
+    rows = rows.withColumn("_line", line).where(F.col("head").isNull() | F.col("_line").isNull() | (F.col("_line") > F.col("last")))
+    # Of those that begin in lines next to each other, the one that holds most.
+    kind = Window.partitionBy("row", "family", F.col("head").isNull()).orderBy("paragraph")
+    place = F.struct("paragraph", "similarity")
+    rows = rows.withColumn("_before", F.lag(place).over(kind)).withColumn("_after", F.lead(place).over(kind))
+
+    def less(other: str, step: int) -> Column:
+        return F.coalesce((F.col(f"{other}.paragraph") == F.col("paragraph") + step) & (F.col(f"{other}.similarity") > F.col("similarity")), F.lit(False))
+
+    rows = rows.where(F.col("head").isNull() | ~(less("_before", -1) | less("_after", 1)))
     return rows.select("doc_id", "paragraph", "start", "family", "probability", "similarity", "content")

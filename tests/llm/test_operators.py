@@ -461,6 +461,30 @@ def test_all_rights_reserved_alone(spark, documents):
     assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [(1, 0, "proprietary"), (2, 1, "proprietary")]
 
 
+def test_every_notice_is_confirmed(spark, documents):
+    notices = [(family, notice) for family, own in license_scan.NOTICES.items() for notice in own]
+    assert all(re.search(license_scan.CUE, notice) for _, notice in notices)
+    given = documents([*((i, n) for i, (_, n) in enumerate(notices)), *((100 + i, " ".join(words(i, 40))) for i in range(60)), (200, "x y\nAll rights reserved.\nz")])
+    found = {(r.doc_id, r.paragraph): r.family for r in license_scan.find_licences(given, license_scan.train(given)).collect()}
+    assert found == {**{(i, 0): family for i, (family, _) in enumerate(notices)}, (200, 1): "proprietary"}
+
+
+def test_wrapped_notices(spark, documents):
+    grant = (
+        "Copyright (c) 2020 Acme\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
+        'of this software and associated documentation files (the "Software"), to deal\nin the Software without restriction, including without limitation the rights\n'
+        "to use, copy, modify, merge, publish, distribute, sublicense, and/or sell\ncopies of the Software."
+    )
+    narrow = "Intro\n\n# Licensed under the\n# Apache License,\n# Version 2.0\n\nx"
+    commons = "a b\nThis work is licensed under a Creative\nCommons Attribution-NonCommercial 4.0\nInternational License\nc d"
+    apart = "All rights\n\nreserved by the hotel"
+    rows = [(1, grant), (2, narrow), (3, commons), (4, apart), (5, "GPLv3 or later"), *((100 + i, " ".join(words(i, 40))) for i in range(60))]
+    given = documents(rows)
+    found = license_scan.find_licences(given, license_scan.train(given)).collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [(1, 2, "MIT"), (2, 2, "Apache"), (3, 1, "CC-BY-NC"), (5, 0, "GPL")]
+    assert {r.doc_id: rows[r.doc_id - 1][1][r.start :].startswith(r.content) for r in found} == dict.fromkeys((1, 2, 3, 5), True)
+
+
 def test_the_native_operators_run_no_python(spark):
     for name in ("op5_secret_scan", "op9_license_scan"):
         plan = QUERIES[name](spark, SMALL)._jdf.queryExecution().executedPlan().toString()
