@@ -60,8 +60,48 @@ select n1.doc_id, cast(n1.n as bigint) as n_shingles,
   case when n1.n = 0 then n1.doc_id else n1.class_id end as class_id
 from named n1 join (select a, min(c) as c from reach group by a) r on r.a = n1.class_id"""
 
+# Every term of every document is spelled out and counted.
+_SEARCH = r"""
+with docs as (
+  select row_number() over () as r, doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') as w from documents),
+sized as (select r, doc_id, w, len(w) as n from docs where len(w) > 0),
+totals as (select count(*) as docs, sum(n) as terms from sized),
+wanted as (
+  select item_id, text, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) as term
+  from (select distinct item_id, text from benchmark)),
+repeated as (select item_id, text, term, count(*) as reps from wanted group by all),
+counted as (
+  select r, term, count(*) as tf from (select r, unnest(w) as term from sized)
+  where term in (select term from repeated) group by all),
+weighed as (
+  select term, cast(floor(1000 * ln((2 * any_value(docs) + 2) / (2 * count(*) + 1))) as bigint) as weight
+  from counted, totals group by term),
+scored as (
+  select item_id, text, doc_id, r, sum(reps * weight * ((1000000000 * tf) // (1000 * tf + 8 * (25 + (75 * n * docs) // terms)))) as score
+  from repeated join weighed using (term) join counted using (term) join sized using (r), totals group by all),
+ranked as (
+  select *, row_number() over (partition by item_id, text order by score desc, doc_id nulls last) as rank
+  from scored where score > 0)
+select item_id, cast(rank as integer) as rank, doc_id, cast(score as bigint) as score from ranked where rank <= 10"""
+
+# Equal payloads are grouped by their digest.
+_WARC = """
+with hashed as (
+  select page_id, cast(strlen(coalesce(html, '')) as bigint) as payload_bytes, sha256(coalesce(html, '')) as payload_digest
+  from pages),
+grouped as (
+  select *, case when payload_bytes >= 100 then min(page_id) over (partition by payload_digest) end as least from hashed)
+select page_id, payload_bytes, payload_digest,
+  case when least is null or least is not distinct from page_id then 'response' else 'revisit' end as record_type,
+  case when least is distinct from page_id then least end as refers_to
+from grouped"""
+
 ORACLE_SQL: dict[str, str] = {
     "op3_chat_format": _CHAT,
     "op4_substring_dedup": _SUBSTRINGS,
     "op6_jaccard_join": _JACCARD,
+    "op12_lexical_search": _SEARCH,
+    "op13_warc": _WARC,
 }

@@ -1,4 +1,4 @@
-"""The registered queries of the ten operators, each over its whole table."""
+"""The registered queries of the operators, each over its whole table."""
 
 from collections.abc import Callable
 from functools import wraps
@@ -12,12 +12,15 @@ from claimledger.llm import (
     decontamination,
     embedding_dedup,
     jaccard_join,
+    lexical_search,
     license_scan,
+    periodic_runs,
     quality,
     secret_scan,
     sentencepiece_codec,
     substring_dedup,
     toxicity,
+    warc,
 )
 from claimledger.llm.common import fold_of, ship, table
 
@@ -117,6 +120,47 @@ def op10_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select("doc_id", held_out, "score", "predicted")
 
 
+def planted(documents: DataFrame) -> DataFrame:
+    """(doc_id, text): every tenth text by its id's hash h = crc32(id) goes on from one of its words on with a period.
+
+    With n words and g = h div 10, words from a = g % n on repeat the first 1 + (n - a) div (3 + g % 8) of them.
+    """
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.regexp_extract_all("text", F.lit(r"[^\x20\x09-\x0D]+"), F.lit(0))
+    found = documents.select("doc_id", "text", F.when(h % 10 == 0, words).alias("w"), ((h - h % 10) / 10).cast("bigint").alias("g"))
+    sized = found.withColumn("n", F.coalesce(F.size("w"), F.lit(0)))
+    cut = sized.withColumn("a", F.expr("if(n > 0, cast(g % n as int), 0)"))
+    period = cut.withColumn("p", F.expr("cast(1 + (n - a) div (3 + g % 8) as int)"))
+    tail = "slice(flatten(array_repeat(slice(w, a + 1, p), cast(ceil((n - a) / p) as int))), 1, n - a)"
+    text = F.when(F.col("n") > 0, F.expr(f"concat_ws(' ', slice(w, 1, a), {tail})")).otherwise(F.col("text"))
+    return period.select("doc_id", text.alias("text"))
+
+
+def op11_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = periodic_runs.find_runs(planted(table(spark, sf_dir, "documents")))
+    told = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("bigint").alias("n_runs"),
+        F.col("strongest.start").alias("start"),
+        F.col("strongest.length").alias("length"),
+        F.col("strongest.period").alias("period"),
+        F.expr("1000 * strongest.length div strongest.period").alias("exponent_milli"),
+        sha256(F.concat_ws("", told)).alias("runs_sha256"),
+        sha256(F.col("collapsed")).alias("collapsed_sha256"),
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+def op13_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages")
+    records = warc.read_archives(warc.write_archives(pages, warc.archive_folder(pages)))
+    return records.select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 Query = Callable[[SparkSession, str], DataFrame]
 
 
@@ -144,5 +188,8 @@ QUERIES: dict[str, Query] = {
         op8_embedding_dedup,
         op9_license_scan,
         op10_quality,
+        op11_periodic_runs,
+        op12_lexical_search,
+        op13_warc,
     )
 }
