@@ -28,7 +28,7 @@ Job = Callable[[Billing], DataFrame]
 
 
 def _use(b: Billing) -> KeyUse:
-    return KeyUse(lookups.encounter_rows(b.patient_encounter))
+    return lookups.encounter_use(b.patient_encounter)
 
 
 def _encounters(b: Billing) -> DataFrame:
@@ -132,7 +132,9 @@ def patient_type_desc(b: Billing) -> DataFrame:
 
 def _with_payer_names(b: Billing) -> DataFrame:
     slots = lookups.with_payers(_encounters(b), b.encounter_payer)
-    return lookups.with_payer_names(slots, b.encounter_payer, lookups.payer_side(b.payer_mstr, b.mstr_lists))
+    return lookups.with_payer_names(
+        slots, b.encounter_payer, lookups.payer_side(b.payer_mstr, b.mstr_lists), _use(b)
+    )
 
 
 def payer_names(b: Billing) -> DataFrame:

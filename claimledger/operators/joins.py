@@ -16,7 +16,7 @@ from collections.abc import Callable, Sequence
 from functools import cached_property, reduce
 from operator import or_
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType
 
@@ -27,25 +27,30 @@ MAX_BROADCAST_BYTES = 64 * 1024 * 1024
 # Bytes counted per value on top of the length of text.
 FIXED_WIDTH = 16
 
-# A key is hot when it holds more rows than one task should take, or 1/5000 of all rows where that
-# is more. So there can be no more than 5000 hot keys, whatever the data. A hot key is cut into slices of
-# ``SLICE_ROWS``, however many those are.
+# Rows of a key that one task should take. A key with more is hot and cut into slices of so many rows. So there are
+# at most rows / SLICE_ROWS hot keys, a million (16 MB) for 1e12 rows.
 SLICE_ROWS = 1_000_000
-MAX_HOT_KEYS = 5_000
 
-# Keys the heavy-hitter sketch tracks. Its error is at most 3.5/65536 of all rows, under 1/5000.
-TRACKED_KEYS = 65_536
+# Keys are counted on a sample that holds about so many rows of a key at the limit: its count is then within a few
+# times a tenth. A key counts as hot from EARLY of the limit on, unless the sample is the whole table.
+SAMPLES = 128
+EARLY = 0.75
+SEED = 20_240
 
-# Sketches are merged in two steps, so that no task merges those of all input splits. At least so many groups; with
-# more rows, about the square root of the number of splits.
-MERGE_GROUPS = 64
+# Tables of at most so many bytes, by Spark's statistics, are counted before they are measured (footers only).
+SMALL_BYTES = 64 * 1024 * 1024
 
 HotKeys = list[tuple[int, int]]
 
-# Rows with a NULL key match nothing. All of them count as one key, and as slices of it cost nothing
-# on the other side, they are spread as widely as can be.
+# Rows with a NULL key match nothing. All of them count as one key, and slices of it cost nothing on the other side.
 NULL_KEY = 0
-NULL_KEY_HOT = (NULL_KEY, 1)
+_ALL_ROWS = -1
+
+
+def least_row(columns: Sequence[str]) -> Column:
+    """An aggregation: the least row by ``columns``, NULL last, as a struct that has them."""
+    order = [part for c in columns for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
+    return F.min(F.struct(*order))
 
 
 def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -57,8 +62,7 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     df = df.dropna(subset=list(keys))
     if not rest:
         return df.distinct()
-    order = [part for c in rest for part in (F.col(c).isNull().alias(f"_no_{c}"), F.col(c))]
-    least = df.groupBy(*keys).agg(F.min(F.struct(*order)).alias("row"))
+    least = df.groupBy(*keys).agg(least_row(rest).alias("row"))
     return least.select(*keys, *[F.col("row")[c].alias(c) for c in rest])
 
 
@@ -66,10 +70,11 @@ class Side:
     """The looked-up side of a join: ``rows`` holds one row per key.
 
     ``probe`` is what its size is judged by: a table with the same text columns, at least as many
-    rows, and cheap to count. It is looked at only when it decides something.
+    rows, and cheap to count, or the ``KeyUse`` of such a table, whose rows are counted once. It is looked at only
+    when it decides something.
     """
 
-    def __init__(self, rows: DataFrame, probe: DataFrame, original: "Side | None" = None):
+    def __init__(self, rows: DataFrame, probe: "DataFrame | KeyUse", original: "Side | None" = None):
         self.rows = rows
         self.probe = probe
         self.original = original
@@ -79,12 +84,14 @@ class Side:
         """Whether the side is within the broadcast bounds. A plain Parquet count reads footers only."""
         if self.original is not None:
             return self.original.small
-        count = self.probe.count()
+        measured = isinstance(self.probe, KeyUse)
+        count = self.probe.rows if measured else self.probe.count()
         if count > MAX_BROADCAST_ROWS:
             return False
         fields = self.rows.schema.fields
+        df = self.probe.df if measured else self.probe
         text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in fields if isinstance(f.dataType, StringType)]
-        text_bytes = self.probe.agg(F.sum(sum(text, F.lit(0)).cast("bigint"))).first()[0] or 0
+        text_bytes = df.agg(F.sum(sum(text, F.lit(0)).cast("bigint"))).first()[0] or 0
         return text_bytes + count * FIXED_WIDTH * len(fields) <= MAX_BROADCAST_BYTES
 
     def renamed(self, names: dict[str, str]) -> "Side":
@@ -106,49 +113,71 @@ def _missing(keys: Sequence[str]) -> Column:
 
 
 class KeyUse:
-    """How the rows of a table spread over their keys, measured once when first asked for.
+    """How the rows of a table spread over their keys, measured when first asked for.
 
     The table stands for the left side of a join: it has its key columns and, up to copies and rows
     that were filtered out, its rows, without all that was joined on since.
+
+    ``key_sets`` names the sets of columns that will be asked for. All of them and the number of rows are measured in one
+    scan and one aggregation, and kept.
     """
 
-    def __init__(self, df: DataFrame):
+    def __init__(self, df: DataFrame, *key_sets: Sequence[str]):
         self.df = df
+        self.key_sets = [tuple(keys) for keys in key_sets]
         self._hot: dict[tuple[str, ...], HotKeys] = {}
+        self._rows: int | None = None
 
-    @cached_property
+    @property
     def rows(self) -> int:
-        return self.df.count()
+        if self._rows is None:
+            if not self.key_sets or self._small_files:
+                self._rows = self.df.count()
+            else:
+                self._measure()
+        return self._rows
+
+    @cached_property
+    def _small_files(self) -> bool:
+        return int(str(self.df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES
 
     def hot(self, *keys: str) -> HotKeys:
-        """The hot keys as (key hash, number of slices), at most ``MAX_HOT_KEYS`` of them.
+        """The hot keys as (key hash, number of slices); none for a table that a single task can take.
 
-        One scan of the key columns into fixed-size sketches; none for a table that a single task
-        can take. The sketches only steer the slicing, so neither their error nor a hash collision
-        can change a result.
+        The counts come from a sample of the rows and only steer the slicing, so neither their error nor a hash
+        collision can change a result.
         """
-        if self.rows <= SLICE_ROWS:
-            return []
+        if keys not in self.key_sets:
+            self.key_sets.append(keys)
         if keys not in self._hot:
-            most = max(SLICE_ROWS, self.rows / MAX_HOT_KEYS)
-            self._hot[keys] = [
-                (top["item"], math.ceil(top["count"] / SLICE_ROWS)) for top in self._most_used(keys) if top["count"] > most
-            ]
+            if self._rows is None and self._small_files:
+                self._rows = self.df.count()
+            if self._rows is not None and self._rows <= SLICE_ROWS:
+                return []
+            self._measure()
         return self._hot[keys]
 
-    def _most_used(self, keys: Sequence[str]) -> list[Row]:
-        groups = max(MERGE_GROUPS, math.isqrt(self.rows // SLICE_ROWS))
-        part = F.pmod(F.spark_partition_id(), F.lit(groups)).alias("part")
-        # Grouped by a constant: without a grouping, an empty shuffle partition has no sketch to give.
-        return (
-            self.df.select(_key_hash(keys).alias("key"), part)
-            .groupBy("part")
-            .agg(F.expr(f"approx_top_k_accumulate(key, {TRACKED_KEYS})").alias("sketch"))
-            .groupBy(F.lit("all"))
-            .agg(F.expr(f"approx_top_k_combine(sketch, {TRACKED_KEYS})").alias("sketch"))
-            .select(F.expr(f"approx_top_k_estimate(sketch, {MAX_HOT_KEYS})").alias("top"))
-            .first()["top"]
-        )
+    def _measure(self) -> None:
+        """Count the rows, and the sampled rows of every key, in one aggregation, added up before the shuffle."""
+        share = min(1.0, SAMPLES / SLICE_ROWS)
+        limit = SLICE_ROWS * (1.0 if share == 1.0 else EARLY)
+
+        def entry(number: int, key: Column) -> Column:
+            return F.struct(F.lit(number).alias("keys"), key.cast("bigint").alias("key"))
+
+        row = entry(_ALL_ROWS, F.lit(0))
+        drawn = F.array(row, *(entry(number, _key_hash(keys)) for number, keys in enumerate(self.key_sets)))
+        if share < 1.0:
+            drawn = F.when(F.rand(SEED) < share, drawn).otherwise(F.array(row))
+        many = (F.col("keys") == _ALL_ROWS) | (F.col("found") > limit * share)
+        counts = self.df.select(F.inline(drawn)).groupBy("keys", "key").agg(F.count(F.lit(1)).alias("found")).where(many)
+        self._rows = 0
+        self._hot = {keys: [] for keys in self.key_sets}
+        for number, key, found in counts.collect():
+            if number == _ALL_ROWS:
+                self._rows = found
+            else:
+                self._hot[self.key_sets[number]].append((key, math.ceil(found / share / limit)))
 
 
 def sliced_join(
@@ -171,9 +200,7 @@ def sliced_join(
         marked = df.withColumn("_key", _key_hash(keys)).join(slices, "_key", "left")
         return marked.withColumn("_slices", F.coalesce("_slices", F.lit(1))).drop("_key")
 
-    slice_of_row = F.pmod(
-        F.xxhash64(*spread), F.when(_missing(keys), F.greatest("_slices", F.lit(MAX_HOT_KEYS))).otherwise(F.col("_slices"))
-    ).cast("int")
+    slice_of_row = F.pmod(F.xxhash64(*spread), F.col("_slices")).cast("int")
     out = with_slices(left).withColumn("_slice", slice_of_row).drop("_slices")
     for right in rights:
         every_slice = F.explode(F.sequence(F.lit(0), F.col("_slices") - 1))

@@ -1,12 +1,14 @@
 """Encounter scope and attributes, and the descriptions looked up for ids and codes."""
 
+import math
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimledger.functions.expressions import EMPLOYER, PERSON, encounter_numbers, full_name
-from claimledger.operators.joins import NULL_KEY_HOT, KeyUse, Side, keyed, lookup
+from claimledger.operators import joins
+from claimledger.operators.joins import KeyUse, Side, keyed, least_row, lookup
 
 ENCOUNTER = ["practice_id", "enc_id"]
 
@@ -18,9 +20,24 @@ FINANCIAL_CLASSES = "fin_class"
 PAYER_SLOTS = (1, 2, 3)
 
 
+# The keys by which encounters look something up, measured together.
+ENCOUNTER_KEYS = (
+    ["guar_id"],
+    ["practice_id"],
+    ["location_id"],
+    ["pat_type"],
+    ["person_id"],
+    ["guar_id", "person_id"],
+)
+
 # Encounters
 
 
+def encounter_use(patient_encounter: DataFrame) -> KeyUse:
+    """How the encounters spread over all the keys that are looked up for them."""
+    return KeyUse(encounter_rows(patient_encounter), *ENCOUNTER_KEYS)
+
+
 def encounter_rows(patient_encounter: DataFrame) -> DataFrame:
     """The encounter table under the output's column names. The date keeps no time of day."""
     return patient_encounter.select(
@@ -39,15 +56,14 @@ def encounter_rows(patient_encounter: DataFrame) -> DataFrame:
 
 
 def one_per_encounter(rows: DataFrame) -> DataFrame:
-    """One row per (practice_id, enc_id), with the attributes of its own row.
+    """One row per (practice_id, enc_id), with the attributes of its own row: of several, the least one, NULL last.
 
     Attributes belong to an encounter id, so a row without one keeps none.
     """
     attributes = [c for c in rows.columns if c not in ENCOUNTER]
-    row = F.when(F.col("enc_id").isNotNull(), F.col("row")).alias("row")
-    return (
-        rows.groupBy(*ENCOUNTER).agg(F.min(F.struct(*attributes)).alias("row")).select(*ENCOUNTER, row)
-    ).select(*ENCOUNTER, "row.*")
+    least = rows.groupBy(*ENCOUNTER).agg(least_row(attributes).alias("row"))
+    known = F.col("enc_id").isNotNull()
+    return least.select(*ENCOUNTER, *[F.when(known, F.col("row")[c]).alias(c) for c in attributes])
 
 
 def chosen_guarantors(
@@ -124,7 +140,7 @@ def relationship_side(person_relationship: DataFrame, code_tables: DataFrame) ->
         F.col("code").alias("relationship_id"), F.col("description").alias("relationship_desc")
     )
     keys = ["guar_id", "person_id"]
-    hot = KeyUse(pairs).hot("relationship_id")
+    hot = KeyUse(pairs, ["relationship_id"]).hot("relationship_id")
     coded = lookup(
         pairs, keyed(codes, ["relationship_id"]), ["relationship_id"], hot, spread=keys, collapse=DataFrame.distinct
     )
@@ -142,7 +158,7 @@ def payer_side(payer_mstr: DataFrame, mstr_lists: DataFrame) -> Side:
     """Payer with name, financial class and its text, joined once for all three roles."""
     payers = payer_mstr.select("payer_id", "payer_name", F.col("financial_class").alias("fc_id"))
     classes = master_list_side(mstr_lists, FINANCIAL_CLASSES, "fc_id", "fin_class")
-    hot = KeyUse(payers).hot("fc_id")
+    hot = KeyUse(payers, ["fc_id"]).hot("fc_id")
     spread = ["payer_id", "payer_name"]
     classed = lookup(payers, classes, ["fc_id"], hot, spread, collapse=DataFrame.distinct)
     return keyed(classed, ["payer_id"])
@@ -177,9 +193,12 @@ def with_payers(encounters: DataFrame, encounter_payer: DataFrame) -> DataFrame:
     return encounters.join(payer_slots(encounter_payer), "enc_id", "left")
 
 
-def with_payer_names(encounters: DataFrame, encounter_payer: DataFrame, payers: Side) -> DataFrame:
-    # Most encounters may leave a slot empty, so the NULL key is taken as hot from the start.
-    hot = KeyUse(encounter_payer.select("payer_id")).hot("payer_id") or [NULL_KEY_HOT]
+def with_payer_names(encounters: DataFrame, encounter_payer: DataFrame, payers: Side, use: KeyUse) -> DataFrame:
+    """Names and classes of the three payers. ``use`` counts the encounters: all of them may leave a slot empty."""
+    hot = KeyUse(encounter_payer.select("payer_id"), ["payer_id"]).hot("payer_id")
+    hot = [(key, slices) for key, slices in hot if key != joins.NULL_KEY]
+    if hot or use.rows > joins.SLICE_ROWS:
+        hot.append((joins.NULL_KEY, max(1, math.ceil(use.rows / joins.SLICE_ROWS))))
     for slot in PAYER_SLOTS:
         role = {
             "payer_id": f"payer{slot}_id",

@@ -121,14 +121,14 @@ def transaction_sums(
     header_keys: Sequence[str],
     unposted_payments: bool,
     names: dict[str, str],
+    use: KeyUse,
 ) -> DataFrame:
     """The six transaction measures by ``by``, in one pass over details and headers.
 
     ``names`` gives each measure its column. The two jobs differ on purpose: ``header_keys`` is how a
-    line finds its header, and ``unposted_payments`` says whether payments that are not posted count.
+    line finds its header, and ``unposted_payments`` says whether payments that are not posted count. ``use`` is that of
+    the lines over their header keys.
     """
-    # Measured before the lines are filtered, where a Parquet count reads footers only.
-    use = KeyUse(trans_detail.select(*header_keys))
     line = list(dict.fromkeys([*by, *header_keys]))
     posted = F.col("post_ind") == POSTED
     if not unposted_payments:
@@ -161,13 +161,15 @@ def encounter_charge_sums(charges: DataFrame) -> DataFrame:
 
 def encounter_transaction_sums(trans_detail: DataFrame, transactions: DataFrame) -> DataFrame:
     """Payments count whether posted or not; a header is found by transaction and practice."""
+    header_keys = ["trans_id", "practice_id"]
     sums = transaction_sums(
         trans_detail,
         transactions,
         by=["practice_id", "source_id"],
-        header_keys=["trans_id", "practice_id"],
+        header_keys=header_keys,
         unposted_payments=True,
         names={name: f"enc_{name}" for name in TRANSACTION_MEASURES},
+        use=KeyUse(trans_detail.select(*header_keys), header_keys),
     )
     return sums.withColumnRenamed("source_id", "enc_id")
 
@@ -214,6 +216,6 @@ def with_account_columns(encounters: DataFrame) -> DataFrame:
 
 def with_account_totals(encounters: DataFrame, use: KeyUse) -> DataFrame:
     """The 20 account columns on every encounter of the guarantor."""
-    sums = Side(account_sums(encounters), use.df.select("guar_id").distinct())
+    sums = Side(account_sums(encounters), use)
     found = lookup(encounters, sums, ["guar_id"], use.hot("guar_id"), spread=["practice_id", "enc_id"])
     return with_account_columns(found)

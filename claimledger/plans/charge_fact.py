@@ -5,6 +5,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from claimledger.functions.expressions import money
 from claimledger.operators.joins import KeyUse, Side, keyed, lookup
 from claimledger.operators.measures import (
     TRANSACTION_MEASURES,
@@ -46,26 +47,36 @@ def with_insurance_balance(charges: DataFrame) -> DataFrame:
     return charges.withColumn("chginsbal", total_of(["chgcob1", "chgcob2", "chgcob3"]))
 
 
-def with_transactions(
-    charges: DataFrame, billing: Billing, practices: Sequence[str], use: KeyUse
-) -> DataFrame:
-    """The six measures by charge, zero where a charge has none.
+def transaction_use(trans_detail: DataFrame, practices: Sequence[str]) -> KeyUse:
+    """How transaction lines spread over transactions."""
+    return KeyUse(of_practices(trans_detail, practices).select(*CHARGE, "trans_id"), ["trans_id"])
+
+
+def transaction_sums_by_charge(billing: Billing, practices: Sequence[str], lines: KeyUse) -> DataFrame:
+    """The six measures by charge.
 
     Only posted lines count, and a header is found by transaction id alone: a line counts once per
     practice that has a header of that id.
     """
-    details = of_practices(billing.trans_detail, practices)
-    sums = transaction_sums(
-        details,
+    return transaction_sums(
+        of_practices(billing.trans_detail, practices),
         billing.transactions,
         by=CHARGE,
         header_keys=["trans_id"],
         unposted_payments=False,
         names=TRANSACTION_SUMS,
+        use=lines,
     )
+
+
+def with_transactions(
+    charges: DataFrame, billing: Billing, practices: Sequence[str], use: KeyUse
+) -> DataFrame:
+    """The six measures attached to summed charges, zero where a charge has none."""
+    lines = transaction_use(billing.trans_detail, practices)
     joined = lookup(
         charges,
-        Side(sums, details.select(*CHARGE)),
+        Side(transaction_sums_by_charge(billing, practices, lines), lines),
         CHARGE,
         use.hot(*CHARGE),
         spread=[c for c in GRAIN if c in charges.columns],
@@ -73,16 +84,37 @@ def with_transactions(
     return with_zeros(joined, TRANSACTION_SUMS.values())
 
 
+def settled_charges(billing: Billing, practices: Sequence[str], use: KeyUse) -> DataFrame:
+    """Charge lines summed per charge of an encounter, with the insurance balance and the six measures.
+
+    Where no charge is hot, lines find the transaction sums of their charge first and are grouped then. Join and
+    grouping share one distribution by charge, so lines move once, and not at all if the table is bucketed by charge.
+    The lines of hot charges are added up before they move instead, and cut into slices for the join.
+    """
+    if use.hot(*CHARGE):
+        charges = with_insurance_balance(summed_charges(billing.charges, practices))
+        return with_transactions(charges, billing, practices, use)
+    lines = of_practices(billing.charges, practices).select(*CHARGE, "source_id", *CHARGE_SUMS.values())
+    sums = transaction_sums_by_charge(billing, practices, transaction_use(billing.trans_detail, practices))
+    # Within a charge the measures are the same on all lines.
+    grouped = lines.join(sums, CHARGE, "left").groupBy("practice_id", "source_id", "charge_id").agg(
+        *[money(F.sum(amount)).alias(name) for name, amount in CHARGE_SUMS.items()],
+        *[F.max(name).alias(name) for name in TRANSACTION_SUMS.values()],
+    )
+    settled = with_zeros(grouped.withColumnRenamed("source_id", "enc_id"), TRANSACTION_SUMS.values())
+    return with_insurance_balance(settled)
+
+
 def charge_transactions(billing: Billing, practices: Sequence[str]) -> DataFrame:
     """One row per (practice, charge), each charge included."""
     lines = of_practices(billing.charges, practices).select(*CHARGE)
-    return with_transactions(lines.distinct(), billing, practices, KeyUse(lines))
+    return with_transactions(lines.distinct(), billing, practices, KeyUse(lines, CHARGE))
 
 
 def key_use(charges: DataFrame, practices: Sequence[str]) -> KeyUse:
     """How charge lines spread over encounters and over charges."""
     keys = of_practices(charges, practices).select("practice_id", F.col("source_id").alias("enc_id"), "charge_id")
-    return KeyUse(keys)
+    return KeyUse(keys, ["enc_id"], CHARGE)
 
 
 def with_guarantor(charges: DataFrame, patient_encounter: DataFrame, use: KeyUse) -> DataFrame:
@@ -99,9 +131,8 @@ def with_guarantor(charges: DataFrame, patient_encounter: DataFrame, use: KeyUse
 
 def charge_fact(billing: Billing, practices: Sequence[str]) -> DataFrame:
     use = key_use(billing.charges, practices)
-    charges = with_insurance_balance(summed_charges(billing.charges, practices))
-    owned = with_guarantor(charges, billing.patient_encounter, use)
-    fact = with_transactions(owned, billing, practices, use)
+    settled = settled_charges(billing, practices, use)
+    fact = with_guarantor(settled, billing.patient_encounter, use)
     fact = fact.withColumn("chgencbal", total_of(["chgamt", *TRANSACTION_SUMS.values()]))
     return typed(fact, CHARGE_FACT)
 

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from claimledger.functions.expressions import status_text
 from claimledger.operators import lookups, measures
-from claimledger.operators.joins import KeyUse, Side, lookup
+from claimledger.operators.joins import Side, lookup
 from claimledger.operators.lookups import ENCOUNTER
 from claimledger.sources.billing import Billing
 from claimledger.sources.schemas import ENCOUNTER_BALANCES, typed
@@ -49,7 +49,7 @@ def encounter_balances(
     before the money, while rows are narrow. Everything keyed by guarantor is joined last and together:
     the account sums need the money of all encounters first, and the rows then move once for all four.
     """
-    use = KeyUse(lookups.encounter_rows(billing.patient_encounter))
+    use = lookups.encounter_use(billing.patient_encounter)
     guarantors = lookups.chosen_guarantors(billing.patient_encounter, practices, numbers)
     scoped = lookups.scoped_encounters(use, guarantors, few=numbers is not None)
     if numbers is not None:
@@ -70,7 +70,7 @@ def encounter_balances(
     ):
         wide = lookups.with_description(wide, side, keys, use)
     wide = lookups.with_payers(wide, billing.encounter_payer)
-    wide = lookups.with_payer_names(wide, billing.encounter_payer, payers)
+    wide = lookups.with_payer_names(wide, billing.encounter_payer, payers, use)
     wide = with_encounter_money(wide, sums)
 
     owners = with_encounter_money(scoped.select(*ENCOUNTER, "guar_id", "enc_status"), sums)

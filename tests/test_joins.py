@@ -60,13 +60,48 @@ def test_a_table_for_one_task_has_no_hot_keys(skewed):
     assert KeyUse(skewed).hot("key") == []
 
 
-def test_hot_keys_are_bounded(monkeypatch, spark):
-    monkeypatch.setattr(joins, "SLICE_ROWS", 10)
-    monkeypatch.setattr(joins, "MAX_HOT_KEYS", 8)
-    rows = spark.range(4000).select((F.col("id") % 16).cast("string").alias("key"))
-    assert KeyUse(rows).hot("key") == []
-    rows = rows.union(spark.range(2000).select(F.lit("0").alias("key")))
-    assert len(KeyUse(rows).hot("key")) == 1
+def test_every_key_above_the_limit_is_cut(low_bounds, shuffled, spark):
+    """However many keys are hot: none stays whole, and no slice is far above the limit."""
+    sizes = {f"k{n}": n for n in range(1, 131, 3)}
+    rows = [(n, key) for key, size in sizes.items() for n in range(size)]
+    df = spark.createDataFrame(rows, "row int, key string")
+    hot = dict(KeyUse(df, ["key"]).hot("key"))
+    hashes = {r.key: r.h for r in df.select("key", F.xxhash64("key").alias("h")).distinct().collect()}
+    assert {key for key, h in hashes.items() if h in hot} == {key for key, size in sizes.items() if size > joins.SLICE_ROWS}
+    marked = sliced_join(df, [], ["key"], [*hot.items()], ["row"])
+    slices = F.pmod(F.xxhash64("row"), F.coalesce(F.col("n"), F.lit(1)))
+    count = spark.createDataFrame([*hot.items()], "h long, n int")
+    largest = (
+        df.withColumn("h", F.xxhash64("key")).join(count, "h", "left").groupBy("key", slices.alias("slice")).count()
+    ).agg(F.max("count")).first()[0]
+    assert marked.count() == len(rows) and joins.SLICE_ROWS / 2 < largest <= 1.3 * joins.SLICE_ROWS
+
+
+def test_a_sample_finds_hot_keys(monkeypatch, spark):
+    """Keys at four times the limit are found from one row in 31, those at a quarter of it are not."""
+    monkeypatch.setattr(joins, "SLICE_ROWS", 4_000)
+    many = spark.range(200_000).select(F.concat(F.lit("k"), (F.col("id") % 200).cast("string")).alias("key"))
+    hot = [spark.range(16_000).select(F.lit(f"hot{n}").alias("key")) for n in range(5)]
+    rows = many
+    for part in [*hot, spark.range(12_000).select(F.lit(None).cast("string").alias("key"))]:
+        rows = rows.union(part)
+    use = KeyUse(rows, ["key"])
+    found = dict(use.hot("key"))
+    want = {NULL_KEY} | {spark.range(1).select(F.xxhash64(F.lit(f"hot{n}"))).first()[0] for n in range(5)}
+    assert set(found) == want and use.rows == 292_000
+    assert all(3 <= slices <= 8 for slices in found.values())
+
+
+def test_one_scan_measures_all_key_sets(monkeypatch, low_bounds, skewed):
+    """Row count and every set of keys come from one job, asked for once."""
+    monkeypatch.setattr(joins, "SMALL_BYTES", -1)
+    runs = []
+    measure = KeyUse._measure
+    monkeypatch.setattr(KeyUse, "_measure", lambda self: (runs.append(1), measure(self)))
+    use = KeyUse(skewed, ["key"], ["row"], ["key", "row"])
+    assert use.rows == 3000 and len(use.hot("key")) == 2 and use.hot("row") == []
+    assert use.hot("key", "row") == [(NULL_KEY, 20)]
+    assert len(runs) == 1
 
 
 @pytest.mark.parametrize("how", ["left", "inner", "left_semi"])

@@ -3,8 +3,9 @@
 import re
 
 import pytest
+from pyspark.sql.classic.dataframe import DataFrame
 
-from claimledger.operators import measures
+from claimledger.operators import joins, measures
 from claimledger.operators.lookups import encounter_rows, one_per_encounter
 from claimledger.plans.charge_fact import charge_fact, charge_transactions, summed_charges
 from claimledger.plans.encounter_balances import encounter_balances, encounter_sums, with_encounter_money
@@ -100,6 +101,52 @@ def test_the_wide_job_reads_each_fact_once(billing):
     assert "ReusedExchange" in plan
 
 
+@pytest.fixture
+def executed(monkeypatch):
+    """Plans of the jobs that run while a job is being planned."""
+    plans = []
+    for name in ("collect", "first", "count"):
+        real = getattr(DataFrame, name)
+
+        def run(self, *args, real=real):
+            plans.append(planned(self))
+            return real(self, *args)
+
+        monkeypatch.setattr(DataFrame, name, run)
+    return plans
+
+
+@pytest.mark.parametrize("job", [encounter_balances, charge_fact])
+@pytest.mark.parametrize("large", [False, True])
+def test_planning_scans_a_fact_once(monkeypatch, billing, executed, job, large):
+    if large:
+        monkeypatch.setattr(joins, "SMALL_BYTES", -1)
+    job(billing, ALL_PRACTICES)
+    for fact in ("charges", "trans_detail", "patient_encounter"):
+        assert sum(len(scans(plan, fact)) for plan in executed) <= 1, fact
+    assert executed
+
+
+def exchanges_of(plan, column):
+    """Exchanges that the rows with a column pass, with what they are dealt by."""
+    tree = plan.split("\n")
+    return [line for line in tree if "Exchange hashpartitioning(" in line and column in line]
+
+
+def test_charge_lines_move_twice(spark, billing):
+    """Once by charge, for their sums and those of their transactions, and once by encounter."""
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        plan = charge_fact(billing, ALL_PRACTICES)._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+    by_charge = exchanges_of(plan, "charge_id")
+    # charge lines, transaction sums
+    assert len(by_charge) == 2 and not any("source_id" in line for line in by_charge), plan
+    # charges by encounter, encounters; transaction lines and headers by transaction; no other
+    assert plan.count("Exchange hashpartitioning") == 6, plan
+
+
 @pytest.mark.parametrize("job", [encounter_balances, charge_fact])
 def test_no_pairs_no_python_no_windows(billing, job):
     plan = planned(job(billing, ALL_PRACTICES))
