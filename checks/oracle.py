@@ -81,15 +81,74 @@ STAGED = {
         from lineitem where l_linenumber <= 4 group by l_orderkey, l_linenumber""",
 }
 
+# The flawed tables: as staged, with rows added and ids shortened, and with the row of each key that counts.
+_RAW = {f"staged_{name}": text for name, text in STAGED.items()}
+FLAWED = {
+    **_RAW,
+    "typed_encounter": """
+        select * replace (case when cast(enc_id as bigint) % 17 <> 0 then guar_type end as guar_type)
+        from staged_patient_encounter""",
+    "patient_encounter": """
+        select * from typed_encounter
+        union all
+        select * replace (
+            case when cast(enc_id as bigint) % 2 = 0 then guar_id || '0' end as guar_id,
+            case when cast(enc_id as bigint) % 3 = 0 then 'A' end as enc_status,
+            null as location_id)
+        from typed_encounter where cast(enc_id as bigint) % 7 = 0""",
+    "charge_lines": """
+        select * replace (case when cast(source_id as bigint) % 19 <> 0 then amt end as amt) from staged_charges""",
+    "charges": """
+        select * from charge_lines
+        union all
+        select * replace (cast(cast(source_id as bigint) + 5 as varchar) as source_id)
+        from charge_lines where cast(source_id as bigint) % 23 = 0""",
+    "trans_detail": "select * replace (substr(trans_id, 3) as trans_id) from staged_trans_detail",
+    "transactions": "select * replace (substr(trans_id, 3) as trans_id) from staged_transactions",
+    "accounts": "select * from staged_accounts",
+    "practice": "select * from staged_practice",
+    "employer_mstr": "select * from staged_employer_mstr",
+    "person": """
+        select * from (
+            select * from staged_person union all select * replace ('Zoe' as first_name) from staged_person)
+        qualify row_number() over (
+            partition by person_id order by coalesce(last_name, '') || ', ' || coalesce(first_name, '')) = 1""",
+    "location_mstr": """
+        select location_id, min(location_name) location_name from (
+            select * from staged_location_mstr
+            union all select location_id, location_name || ' (old)' from staged_location_mstr)
+        group by location_id""",
+    "listed": """
+        select * from staged_mstr_lists
+        union all select 'patXtype', 'PTP', 'Type by pattern'""",
+    "mstr_lists": """
+        select mstr_list_type, mstr_list_item_id, min(mstr_list_item_desc) mstr_list_item_desc from (
+            select * from listed
+            union all select mstr_list_type, mstr_list_item_id, mstr_list_item_desc || ' (old)' from listed)
+        group by all""",
+    "payer_mstr": """
+        select payer_id, min(payer_name) payer_name, min(financial_class) financial_class from (
+            select * from staged_payer_mstr union all select payer_id, null, financial_class from staged_payer_mstr)
+        group by payer_id""",
+    "person_relationship": "select * from staged_person_relationship",
+    "code_tables": "select * from staged_code_tables",
+    "encounter_payer": """
+        select enc_id, cob, min(payer_id) payer_id from (
+            select * from staged_encounter_payer union all select enc_id, cob, null from staged_encounter_payer)
+        group by all""",
+}
+
 # Named steps on top of the staged tables.
 STEPS = {
     "enc": """
-        select practice_id, enc_id, any_value(guar_id) guar_id, any_value(guar_type) guar_type,
-               any_value(person_id) person_id, any_value(enc_status) enc_status,
-               any_value(location_id) location_id, any_value(enc_nbr) enc_nbr,
-               any_value(cast(enc_timestamp as date)) dos, any_value(pat_resp_date) pat_resp_date,
-               any_value(patient_type_id) pat_type
-        from patient_encounter group by practice_id, enc_id""",
+        select practice_id, enc_id, guar_id, guar_type, person_id, enc_status, location_id, enc_nbr,
+               cast(enc_timestamp as date) dos, pat_resp_date, patient_type_id pat_type
+        from patient_encounter
+        qualify row_number() over (
+            partition by practice_id, enc_id
+            order by guar_id nulls last, guar_type nulls last, person_id nulls last, enc_status nulls last,
+                     location_id nulls last, enc_nbr nulls last, cast(enc_timestamp as date) nulls last,
+                     pat_resp_date nulls last, patient_type_id nulls last) = 1""",
     "charged": """
         select enc.*, coalesce(s.amt, 0) enc_tot_chg, coalesce(s.c1, 0) enc_ins_buc1,
                coalesce(s.c2, 0) enc_ins_buc2, coalesce(s.c3, 0) enc_ins_buc3, coalesce(s.pat, 0) raw_pat_buc
@@ -168,7 +227,7 @@ STEPS = {
     "summed": """
         select practice_id, source_id enc_id, charge_id, sum(amt) chgamt, sum(cob1_amt) chgcob1,
                sum(cob2_amt) chgcob2, sum(cob3_amt) chgcob3, sum(pat_amt) chgpat
-        from charges where practice_id in ('0001', '0002', '0003', '0004', '0005')
+        from charges where practice_id in ({practices})
         group by all""",
     "settled": """
         select k.practice_id, k.charge_id,
@@ -186,8 +245,9 @@ STEPS = {
         select s.*, s.chgcob1 + s.chgcob2 + s.chgcob3 chginsbal, e.guar_id, e.guar_type
         from summed s
         left join (
-            select enc_id, any_value(guar_id) guar_id, any_value(guar_type) guar_type
-            from patient_encounter group by enc_id) e on e.enc_id = s.enc_id
+            select enc_id, guar_id, guar_type from patient_encounter where guar_id is not null
+            qualify row_number() over (partition by enc_id order by guar_id, guar_type nulls last) = 1
+            ) e on e.enc_id = s.enc_id
         where e.guar_id is not null""",
     "fact": """
         select o.*, t.* exclude (practice_id, charge_id),
@@ -331,10 +391,30 @@ BODIES = {
 }
 
 
+ALL_PRACTICES = "'0001', '0002', '0003', '0004', '0005'"
+# Queries that run another one's SQL over other practices.
+_LIMITED = {"charge_fact_of_practices": "'0001', '0002', '0003'"}
+
+
 def full_sql(name: str, tables: dict[str, str] = STAGED) -> str:
     """The SQL of a query over the given billing tables, each a SELECT."""
-    ctes = ",\n".join(f"{step} as ({text})" for step, text in {**tables, **STEPS}.items())
+    chosen = _LIMITED.get(name, ALL_PRACTICES)
+    steps = {step: text.replace("{practices}", chosen) for step, text in {**tables, **STEPS}.items()}
+    ctes = ",\n".join(f"{step} as ({text})" for step, text in steps.items())
     return f"with {ctes}\n{BODIES[name]}"
 
 
-ORACLE_SQL = {name: full_sql(name) for name in BODIES}
+BODIES["charge_fact_of_practices"] = BODIES["charge_fact_by_bucket"] = BODIES["charge_fact"]
+BODIES["encounter_balances_by_number"] = BODIES["encounter_balances"].replace(
+    "where practice_id in ('0001', '0002', '0003', '0004', '0005')",
+    "where practice_id = '0001' and enc_nbr in (5, 10, 25, 100, 1000)",
+)
+
+FLAWED_BODIES = (
+    "encounter_attributes encounter_trans_sums charge_trans_sums encounter_balances charge_fact fact_contract_violations"
+).split()
+
+ORACLE_SQL = {
+    **{name: full_sql(name) for name in BODIES},
+    **{f"flawed_{name}": full_sql(name, FLAWED) for name in FLAWED_BODIES},
+}

@@ -18,11 +18,14 @@ from claimledger.plans import encounter_balances as balance_plan
 from claimledger.plans import warehouse
 from claimledger.sources.billing import Billing
 from claimledger.sources.schemas import CHARGES_SUMMED, typed
-from claimledger.sources.staging import ALL_PRACTICES, stage_billing
+from claimledger.sources.staging import ALL_PRACTICES, flawed, stage_billing
+from claimledger.sources.storage import shared_folder, store_by_charge
 
 # The scope operator itself: one practice, and encounter numbers within it.
 SCOPE_PRACTICE = ["0001"]
 SCOPE_NUMBERS = ["5", "10", "25", "100", "1000"]
+# The practices that the charge fact is limited to in the job itself; the tables hold more.
+FACT_PRACTICES = ["0001", "0002", "0003"]
 
 Job = Callable[[Billing], DataFrame]
 
@@ -182,11 +185,30 @@ def charge_fact_sample(b: Billing) -> DataFrame:
 
 def fact_load(b: Billing) -> DataFrame:
     fact = charge_fact(b)
-    return warehouse.load_fact(fact, warehouse.shared_folder(fact.sparkSession))
+    return warehouse.load_fact(fact, shared_folder(fact.sparkSession, "f_transactions"))
 
 
 def fact_contract_violations(b: Billing) -> DataFrame:
-    return warehouse.contract_violations(warehouse.stored(warehouse.warehouse_rows(charge_fact(b))))
+    rows = warehouse.warehouse_rows(charge_fact(b))
+    spark = rows.sparkSession
+    found = warehouse.store_checked(rows, shared_folder(spark, "f_transactions"))
+    return spark.createDataFrame(found, "rule string, column_name string, violations bigint")
+
+
+def encounter_balances_by_number(b: Billing) -> DataFrame:
+    return balance_plan.encounter_balances(b, SCOPE_PRACTICE, SCOPE_NUMBERS)
+
+
+def charge_fact_of_practices(b: Billing) -> DataFrame:
+    return fact_plan.charge_fact(b, FACT_PRACTICES)
+
+
+def charge_fact_by_bucket(b: Billing) -> DataFrame:
+    spark = b.charges.sparkSession
+    folder = shared_folder(spark, "facts")
+    name = f"facts_{folder[-12:]}"
+    spark.sql(f"create database if not exists {name} location '{folder}/database'")
+    return charge_fact(store_by_charge(b, name, folder))
 
 
 JOBS: dict[str, Job] = {
@@ -220,6 +242,22 @@ JOBS: dict[str, Job] = {
         charge_fact_sample,
         fact_load,
         fact_contract_violations,
+        encounter_balances_by_number,
+        charge_fact_of_practices,
+        charge_fact_by_bucket,
+    )
+}
+
+# Jobs that run over the flawed tables too: there, a rule that is left out changes the result.
+FLAWED_JOBS: dict[str, Job] = {
+    f"flawed_{job.__name__}": job
+    for job in (
+        encounter_attributes,
+        encounter_trans_sums,
+        charge_trans_sums,
+        encounter_balances,
+        charge_fact,
+        fact_contract_violations,
     )
 }
 
@@ -228,4 +266,7 @@ def _query(job: Job) -> Callable[[SparkSession, str], DataFrame]:
     return lambda spark, sf_dir: job(stage_billing(spark, sf_dir))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {name: _query(job) for name, job in JOBS.items()}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    **{name: _query(job) for name, job in JOBS.items()},
+    **{name: _query(lambda b, job=job: job(flawed(b))) for name, job in FLAWED_JOBS.items()},
+}

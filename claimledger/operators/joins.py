@@ -66,6 +66,11 @@ def one_per_key(df: DataFrame, keys: Sequence[str]) -> DataFrame:
     return least.select(*keys, *[F.col("row")[c].alias(c) for c in rest])
 
 
+def small_files(df: DataFrame) -> bool:
+    """Whether what ``df`` reads is small, by Spark's statistics. No bound on its rows: they may compress well."""
+    return int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES
+
+
 class Side:
     """The looked-up side of a join: ``rows`` holds one row per key.
 
@@ -85,14 +90,20 @@ class Side:
         if self.original is not None:
             return self.original.small
         measured = isinstance(self.probe, KeyUse)
-        count = self.probe.rows if measured else self.probe.count()
-        if count > MAX_BROADCAST_ROWS:
-            return False
-        fields = self.rows.schema.fields
         df = self.probe.df if measured else self.probe
-        text = [F.coalesce(F.octet_length(f.name), F.lit(0)) for f in fields if isinstance(f.dataType, StringType)]
-        text_bytes = df.agg(F.sum(sum(text, F.lit(0)).cast("bigint"))).first()[0] or 0
-        return text_bytes + count * FIXED_WIDTH * len(fields) <= MAX_BROADCAST_BYTES
+        fields = self.rows.schema.fields
+        texts = [f.name for f in fields if isinstance(f.dataType, StringType) and f.name in df.columns]
+        text = [F.coalesce(F.octet_length(name), F.lit(0)) for name in texts]
+        size = F.sum(sum(text, F.lit(0)).cast("bigint"))
+        if not measured and small_files(df):
+            count, text_bytes = df.agg(F.count(F.lit(1)), size).first()
+        else:
+            count = self.probe.rows if measured else df.count()
+            if count > MAX_BROADCAST_ROWS:
+                return False
+            text_bytes = df.agg(size).first()[0]
+        total = (text_bytes or 0) + count * FIXED_WIDTH * len(fields)
+        return count <= MAX_BROADCAST_ROWS and total <= MAX_BROADCAST_BYTES
 
     def renamed(self, names: dict[str, str]) -> "Side":
         """The same side for another role."""
@@ -131,16 +142,12 @@ class KeyUse:
     @property
     def rows(self) -> int:
         if self._rows is None:
-            if not self.key_sets or self._small_files:
+            if not self.key_sets or small_files(self.df):
                 self._rows = self.df.count()
             else:
                 self._measure()
         return self._rows
 
-    @cached_property
-    def _small_files(self) -> bool:
-        return int(str(self.df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())) <= SMALL_BYTES
-
     def hot(self, *keys: str) -> HotKeys:
         """The hot keys as (key hash, number of slices); none for a table that a single task can take.
 
@@ -150,7 +157,7 @@ class KeyUse:
         if keys not in self.key_sets:
             self.key_sets.append(keys)
         if keys not in self._hot:
-            if self._rows is None and self._small_files:
+            if self._rows is None and small_files(self.df):
                 self._rows = self.df.count()
             if self._rows is not None and self._rows <= SLICE_ROWS:
                 return []

@@ -194,11 +194,15 @@ def with_payers(encounters: DataFrame, encounter_payer: DataFrame) -> DataFrame:
 
 
 def with_payer_names(encounters: DataFrame, encounter_payer: DataFrame, payers: Side, use: KeyUse) -> DataFrame:
-    """Names and classes of the three payers. ``use`` counts the encounters: all of them may leave a slot empty."""
-    hot = KeyUse(encounter_payer.select("payer_id"), ["payer_id"]).hot("payer_id")
-    hot = [(key, slices) for key, slices in hot if key != joins.NULL_KEY]
-    if hot or use.rows > joins.SLICE_ROWS:
-        hot.append((joins.NULL_KEY, max(1, math.ceil(use.rows / joins.SLICE_ROWS))))
+    """Names and classes of the three payers.
+
+    ``use`` counts the encounters: no payer is hot unless they are many, and all of them may leave a slot empty.
+    """
+    hot = []
+    if use.rows > joins.SLICE_ROWS:
+        paid = KeyUse(encounter_payer.select("payer_id"), ["payer_id"]).hot("payer_id")
+        hot = [(key, slices) for key, slices in paid if key != joins.NULL_KEY]
+        hot.append((joins.NULL_KEY, math.ceil(use.rows / joins.SLICE_ROWS)))
     for slot in PAYER_SLOTS:
         role = {
             "payer_id": f"payer{slot}_id",

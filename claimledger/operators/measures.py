@@ -159,7 +159,15 @@ def encounter_charge_sums(charges: DataFrame) -> DataFrame:
     return sums.withColumnRenamed("source_id", "enc_id")
 
 
-def encounter_transaction_sums(trans_detail: DataFrame, transactions: DataFrame) -> DataFrame:
+def encounter_transaction_use(trans_detail: DataFrame) -> KeyUse:
+    """How transaction lines spread over the headers of their practice."""
+    header_keys = ["trans_id", "practice_id"]
+    return KeyUse(trans_detail.select(*header_keys), header_keys)
+
+
+def encounter_transaction_sums(
+    trans_detail: DataFrame, transactions: DataFrame, use: KeyUse | None = None
+) -> DataFrame:
     """Payments count whether posted or not; a header is found by transaction and practice."""
     header_keys = ["trans_id", "practice_id"]
     sums = transaction_sums(
@@ -169,7 +177,7 @@ def encounter_transaction_sums(trans_detail: DataFrame, transactions: DataFrame)
         header_keys=header_keys,
         unposted_payments=True,
         names={name: f"enc_{name}" for name in TRANSACTION_MEASURES},
-        use=KeyUse(trans_detail.select(*header_keys), header_keys),
+        use=use or encounter_transaction_use(trans_detail),
     )
     return sums.withColumnRenamed("source_id", "enc_id")
 

@@ -1,23 +1,25 @@
 """Encounter balances: one wide row per encounter of the chosen guarantors."""
 
 from collections.abc import Sequence
+from dataclasses import replace
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from claimledger.functions.expressions import status_text
 from claimledger.operators import lookups, measures
-from claimledger.operators.joins import Side, lookup
+from claimledger.operators.joins import KeyUse, Side, lookup
 from claimledger.operators.lookups import ENCOUNTER
 from claimledger.sources.billing import Billing
 from claimledger.sources.schemas import ENCOUNTER_BALANCES, typed
+from claimledger.sources.storage import FACTS, stored
 
 
-def encounter_sums(billing: Billing) -> list[DataFrame]:
-    """The charge sums and the transaction sums by encounter."""
+def encounter_sums(billing: Billing, lines: KeyUse | None = None) -> list[DataFrame]:
+    """The charge sums and the transaction sums by encounter. ``lines`` is the use of the transaction lines, if known."""
     return [
         measures.encounter_charge_sums(billing.charges),
-        measures.encounter_transaction_sums(billing.trans_detail, billing.transactions),
+        measures.encounter_transaction_sums(billing.trans_detail, billing.transactions, lines),
     ]
 
 
@@ -28,16 +30,20 @@ def with_encounter_money(encounters: DataFrame, sums: Sequence[DataFrame]) -> Da
     return measures.with_bad_debt(encounters)
 
 
-def _facts_of(scoped: DataFrame, billing: Billing) -> Billing:
-    """The charges and transaction details of a few encounters only, if they are few indeed."""
+def few_encounters(billing: Billing, guarantors: Side, use: KeyUse) -> tuple[DataFrame, Billing]:
+    """The scoped encounters of a few guarantors, and the billing tables with only their charges, lines and payers.
+
+    The scope is computed once and stored: its size is then known from the stored rows, and these tables are
+    filtered by it where they are read. If it is not small after all, they stay as they are.
+    """
+    scoped = stored(lookups.scoped_encounters(use, guarantors, few=True))
     keys = scoped.select("practice_id", F.col("enc_id").alias("source_id"))
     if not Side(keys, keys).small:
-        return billing
-    own = {
-        name: getattr(billing, name).join(F.broadcast(keys), keys.columns, "left_semi")
-        for name in ("charges", "trans_detail")
-    }
-    return Billing(**{**vars(billing), **own})
+        return scoped, billing
+    own = {name: getattr(billing, name).join(F.broadcast(keys), keys.columns, "left_semi") for name in FACTS}
+    ids = keys.select(F.col("source_id").alias("enc_id"))
+    own["encounter_payer"] = billing.encounter_payer.join(F.broadcast(ids), "enc_id", "left_semi")
+    return scoped, replace(billing, **own)
 
 
 def encounter_balances(
@@ -51,10 +57,17 @@ def encounter_balances(
     """
     use = lookups.encounter_use(billing.patient_encounter)
     guarantors = lookups.chosen_guarantors(billing.patient_encounter, practices, numbers)
-    scoped = lookups.scoped_encounters(use, guarantors, few=numbers is not None)
-    if numbers is not None:
-        billing = _facts_of(scoped, billing)
-    sums = encounter_sums(billing)
+    # Of all lines, also where they are filtered below: a filtered fact cannot be counted without reading it.
+    lines = measures.encounter_transaction_use(billing.trans_detail)
+    if numbers is None:
+        scoped = lookups.scoped_encounters(use, guarantors)
+    else:
+        rows = stored(guarantors.rows)
+        guarantors = Side(rows, rows)
+        scoped, billing = few_encounters(billing, guarantors, use)
+        # What is looked up for the scope now is looked up for its own rows.
+        use = KeyUse(scoped, *lookups.ENCOUNTER_KEYS)
+    sums = encounter_sums(billing, lines)
 
     persons = lookups.person_side(billing.person)
     payers = lookups.payer_side(billing.payer_mstr, billing.mstr_lists)

@@ -1,19 +1,23 @@
 """The warehouse load of the charge fact and the check of its contract.
 
-The table is a folder of versions and a log that names the current one.
+The table is a folder of versions and a log that names the current one. The log holds a small file for each version, called
+by its number; the greatest number is the table.
 """
 
-import tempfile
+import time
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from claimledger.sources.schemas import F_TRANSACTIONS, F_TRANSACTIONS_FROM, F_TRANSACTIONS_KEY, typed
+from claimledger.sources.storage import create_file, delete, file_names, modified, read_file, shared_folder
 
 NOT_NULL = "NOT NULL"
 PRIMARY_KEY = "PRIMARY KEY"
 VERSIONS = "_versions"
+# Versions that are kept besides the current one.
+EARLIER = 1
 
 
 class ContractError(ValueError):
@@ -26,89 +30,123 @@ def warehouse_rows(fact: DataFrame) -> DataFrame:
     return typed(named, F_TRANSACTIONS)
 
 
-def contract_violations(rows: DataFrame) -> DataFrame:
-    """One row per rule: NULLs per required column, and how many key values occur more than once.
+class LoadConflict(RuntimeError):
+    """Another load made its version the table while this one was running."""
 
-    Reads ``rows`` twice, so give it a stored table. The NULL counts need no shuffle, and the key
-    check shuffles the key alone.
-    """
-    nulls = rows.agg(*[F.count_if(F.col(c).isNull()).alias(c) for c in rows.columns])
-    required = nulls.unpivot([], rows.columns, "column_name", "violations").select(
-        F.lit(NOT_NULL).alias("rule"), "column_name", "violations"
-    )
-    repeated = (
+
+def _nulls(rows: DataFrame) -> list:
+    return [F.count_if(F.col(c).isNull()).alias(c) for c in rows.columns]
+
+
+def _repeated_keys(rows: DataFrame) -> DataFrame:
+    """How many key values occur more than once. Shuffles the key alone."""
+    return (
         rows.where(F.col(F_TRANSACTIONS_KEY).isNotNull())
         .groupBy(F_TRANSACTIONS_KEY)
         .agg(F.count(F.lit(1)).alias("copies"))
         .agg(F.count_if(F.col("copies") > 1).alias("violations"))
-        .select(F.lit(PRIMARY_KEY).alias("rule"), F.lit(F_TRANSACTIONS_KEY).alias("column_name"), "violations")
+    )
+
+
+def contract_violations(rows: DataFrame) -> DataFrame:
+    """One row per rule: NULLs per required column, and how many key values occur more than once.
+
+    Reads ``rows`` twice, so give it a stored table; ``store_checked`` counts the NULLs while it writes one.
+    """
+    required = (
+        rows.agg(*_nulls(rows))
+        .unpivot([], rows.columns, "column_name", "violations")
+        .select(F.lit(NOT_NULL).alias("rule"), "column_name", "violations")
+    )
+    repeated = _repeated_keys(rows).select(
+        F.lit(PRIMARY_KEY).alias("rule"), F.lit(F_TRANSACTIONS_KEY).alias("column_name"), "violations"
     )
     return required.union(repeated)
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """A new folder name where all executors can write: below the session's checkpoint folder."""
-    root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        master = spark.sparkContext.master
-        if master != "local" and not master.startswith("local["):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        root = tempfile.mkdtemp(prefix="claimledger-")
-    return f"{root.rstrip('/')}/f_transactions-{uuid.uuid4().hex}"
+def store_checked(rows: DataFrame, folder: str) -> list[tuple[str, str, int]]:
+    """Write warehouse rows to ``folder`` and return the rules with their violations, those without any too.
+
+    NULLs are counted on the way to the files, in the stage that writes them, where a task that is
+    repeated counts once. Only the key is read again.
+    """
+    spark = rows.sparkSession
+    seen = Observation()
+    rows.observe(seen, *_nulls(rows)).write.partitionBy("Practice_ID").parquet(folder)
+    nulls = seen.get
+    written = spark.read.schema(F_TRANSACTIONS).parquet(folder)
+    found = [(NOT_NULL, c, nulls.get(c) or 0) for c in rows.columns]
+    return [*found, (PRIMARY_KEY, F_TRANSACTIONS_KEY, _repeated_keys(written).first().violations)]
 
 
-def stored(rows: DataFrame) -> DataFrame:
-    """``rows`` written to the shared folder and read back, so that later steps do not redo the job."""
-    folder = shared_folder(rows.sparkSession)
-    rows.write.parquet(folder)
-    return rows.sparkSession.read.schema(rows.schema).parquet(folder)
+def _versions(spark: SparkSession, path: str) -> list[int]:
+    """The numbers in the log, newest first."""
+    return sorted((int(name) for name in file_names(spark, f"{path}/{VERSIONS}") if name.isdigit()), reverse=True)
 
 
-def _versions(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.schema("number bigint, folder string").parquet(f"{path}/{VERSIONS}")
+def _entry(path: str, number: int) -> str:
+    return f"{path}/{VERSIONS}/{number:012d}"
 
 
 def read_fact(spark: SparkSession, path: str) -> DataFrame:
     """The warehouse table as last loaded. The declared schema keeps practice ``0001`` as text."""
-    folder = _versions(spark, path).agg(F.max_by("folder", "number")).first()[0]
+    numbers = _versions(spark, path)
+    if not numbers:
+        raise ValueError(f"no load has made a table at {path}")
+    folder = read_file(spark, _entry(path, numbers[0]))
     return typed(spark.read.schema(F_TRANSACTIONS).parquet(f"{path}/{folder}"), F_TRANSACTIONS)
 
 
-def _delete(spark: SparkSession, folder: str) -> None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(folder)
-    path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
-
-
 def load_fact(fact: DataFrame, path: str) -> DataFrame:
     """Replace the warehouse table at ``path`` by ``fact``, or raise and leave it as it is.
 
-    The rows are computed and written once, into a version folder of their own, and the contract is checked there. Only
-    then does one small row in ``path/_versions`` make that folder the table; until that is committed, readers see
-    the version before. A version that breaks the contract is deleted, and so are versions older than the last two.
-    One load runs at a time. Rebalancing splits a practice with many rows over several files and keeps small
-    practices from leaving many small ones.
+    The rows are computed and written once, into a version folder of their own; NULLs are counted meanwhile and the key is
+    checked there. Only then is the next number claimed: its file in the log, which names the folder, must not exist
+    yet and appears whole. Until then, readers see the version before.
+
+    Loads may run at a time. The number is the one after that seen when a load began, so of several loads
+    that began at the same version one becomes the table, and the others raise ``LoadConflict`` and delete their
+    folders. The log and the folders are cut down to the current version and ``EARLIER`` ones; a number that has been cut
+    away and is claimed by a slow load is given back, as greater ones exist.
+
+    Rebalancing splits a practice with many rows over several files and keeps small practices from leaving many small ones.
     """
     spark = fact.sparkSession
+    number = next(iter(_versions(spark, path)), 0) + 1
     folder = f"version-{uuid.uuid4().hex}"
-    rows = warehouse_rows(fact).hint("rebalance", "Practice_ID")
-    rows.write.partitionBy("Practice_ID").parquet(f"{path}/{folder}")
-    written = typed(spark.read.schema(F_TRANSACTIONS).parquet(f"{path}/{folder}"), F_TRANSACTIONS)
-    broken = contract_violations(written).where(F.col("violations") > 0).collect()
+    broken = [rule for rule in store_checked(warehouse_rows(fact).hint("rebalance", "Practice_ID"), f"{path}/{folder}") if rule[2]]
     if broken:
-        _delete(spark, f"{path}/{folder}")
-        raise ContractError("; ".join(f"{r.rule} {r.column_name}: {r.violations}" for r in broken))
-    old = _earlier(spark, path)
-    number = old[0].number + 1 if old else 1
-    one = spark.createDataFrame([(number, folder)], "number bigint, folder string").coalesce(1)
-    one.write.mode("append").parquet(f"{path}/{VERSIONS}")
-    for version in old[1:]:
-        _delete(spark, f"{path}/{version.folder}")
+        delete(spark, f"{path}/{folder}")
+        raise ContractError("; ".join(f"{rule} {column}: {count}" for rule, column, count in broken))
+    commit(spark, path, folder, number)
     return read_fact(spark, path)
 
 
-def _earlier(spark: SparkSession, path: str) -> list[Row]:
-    """The last few versions, newest first."""
-    log = spark._jvm.org.apache.hadoop.fs.Path(f"{path}/{VERSIONS}")
-    if not log.getFileSystem(spark._jsc.hadoopConfiguration()).exists(log):
-        return []
-    return _versions(spark, path).orderBy(F.desc("number")).limit(5).collect()
+def commit(spark: SparkSession, path: str, folder: str, number: int) -> None:
+    """Make a version folder the table under a number of its own, or delete it and raise ``LoadConflict``."""
+    claimed = create_file(spark, _entry(path, number), folder)
+    numbers = _versions(spark, path)
+    if not claimed or numbers[0] > number:
+        if claimed and number not in numbers[: EARLIER + 1]:
+            delete(spark, _entry(path, number))
+        if not claimed or number not in numbers[: EARLIER + 1]:
+            delete(spark, f"{path}/{folder}")
+            raise LoadConflict(f"another load has made version {max(numbers[0], number)} of {path}")
+    for old in numbers[EARLIER + 1 :]:
+        gone = read_file(spark, _entry(path, old))
+        delete(spark, _entry(path, old))
+        delete(spark, f"{path}/{gone}")
+
+
+def remove_leftovers(spark: SparkSession, path: str, hours: float = 24) -> list[str]:
+    """Delete version folders that no log entry names and that are older than ``hours``: what broken-off loads left."""
+    named = {read_file(spark, _entry(path, number)) for number in _versions(spark, path)}
+    old = time.time() - hours * 3600
+    left = [
+        name
+        for name in file_names(spark, path)
+        if name.startswith("version-") and name not in named and modified(spark, f"{path}/{name}") < old
+    ]
+    for name in left:
+        delete(spark, f"{path}/{name}")
+    return left

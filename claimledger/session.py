@@ -1,5 +1,7 @@
 """Session settings the jobs are written for."""
 
+import tempfile
+
 from pyspark.sql import SparkSession
 
 SETTINGS = {
@@ -15,7 +17,9 @@ SETTINGS = {
 
 
 def local_session(app: str, cores: int = 8, memory: str = "8g", **extra: str) -> SparkSession:
-    """A session for tests and benchmarks. A cluster brings its own; see ``SETTINGS``."""
+    """A session for tests and benchmarks, within one process. A cluster brings its own; see ``SETTINGS``."""
+    for name in ("spark.checkpoint.dir", "spark.sql.warehouse.dir"):
+        extra.setdefault(name, tempfile.mkdtemp(prefix="claimledger-"))
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)

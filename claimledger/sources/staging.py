@@ -176,3 +176,69 @@ def stage_billing(spark: SparkSession, sf_dir: str) -> Billing:
             F.concat(F.lit("FC"), _text(F.col("s_nationkey") % 5)).alias("financial_class"),
         ),
     )
+
+
+def _every(column: str, count: int, rest: int = 0) -> Column:
+    return F.col(column).cast("bigint") % count == rest
+
+
+def flawed(billing: Billing) -> Billing:
+    """The staged tables with what real exports hold and the plain ones lack.
+
+    * transaction ids that occur in several practices (the practice is cut off them);
+    * charge lines without an amount, and charge lines repeated under another encounter of the practice;
+    * encounters repeated with another or no guarantor, status and location, and encounters without a guarantor type;
+    * codes, people, places, payers and relationships that occur twice, one of them without a text;
+    * list types that a LIKE pattern matches and equality does not.
+    """
+    null = F.lit(None).cast("string")
+    encounters = billing.patient_encounter.withColumn(
+        "guar_type", F.when(~_every("enc_id", 17), F.col("guar_type"))
+    )
+    repeated = encounters.where(_every("enc_id", 7)).withColumns(
+        {
+            "guar_id": F.when(_every("enc_id", 2), F.concat("guar_id", F.lit("0"))),
+            "enc_status": F.when(_every("enc_id", 3), "A"),
+            "location_id": null,
+        }
+    )
+    lines = billing.charges.withColumn("amt", F.when(~_every("source_id", 19), F.col("amt")))
+    moved = lines.where(_every("source_id", 23)).withColumn(
+        "source_id", (F.col("source_id").cast("bigint") + 5).cast("string")
+    )
+
+    def short_ids(table: DataFrame) -> DataFrame:
+        return table.withColumn("trans_id", F.substring("trans_id", 3, 100))
+
+    def twice(table: DataFrame, **changed: Column) -> DataFrame:
+        return table.union(table.withColumns(changed).select(*table.columns))
+
+    def noted(column: str) -> Column:
+        return F.concat(F.col(column), F.lit(" (old)"))
+
+    patterns = billing.mstr_lists.where("mstr_list_type = 'pat_type'").select(
+        F.lit("patXtype").alias("mstr_list_type"),
+        F.lit("PTP").alias("mstr_list_item_id"),
+        F.lit("Type by pattern").alias("mstr_list_item_desc"),
+    )
+    return Billing(
+        **{
+            **vars(billing),
+            "patient_encounter": encounters.union(repeated),
+            "charges": lines.union(moved),
+            "trans_detail": short_ids(billing.trans_detail),
+            "transactions": short_ids(billing.transactions),
+            "accounts": twice(billing.accounts, acct_nbr=(F.col("acct_nbr") + 1).cast(ACCOUNT_NUMBER)),
+            "practice": twice(billing.practice, practice_name=null),
+            "employer_mstr": twice(billing.employer_mstr, name=null),
+            "person": twice(billing.person, first_name=F.lit("Zoe")),
+            "location_mstr": twice(billing.location_mstr, location_name=noted("location_name")),
+            "mstr_lists": twice(
+                billing.mstr_lists.union(patterns), mstr_list_item_desc=noted("mstr_list_item_desc")
+            ),
+            "payer_mstr": twice(billing.payer_mstr, payer_name=null),
+            "person_relationship": twice(billing.person_relationship, relation_code=null),
+            "code_tables": twice(billing.code_tables, description=null),
+            "encounter_payer": twice(billing.encounter_payer, payer_id=null),
+        }
+    )

@@ -1,9 +1,11 @@
 """Plan checks on stored tables: one pass per fact, pruned columns, pushed filters, no needless work."""
 
 import re
+from dataclasses import replace
 
 import pytest
 from pyspark.sql.classic.dataframe import DataFrame
+from pyspark.sql.readwriter import DataFrameWriter
 
 from claimledger.operators import joins, measures
 from claimledger.operators.lookups import encounter_rows, one_per_encounter
@@ -11,6 +13,7 @@ from claimledger.plans.charge_fact import charge_fact, charge_transactions, summ
 from claimledger.plans.encounter_balances import encounter_balances, encounter_sums, with_encounter_money
 from claimledger.sources.billing import read_billing
 from claimledger.sources.staging import ALL_PRACTICES
+from claimledger.sources.storage import store_by_charge
 from tests.conftest import same_rows
 
 
@@ -147,6 +150,48 @@ def test_charge_lines_move_twice(spark, billing):
     assert plan.count("Exchange hashpartitioning") == 6, plan
 
 
+@pytest.mark.parametrize("broadcast", [True, False])
+def test_facts_stored_by_charge_stay_where_they_are(spark, billing, tmp_path, broadcast):
+    """Charge lines are summed and joined as they lie in their buckets; transaction lines move for large headers only."""
+    spark.sql("create database if not exists by_charge")
+    tables = store_by_charge(billing, "by_charge", str(tmp_path))
+    if not broadcast:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        fact = charge_fact(tables, ALL_PRACTICES)
+        plan = planned(fact)
+        assert len(re.findall(r"by_charge\.charges\[.*Bucketed: true", plan)) == 1
+        assert len(exchanges_of(plan, "charge_id")) == (0 if broadcast else 1), plan
+        assert len([x for x in exchanges_of(plan, "trans_id") if "source" not in x]) == (1 if broadcast else 2), plan
+        same_rows(fact, charge_fact(billing, ALL_PRACTICES))
+    finally:
+        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
+
+
+def test_a_new_load_replaces_the_bucketed_tables(spark, billing, tmp_path):
+    spark.sql("create database if not exists by_charge")
+    store_by_charge(billing, "by_charge", str(tmp_path / "a"))
+    few = replace(billing, charges=billing.charges.limit(7))
+    assert store_by_charge(few, "by_charge", str(tmp_path / "b"), buckets=3).charges.count() == 7
+
+
+def test_the_scope_of_a_few_encounters_is_computed_once(billing, executed):
+    """The encounters are read twice while planning: for the guarantors, and for what they own; then never again."""
+    reads = []
+    real = DataFrameWriter.parquet
+
+    def parquet(self, *args, **kwargs):
+        reads.append(planned(self._df))
+        return real(self, *args, **kwargs)
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(DataFrameWriter, "parquet", parquet)
+        wide = encounter_balances(billing, ["0001"], ["5", "10", "25", "100", "1000"])
+    assert [len(scans(plan, "patient_encounter")) for plan in reads] == [1, 1]
+    assert not scans(planned(wide), "patient_encounter")
+    assert not any(scans(plan, "patient_encounter") for plan in executed)
+
+
 @pytest.mark.parametrize("job", [encounter_balances, charge_fact])
 def test_no_pairs_no_python_no_windows(billing, job):
     plan = planned(job(billing, ALL_PRACTICES))

@@ -1,5 +1,6 @@
 """The load, its contract and the stored table."""
 
+import threading
 from pathlib import Path
 
 import pytest
@@ -7,9 +8,17 @@ from pyspark.sql import functions as F
 
 from claimledger.plans import warehouse
 from claimledger.plans.charge_fact import charge_fact
-from claimledger.plans.warehouse import ContractError, contract_violations, load_fact, read_fact, warehouse_rows
+from claimledger.plans.warehouse import (
+    ContractError,
+    LoadConflict,
+    contract_violations,
+    load_fact,
+    read_fact,
+    warehouse_rows,
+)
 from claimledger.sources.schemas import F_TRANSACTIONS
 from claimledger.sources.staging import ALL_PRACTICES
+from claimledger.sources.storage import create_file, file_names, read_file, shared_folder
 from tests.conftest import dollars, make_billing, same_rows
 
 
@@ -117,10 +126,107 @@ def test_old_versions_go(spark, tmp_path):
     assert len(list(Path(path).glob("version-*"))) == 2
 
 
+def test_loads_at_a_time_leave_one_table(spark, tmp_path):
+    """Four loads begin at the same version; one becomes the table and the others say so and leave nothing."""
+    path = str(tmp_path / "fact")
+    load_fact(small_fact(spark, [{"charge_id": "A"}]), path)
+    begin = threading.Barrier(4)
+    seen = warehouse._versions
+
+    def at_once(session, folder, first=threading.local()):
+        numbers = seen(session, folder)
+        if not getattr(first, "done", False):
+            first.done = True
+            begin.wait()
+        return numbers
+
+    facts = {charge: small_fact(spark, [{"charge_id": charge}] * 3) for charge in "BCDE"}
+    outcome = {}
+
+    def load(charge):
+        try:
+            load_fact(facts[charge], path)
+            outcome[charge] = "won"
+        except LoadConflict:
+            outcome[charge] = "lost"
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(warehouse, "_versions", at_once)
+        threads = [threading.Thread(target=load, args=(charge,)) for charge in facts]
+        for thread in threads:
+            thread.start()
+        for thread in threads:
+            thread.join()
+    assert sorted(outcome.values()) == ["lost"] * 3 + ["won"]
+    (winner,) = (charge for charge, result in outcome.items() if result == "won")
+    assert [r.Charge_ID for r in read_fact(spark, path).collect()] == [winner]
+    assert len(list(Path(path).glob("version-*"))) == 2
+
+
+def test_a_number_that_was_cut_away_is_given_back(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    for charge in "ABCD":
+        load_fact(small_fact(spark, [{"charge_id": charge}]), path)
+    warehouse.store_checked(warehouse_rows(small_fact(spark, [{"charge_id": "E"}])), f"{path}/version-slow")
+    with pytest.raises(LoadConflict):
+        warehouse.commit(spark, path, "version-slow", 2)
+    assert [r.Charge_ID for r in read_fact(spark, path).collect()] == ["D"]
+    assert not (tmp_path / "fact" / "version-slow").exists()
+    assert [int(p.name) for p in sorted((tmp_path / "fact" / "_versions").iterdir())] == [3, 4]
+
+
+def test_a_small_file_is_created_once(spark, tmp_path):
+    path = str(tmp_path / "log" / "000000000007")
+    assert create_file(spark, path, "one")
+    assert not create_file(spark, path, "two")
+    assert read_file(spark, path) == "one"
+    assert file_names(spark, str(tmp_path / "log")) == ["000000000007"]
+    assert file_names(spark, str(tmp_path / "nowhere")) == []
+
+
+def test_leftovers_of_broken_loads_go(spark, tmp_path):
+    path = str(tmp_path / "fact")
+    load_fact(small_fact(spark, [{"charge_id": "A"}]), path)
+    (tmp_path / "fact" / "version-broken").mkdir()
+    assert warehouse.remove_leftovers(spark, path, hours=1) == []
+    assert warehouse.remove_leftovers(spark, path, hours=-1) == ["version-broken"]
+    assert [r.Charge_ID for r in read_fact(spark, path).collect()] == ["A"]
+
+
+def test_a_table_that_was_never_loaded(spark, tmp_path):
+    with pytest.raises(ValueError, match="no load"):
+        read_fact(spark, str(tmp_path))
+
+
+def test_the_contract_is_counted_while_writing(spark, tmp_path):
+    """The same counts as from the stored rows, with the key as the only column read again."""
+    charges = [{"charge_id": "A", "source_id": s, "amt": None} for s in ("1", "2")] + [{"charge_id": "B"}]
+    fact = small_fact(spark, charges)
+    read = []
+    real = warehouse._repeated_keys
+
+    def repeated(rows):
+        counted = real(rows)
+        read.append(counted._jdf.queryExecution().executedPlan().toString())
+        return counted
+
+    with pytest.MonkeyPatch.context() as patch:
+        patch.setattr(warehouse, "_repeated_keys", repeated)
+        found = warehouse.store_checked(warehouse_rows(fact), str(tmp_path / "rows"))
+    assert {(rule, column): n for rule, column, n in found if n} == broken(fact)
+    assert len(found) == 19 and len(read) == 1
+    assert "ReadSchema: struct<Charge_ID:string>" in read[0]
+
+
+def test_nothing_is_counted_in_an_empty_table(spark, tmp_path):
+    found = warehouse.store_checked(warehouse_rows(small_fact(spark)), str(tmp_path / "rows"))
+    assert len(found) == 19 and not any(n for _, _, n in found)
+
+
 def test_stored_copies_go_below_the_checkpoint_folder(spark):
-    folder = warehouse.shared_folder(spark)
+    folder = shared_folder(spark)
     assert Path(folder).parent == Path(spark.conf.get("spark.checkpoint.dir"))
-    assert warehouse.shared_folder(spark) != folder
+    assert shared_folder(spark) != folder
 
 
 def test_a_practice_with_many_rows_is_split_over_files(spark, staged, tmp_path):
