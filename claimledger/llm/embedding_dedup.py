@@ -132,52 +132,74 @@ def in_shards(points: DataFrame) -> DataFrame:
     return stored(done.union(rows).dropDuplicates(["label", "shard", "point"]))
 
 
-def robust_prune(near: np.ndarray, similar: np.ndarray, vectors: np.ndarray, degree: int = NEIGHBOURS) -> list[int]:
-    """Of candidates by falling similarity, those that no chosen one is ``ALPHA`` times closer to."""
-    chosen: list[int] = []
-    between = vectors[near] @ vectors[near].T
-    open_ = np.ones(len(near), bool)
-    distance = 1 - similar
-    for at in range(len(near)):
-        if not open_[at]:
-            continue
-        chosen.append(int(near[at]))
-        if len(chosen) == degree:
+def robust_prune(near: np.ndarray, similar: np.ndarray, degree: int = NEIGHBOURS) -> np.ndarray:
+    """Of each row's candidates (by falling similarity, -1: none) those that no chosen one is ``ALPHA`` times closer to.
+
+    All rows at a time: a step chooses the next candidate that is still open in each row, up to ``degree`` of them. Returns
+    which candidates are chosen.
+    """
+    rows = np.arange(len(near))
+    distance = 1 - similar[rows[:, None], near]
+    open_ = near >= 0
+    chosen = np.zeros(near.shape, bool)
+    for _ in range(min(degree, near.shape[1])):
+        left = open_.any(1)
+        if not left.any():
             break
-        open_ &= ALPHA * (1 - between[at]) > distance
-        open_[: at + 1] = False
+        own = rows[left]
+        at = open_[own].argmax(1)
+        chosen[own, at] = True
+        open_[own, at] = False
+        between = 1 - similar[near[own, at][:, None], near[own]]
+        open_[own] &= ALPHA * between > distance[own]
     return chosen
 
 
 def build_graph(vectors: np.ndarray) -> list[list[int]]:
     """Neighbour lists over the rows of ``vectors``."""
     count = len(vectors)
-    similar = vectors @ vectors.T
+    if count < 2:
+        return [[] for _ in range(count)]
+    similar = (vectors @ vectors.T).astype(np.float32)
     np.fill_diagonal(similar, -2)
-    width = min(POOL, count - 1)
-    lists: list[list[int]] = []
-    for row in range(count):
-        near = np.argpartition(-similar[row], width - 1)[:width] if width > 0 else np.empty(0, int)
-        near = near[np.argsort(-similar[row][near], kind="stable")]
-        # The nearest ones stay unpruned: in a dense cluster, pruning alone leaves parts that do not reach each other.
-        lists.append([*dict.fromkeys([*near[:NEAREST].tolist(), *robust_prune(near, similar[row][near], vectors)])])
-    both = [set(own) for own in lists]
-    for row, own in enumerate(lists):
-        for other in own:
-            both[other].add(row)
-    out = []
-    for row, own in enumerate(both):
-        near = np.array(sorted(own), int)
-        if len(near) > 2 * NEIGHBOURS:
-            near = near[np.argsort(-similar[row][near], kind="stable")]
-            pruned = robust_prune(near, similar[row][near], vectors, 2 * NEIGHBOURS)
-            near = np.array([*dict.fromkeys([*near[:NEIGHBOURS].tolist(), *pruned])], int)
-        out.append(near.tolist())
-    return out
+    # The nearest ones stay unpruned: in a dense cluster, pruning alone leaves parts that do not reach each other.
+    near = _nearest(similar, np.ones((count, count), bool), min(POOL, count - 1))
+    kept = robust_prune(near, similar)
+    kept[:, :NEAREST] = True
+    both = np.zeros((count, count), bool)
+    rows = np.repeat(np.arange(count), kept.sum(1))
+    both[rows, near[kept]] = True
+    both |= both.T
+    crowded = np.flatnonzero(both.sum(1) > 2 * NEIGHBOURS)
+    if len(crowded):
+        near = np.full((count, int(both[crowded].sum(1).max())), -1)
+        near[crowded] = _nearest(similar[crowded], both[crowded], near.shape[1])
+        kept = robust_prune(near, similar, 2 * NEIGHBOURS)
+        kept[:, :NEIGHBOURS] = near[:, :NEIGHBOURS] >= 0
+        both[crowded] = False
+        both[np.repeat(np.arange(count), kept.sum(1)), near[kept]] = True
+    return [np.flatnonzero(own).tolist() for own in both]
+
+
+def _nearest(similar: np.ndarray, wanted: np.ndarray, width: int) -> np.ndarray:
+    """For each row the most similar ``width`` of the wanted columns, by falling similarity; -1 where there are fewer."""
+    value = np.where(wanted, similar, -3)
+    near = np.argpartition(-value, min(width, value.shape[1]) - 1, axis=1)[:, :width]
+    found = np.take_along_axis(value, near, 1)
+    order = np.argsort(-found, axis=1, kind="stable")
+    return np.where(np.take_along_axis(found, order, 1) > -3, np.take_along_axis(near, order, 1), -1)
+
+
+# Pairs whose similarity is computed at a time.
+_PAIRS = 200_000
 
 
 def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of rows (the lower ones, the higher ones) within ``reach`` that a range-expanding greedy search for every row finds."""
+    """Pairs of rows (the lower ones, the higher ones) within ``reach`` that a range-expanding greedy search for every row finds.
+
+    All rows search at a time, in waves: each expands the points it has seen that are among its best ``BEAM`` or
+    within the range (and a little more), until it has expanded all of these.
+    """
     count = len(vectors)
     if count < 2:
         return np.empty(0, int), np.empty(0, int)
@@ -185,32 +207,31 @@ def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) ->
     table = np.full((count, width), -1)
     for row, near in enumerate(graph):
         table[row, : len(near)] = near
-    medoid = int((vectors @ vectors.mean(0)).argmax())
+    single = vectors.astype(np.float32)
+    medoid = int((single @ single.mean(0)).argmax())
     seen = np.full((count, count), -np.inf, np.float32)
-    seen[:, medoid] = vectors @ vectors[medoid]
+    seen[:, medoid] = single @ single[medoid]
     # A query is a point of the graph itself, so its own list is known from the start, besides the way from the medoid.
     np.fill_diagonal(seen, 1.0)
-    waiting = seen.copy()  # seen and not expanded
+    expanded = np.zeros((count, count), bool)
     rows = np.arange(count)
+    beam = min(BEAM, count)
     while len(rows):
-        best = waiting[rows].argmax(1)
-        value = waiting[rows, best]
-        beam = min(BEAM, count)
         bar = np.partition(seen[rows], count - beam, axis=1)[:, count - beam]
-        go = (value > -np.inf) & ((value >= bar) | (value >= reach - SLACK))
-        rows, best = rows[go], best[go]
-        if not len(rows):
-            break
-        waiting[rows, best] = -np.inf
-        near = table[best]
-        query = np.repeat(rows, width)
-        flat = near.ravel()
-        new = flat >= 0
-        new[new] = seen[query[new], flat[new]] == -np.inf
-        query, flat = query[new], flat[new]
-        found = np.einsum("ij,ij->i", vectors[query], vectors[flat])
-        seen[query, flat] = found
-        waiting[query, flat] = found
+        bar = np.maximum(np.minimum(bar, np.float32(reach - SLACK)), np.float32(-2))
+        query, point = np.nonzero((seen[rows] >= bar[:, None]) & ~expanded[rows])
+        query = rows[query]
+        expanded[query, point] = True
+        met = np.zeros((count, count), bool)
+        for start in range(0, len(query), _PAIRS):
+            near = table[point[start : start + _PAIRS]]
+            known = near >= 0
+            met[np.repeat(query[start : start + _PAIRS], known.sum(1)), near[known]] = True
+        left, right = np.nonzero(met & np.isneginf(seen))
+        for start in range(0, len(left), _PAIRS):
+            a, b = left[start : start + _PAIRS], right[start : start + _PAIRS]
+            seen[a, b] = np.einsum("ij,ij->i", single[a], single[b])
+        rows = np.unique(query)
     found = seen >= reach - 1e-3
     return np.nonzero(np.triu(found | found.T, 1))
 
