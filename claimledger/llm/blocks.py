@@ -34,9 +34,9 @@ def block_count(documents: DataFrame, text: str = "text") -> int:
 
 
 def with_block(documents: DataFrame, count: int, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(block, doc_id, text) rows; NULL texts are empty. Rows without an id are spread by their text and place."""
-    key = F.coalesce(F.xxhash64(id), F.xxhash64(F.col(text), F.spark_partition_id()))
-    spread = F.when(F.col(id).isNotNull(), F.xxhash64(id)).otherwise(key)
+    """(block, doc_id, text) rows; NULL texts are empty. Rows without an id are spread by their text and partition."""
+    place = F.xxhash64(F.col(text), F.spark_partition_id())
+    spread = F.when(F.col(id).isNotNull(), F.xxhash64(id)).otherwise(place)
     return documents.select(
         F.pmod(spread, F.lit(count)).cast("int").alias("block"),
         F.col(id).cast("bigint").alias("doc_id"),

@@ -46,6 +46,7 @@ _LOOKED_UP = 100_000
 # Partners by hot elements are looked up by size, in classes whose sizes differ by this factor at most.
 SIZE_STEP = 1.1
 
+SIGNATURE = ["n_shingles", "signature_1", "signature_2"]
 CANDIDATE = "block int, doc_id bigint, n int, cells array<bigint>, dense boolean, sketch binary, text string"
 RARE = "doc_id bigint, element bigint, hot boolean, n int, cold int, place int"
 
@@ -346,11 +347,16 @@ def similar_documents(documents: DataFrame, id: str = "doc_id", text: str = "tex
     their own class. Ids are taken to be unique; equal rows get equal results, and rows that repeat an id with another text
     are judged by that text. A row without an id links with nothing and has no class or component.
     """
+    return _similar(documents, id, text).drop("signature_1", "signature_2")
+
+
+def _similar(documents: DataFrame, id: str, text: str) -> DataFrame:
+    """``similar_documents`` with the signature of each row's set."""
     count = blocks.block_count(documents, text)
     bits = blocks.bucket_bits(count)
     given = documents.select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("text"))
     sets = stored(document_sets(given).drop("text"))
-    signature = ["n_shingles", "signature_1", "signature_2"]
+    signature = SIGNATURE
     first = sets.where("n_shingles > 0 and doc_id is not null").groupBy(*signature).agg(F.min("doc_id").alias("class_id"))
     classes = stored(first)
 
@@ -375,18 +381,31 @@ def similar_documents(documents: DataFrame, id: str = "doc_id", text: str = "tex
     alone = F.when(F.col("_named"), F.col("doc_id"))
     return own.select(
         "doc_id",
-        "n_shingles",
+        *signature,
         F.when(F.col("_named"), F.coalesce("class_id", alone)).alias("class_id"),
         F.when(F.col("_named"), F.coalesce("component_id", alone)).alias("component_id"),
     )
 
 
 def one_of_each(documents: DataFrame) -> DataFrame:
-    """The documents with the least id of their component; of rows that repeat an id, the one with the least text.
+    """The documents with the least id of their component.
 
-    Rows without an id stay, as do those without text.
+    Where an id is repeated, each of its rows is judged by its own text: of those with an equal set the one with the least
+    text stays, if the set's component has that id as its least. Rows without an id stay, as do those without
+    text.
     """
-    kept = similar_documents(documents).where("doc_id = component_id").select(F.col("doc_id").alias("_kept")).distinct()
-    first = F.row_number().over(Window.partitionBy("_kept").orderBy("text"))
-    found = documents.join(kept, F.col("doc_id") == F.col("_kept")).withColumn("_row", first).where("_row = 1")
-    return found.select(documents.columns).union(documents.where("doc_id is null"))
+    found = stored(_similar(documents, "doc_id", "text"))
+    rows = found.where("doc_id is not null").groupBy("doc_id").agg(
+        F.count(F.lit(1)).alias("_rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("_least")
+    )
+    some = rows.where("_least").select(F.col("doc_id").alias("_kept"), "_rows")
+    given = documents.join(some, F.col("doc_id") == F.col("_kept"))
+    once = given.where("_rows = 1").select(documents.columns)
+    # Ids that are repeated, if there are any, need the sets of their rows again.
+    repeated = given.where("_rows > 1").select(F.struct(*documents.columns).alias("_row"), "doc_id", "text")
+    least = found.where("doc_id = component_id").select("doc_id", *SIGNATURE).distinct()
+    first = F.row_number().over(Window.partitionBy("doc_id", *SIGNATURE).orderBy("text"))
+    of_repeated = (
+        document_sets(repeated).join(least, ["doc_id", *SIGNATURE]).withColumn("_place", first).where("_place = 1").select("_row.*")
+    )
+    return once.union(of_repeated).union(documents.where("doc_id is null"))
