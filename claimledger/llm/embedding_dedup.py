@@ -30,6 +30,7 @@ RANGE = 0.93
 SHARD_ROWS = 1_500
 FAN_OUT = 24
 SAMPLE_ROWS = 4_000
+DEALT_ROWS = 20_000
 # Shards a point is dealt to when a label is cut, and when a shard that is still too large is cut again.
 OVERLAP = 3
 OVERLAP_AGAIN = 2
@@ -47,13 +48,14 @@ SLACK = 0.08
 RINGS = 8
 _SURE = 1e-5
 
-_POINT = "label int, shard string, point bigint, embedding array<float>"
-_COUNT = "label int, point bigint, others bigint"
+_POINT = "label bigint, shard string, point bigint, embedding array<float>"
+_COUNT = "label bigint, point bigint, others bigint"
 
 
 def _matrix(column: pa.ChunkedArray) -> np.ndarray:
-    """The vectors, in double precision and of length 1."""
-    rows = np.array(column.to_pylist(), np.float64)
+    """The vectors (of one length), in double precision and of length 1."""
+    flat = column.combine_chunks().flatten() if isinstance(column, pa.ChunkedArray) else column.flatten()
+    rows = flat.to_numpy(zero_copy_only=False).astype(np.float64).reshape(len(column), -1)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 
@@ -63,6 +65,11 @@ def usable(vector: str) -> "F.Column":
     return F.col(vector).isNotNull() & ~F.coalesce(bad, F.lit(True)) & F.exists(vector, lambda x: x != 0)
 
 
+def _group() -> "F.Column":
+    """What vectors must share to be compared: the label and the length, as one number."""
+    return F.col("label").cast("int").cast("bigint") * (1 << 20) + F.size("embedding")
+
+
 def fit_centroids(rows: np.ndarray, count: int, rounds: int = 8) -> np.ndarray:
     """Spherical k-means from evenly spread starts; the same for the same rows."""
     centre = rows[np.linspace(0, len(rows) - 1, min(count, len(rows))).astype(int)]
@@ -85,26 +92,17 @@ def _learn(rows: pa.Table) -> pa.Table:
     return pa.table({"label": ranked.column("label")[:1], "shard": ranked.column("shard")[:1], "centre": pa.array([centre.tolist()], kind)})
 
 
-def _deal(batches):
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        vectors = _matrix(batch.column("embedding"))
-        names, take, shards = batch.column("shard").to_pylist(), [], []
-        cache: dict[int, np.ndarray] = {}
-        for at, (label, given) in enumerate(zip(batch.column("label").to_pylist(), batch.column("centre"), strict=True)):
-            key = hash((label, names[at]))
-            if key not in cache:
-                cache[key] = np.array(given.as_py())
-            deal = OVERLAP_AGAIN if names[at] else OVERLAP
-            near = np.argsort(-(cache[key] @ vectors[at]), kind="stable")[:deal]
-            take += [at] * len(near)
-            shards += [f"{names[at]}/{n}" for n in near.tolist()]
-        rows = batch.select(["label", "point", "embedding"]).take(pa.array(take))
-        yield pa.RecordBatch.from_arrays(
-            [rows.column("label"), pa.array(shards), rows.column("point"), rows.column("embedding")],
-            ["label", "shard", "point", "embedding"],
-        )
+def _deal(key: tuple, rows: pa.Table, centres: pa.Table) -> pa.Table:
+    """The rows of a part of a shard under the shards of their nearest centroids."""
+    shard = key[1].as_py()
+    deal = OVERLAP_AGAIN if shard else OVERLAP
+    if not rows.num_rows:
+        return rows.select(["label", "shard", "point", "embedding"])
+    similar = _matrix(rows.column("embedding")) @ np.array(centres.column("centre")[0].as_py()).T
+    near = np.argsort(-similar, axis=1, kind="stable")[:, :deal]
+    dealt = rows.select(["label", "point", "embedding"]).take(pa.array(np.repeat(np.arange(len(near)), near.shape[1])))
+    names = pa.array([f"{shard}/{n}" for n in near.ravel().tolist()])
+    return dealt.add_column(1, "shard", names)
 
 
 def in_shards(points: DataFrame) -> DataFrame:
@@ -126,9 +124,15 @@ def in_shards(points: DataFrame) -> DataFrame:
         here = rows.join(large, ["label", "shard"])
         sample = here.where(F.pmod(F.xxhash64("point"), F.col("members")) < SAMPLE_ROWS)
         centres = stored(
-            sample.groupBy("label", "shard").applyInArrow(_learn, "label int, shard string, centre array<array<double>>")
+            sample.groupBy("label", "shard").applyInArrow(_learn, "label bigint, shard string, centre array<array<double>>")
         )
-        rows = rows.join(centres, ["label", "shard"]).mapInArrow(_deal, _POINT)
+        # Large shards are dealt in parts of bounded size, each with its shard's centroids.
+        parts = F.ceil(F.col("members") / DEALT_ROWS).cast("int")
+        part = F.pmod(F.xxhash64("point"), parts).cast("int")
+        own = here.select("label", "shard", part.alias("part"), "point", "embedding")
+        each = centres.join(large, ["label", "shard"]).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
+        keys = ["label", "shard", "part"]
+        rows = own.groupBy(keys).cogroup(each.select(*keys, "centre").groupBy(keys)).applyInArrow(_deal, _POINT)
     return stored(done.union(rows).dropDuplicates(["label", "shard", "point"]))
 
 
@@ -190,48 +194,60 @@ def _nearest(similar: np.ndarray, wanted: np.ndarray, width: int) -> np.ndarray:
     return np.where(np.take_along_axis(found, order, 1) > -3, np.take_along_axis(near, order, 1), -1)
 
 
-# Pairs whose similarity is computed at a time.
-_PAIRS = 200_000
+# Pairs that are expanded, or whose similarity is computed, at a time.
+_PAIRS = 100_000
+
+
+def _packed(rows: np.ndarray) -> np.ndarray:
+    """Rows of booleans as rows of 64-bit words."""
+    bits = np.packbits(rows, axis=1, bitorder="little")
+    return np.pad(bits, ((0, 0), (0, -bits.shape[1] % 8))).view(np.uint64)
 
 
 def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) -> tuple[np.ndarray, np.ndarray]:
     """Pairs of rows (the lower ones, the higher ones) within ``reach`` that a range-expanding greedy search for every row finds.
 
     All rows search at a time, in waves: each expands the points it has seen that are among its best ``BEAM`` or
-    within the range (and a little more), until it has expanded all of these.
+    within the range (and a little more), until it has expanded all of these. A row's lists are bits, and
+    the lists of all points that it expands in a wave are united as such.
     """
     count = len(vectors)
     if count < 2:
         return np.empty(0, int), np.empty(0, int)
-    width = max(1, max(map(len, graph)))
-    table = np.full((count, width), -1)
-    for row, near in enumerate(graph):
-        table[row, : len(near)] = near
+    lists = np.zeros((count, count), bool)
+    lists[np.repeat(np.arange(count), [len(own) for own in graph]), [p for own in graph for p in own]] = True
+    lists = _packed(lists)
     single = vectors.astype(np.float32)
     medoid = int((single @ single.mean(0)).argmax())
     seen = np.full((count, count), -np.inf, np.float32)
     seen[:, medoid] = single @ single[medoid]
     # A query is a point of the graph itself, so its own list is known from the start, besides the way from the medoid.
     np.fill_diagonal(seen, 1.0)
-    expanded = np.zeros((count, count), bool)
+    fresh = seen > -np.inf  # seen and not expanded
     rows = np.arange(count)
     beam = min(BEAM, count)
     while len(rows):
-        bar = np.partition(seen[rows], count - beam, axis=1)[:, count - beam]
+        now = seen[rows]
+        bar = np.partition(now, count - beam, axis=1)[:, count - beam]
         bar = np.maximum(np.minimum(bar, np.float32(reach - SLACK)), np.float32(-2))
-        query, point = np.nonzero((seen[rows] >= bar[:, None]) & ~expanded[rows])
+        query, point = np.nonzero((now >= bar[:, None]) & fresh[rows])
         query = rows[query]
-        expanded[query, point] = True
-        met = np.zeros((count, count), bool)
-        for start in range(0, len(query), _PAIRS):
-            near = table[point[start : start + _PAIRS]]
-            known = near >= 0
-            met[np.repeat(query[start : start + _PAIRS], known.sum(1)), near[known]] = True
-        left, right = np.nonzero(met & np.isneginf(seen))
-        for start in range(0, len(left), _PAIRS):
-            a, b = left[start : start + _PAIRS], right[start : start + _PAIRS]
-            seen[a, b] = np.einsum("ij,ij->i", single[a], single[b])
-        rows = np.unique(query)
+        fresh[query, point] = False
+        rows, starts = np.unique(query, return_index=True)
+        ends = np.append(starts[1:], len(query))
+        first = 0
+        while first < len(rows):
+            last = max(int(np.searchsorted(ends, starts[first] + _PAIRS, "right")), first + 1)
+            own = rows[first:last]
+            met = np.bitwise_or.reduceat(lists[point[starts[first] : ends[last - 1]]], starts[first:last] - starts[first], axis=0)
+            new = np.unpackbits(met.view(np.uint8), axis=1, count=count, bitorder="little").astype(bool)
+            left, right = np.nonzero(new & np.isneginf(seen[own]))
+            left = own[left]
+            for start in range(0, len(left), _PAIRS):
+                a, b = left[start : start + _PAIRS], right[start : start + _PAIRS]
+                seen[a, b] = np.einsum("ij,ij->i", single[a], single[b])
+            fresh[left, right] = True
+            first = last
     found = seen >= reach - 1e-3
     return np.nonzero(np.triu(found | found.T, 1))
 
@@ -385,9 +401,11 @@ def near_duplicates(embeddings: DataFrame, id: str = "vec_id", reach: float = RA
     (equal vectors among them), ``component_id`` is the least id that links reach and ``kept`` marks the row with it. Without
     a label or a direction (NULL, zero, or with NULL or non-finite components) a vector links with nothing. Rows that repeat
     an id with an equal vector are linked rows of one id. Without an id, a row has no component and is not kept. Vectors of
-    one label have one length.
+    different length do not link.
     """
-    rows = embeddings.select(F.col(id).cast("bigint").alias("vec_id"), F.col("label").cast("int").alias("label"), F.col("embedding").cast("array<float>").alias("embedding"))
+    rows = embeddings.select(
+        F.col(id).cast("bigint").alias("vec_id"), _group().alias("label"), F.col("embedding").cast("array<float>").alias("embedding")
+    )
     valid = rows.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & usable("embedding"))
     points = stored(
         valid.groupBy("label", "embedding").agg(F.min("vec_id").alias("point"), F.count("vec_id").alias("copies"))
@@ -424,7 +442,7 @@ def exact_links(embeddings: DataFrame, every: int = 20, reach: float = RANGE) ->
 
     The queries are compared in parts of bounded size; each part is one pass over the vectors.
     """
-    valid = embeddings.where(F.col("label").isNotNull() & usable("embedding")).select("vec_id", "label", "embedding")
+    valid = embeddings.where(F.col("label").isNotNull() & usable("embedding")).select("vec_id", _group().alias("label"), "embedding")
     queries = stored(valid.where(F.col("vec_id") % every == 0))
     n_parts = max(1, -(-queries.count() // 20_000))
     out = None
@@ -437,17 +455,16 @@ def exact_links(embeddings: DataFrame, every: int = 20, reach: float = RANGE) ->
 
         def run(batches, given=given):
             ready = {
-                k: (np.array([i for i, _ in v]), _matrix(pa.chunked_array([pa.array([e for _, e in v])])))
+                k: (np.array([i for i, _ in v]), _matrix(pa.array([e for _, e in v], pa.list_(pa.float64()))))
                 for k, v in given.value.items()
             }
             for batch in batches:
                 if not batch.num_rows:
                     continue
                 labels, ids = batch.column("label").to_numpy(zero_copy_only=False), batch.column("vec_id").to_numpy()
-                vectors = _matrix(pa.chunked_array([batch.column("embedding")]))
                 for label, (names, matrix) in ready.items():
                     here = np.flatnonzero(labels == label)
-                    a, b = np.nonzero(vectors[here] @ matrix.T >= reach)
+                    a, b = np.nonzero(_matrix(batch.column("embedding").take(pa.array(here))) @ matrix.T >= reach)
                     differ = ids[here][a] != names[b]
                     yield pa.RecordBatch.from_arrays([pa.array(names[b][differ]), pa.array(ids[here][a][differ])], ["query", "other"])
 

@@ -485,6 +485,25 @@ def test_near_vectors_equal_brute_force(spark, monkeypatch):
     assert embedding_dedup.near_duplicates(table.limit(0)).count() == 0
 
 
+def test_vectors_of_different_lengths_do_not_link(spark, monkeypatch):
+    monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 20)
+    monkeypatch.setattr(embedding_dedup, "DEALT_ROWS", 7)
+    draw = np.random.default_rng(9)
+    rows = []
+    for i in range(90):
+        size = (2, 16)[i % 2]
+        rows.append((i, [float(np.float32(x)) for x in draw.normal(size=size)], i // 2 % 2))
+    rows += [(200 + i, vector, label) for i, vector, label in rows[:12]]
+    table = spark.createDataFrame(rows, "vec_id long, embedding array<float>, label int")
+    got = {r.vec_id: r.n_links for r in embedding_dedup.near_duplicates(table).collect()}
+    wanted = {}
+    for size in (2, 16):
+        wanted |= brute_links([r for r in rows if len(r[1]) == size])
+    assert got.keys() == wanted.keys() and all(got[i] <= wanted[i] for i in wanted)
+    assert sum(got.values()) >= 0.95 * sum(wanted.values())
+    assert embedding_dedup.audit_recall(table, every=20) >= 0.9
+
+
 def test_near_vectors_of_groups_larger_than_a_shard(spark, monkeypatch):
     monkeypatch.setattr(embedding_dedup, "SHARD_ROWS", 60)
     draw = np.random.default_rng(8)
