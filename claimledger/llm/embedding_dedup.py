@@ -195,7 +195,9 @@ def _nearest(similar: np.ndarray, wanted: np.ndarray, width: int) -> np.ndarray:
 
 
 # Pairs that are expanded, or whose similarity is computed, at a time.
-_PAIRS = 100_000
+_PAIRS = 5_000
+# Rows that search at a time: their work fits a processor's cache.
+_QUERIES = 128
 
 
 def _packed(rows: np.ndarray) -> np.ndarray:
@@ -219,37 +221,51 @@ def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) ->
     lists = _packed(lists)
     single = vectors.astype(np.float32)
     medoid = int((single @ single.mean(0)).argmax())
-    seen = np.full((count, count), -np.inf, np.float32)
-    seen[:, medoid] = single @ single[medoid]
+    found = [
+        _search_some(np.arange(first, min(first + _QUERIES, count)), single, lists, medoid, reach)
+        for first in range(0, count, _QUERIES)
+    ]
+    query, point = (np.concatenate(part) for part in zip(*found, strict=True))
+    pairs = np.unique(np.minimum(query, point) * count + np.maximum(query, point))
+    return pairs // count, pairs % count
+
+
+def _search_some(queries: np.ndarray, single: np.ndarray, lists: np.ndarray, medoid: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
+    """The points within ``reach`` that the search finds for some rows, as (row, point) pairs."""
+    count = len(single)
+    seen = np.full((len(queries), count), -np.inf, np.float32)
+    seen[:, medoid] = single[queries] @ single[medoid]
     # A query is a point of the graph itself, so its own list is known from the start, besides the way from the medoid.
-    np.fill_diagonal(seen, 1.0)
+    seen[np.arange(len(queries)), queries] = 1.0
     fresh = seen > -np.inf  # seen and not expanded
-    rows = np.arange(count)
+    rows = np.arange(len(queries))
     beam = min(BEAM, count)
     while len(rows):
         now = seen[rows]
         bar = np.partition(now, count - beam, axis=1)[:, count - beam]
         bar = np.maximum(np.minimum(bar, np.float32(reach - SLACK)), np.float32(-2))
-        query, point = np.nonzero((now >= bar[:, None]) & fresh[rows])
-        query = rows[query]
-        fresh[query, point] = False
-        rows, starts = np.unique(query, return_index=True)
-        ends = np.append(starts[1:], len(query))
+        row, point = np.nonzero(fresh[rows] & (now >= bar[:, None]))
+        row = rows[row]
+        fresh[row, point] = False
+        rows, starts = np.unique(row, return_index=True)
+        ends = np.append(starts[1:], len(row))
         first = 0
         while first < len(rows):
             last = max(int(np.searchsorted(ends, starts[first] + _PAIRS, "right")), first + 1)
             own = rows[first:last]
             met = np.bitwise_or.reduceat(lists[point[starts[first] : ends[last - 1]]], starts[first:last] - starts[first], axis=0)
-            new = np.unpackbits(met.view(np.uint8), axis=1, count=count, bitorder="little").astype(bool)
-            left, right = np.nonzero(new & np.isneginf(seen[own]))
+            new = np.unpackbits(met.view(np.uint8), axis=1, count=count, bitorder="little").view(bool)
+            left, right = np.nonzero(new & (seen[own] == -np.inf))
             left = own[left]
             for start in range(0, len(left), _PAIRS):
                 a, b = left[start : start + _PAIRS], right[start : start + _PAIRS]
-                seen[a, b] = np.einsum("ij,ij->i", single[a], single[b])
+                seen[a, b] = np.einsum("ij,ij->i", single[queries[a]], single[b])
             fresh[left, right] = True
             first = last
-    found = seen >= reach - 1e-3
-    return np.nonzero(np.triu(found | found.T, 1))
+    row, point = np.nonzero(seen >= reach - 1e-3)
+    row = queries[row]
+    other = row != point
+    return row[other], point[other]
 
 
 def least_reached(count: int, low: np.ndarray, high: np.ndarray) -> np.ndarray:
@@ -407,8 +423,10 @@ def near_duplicates(embeddings: DataFrame, id: str = "vec_id", reach: float = RA
         F.col(id).cast("bigint").alias("vec_id"), _group().alias("label"), F.col("embedding").cast("array<float>").alias("embedding")
     )
     valid = rows.where(F.col("label").isNotNull() & F.col("vec_id").isNotNull() & usable("embedding"))
+    # Vectors are compared by a hash first where rows are sorted by them.
+    valid = valid.withColumn("hash", F.xxhash64("embedding"))
     points = stored(
-        valid.groupBy("label", "embedding").agg(F.min("vec_id").alias("point"), F.count("vec_id").alias("copies"))
+        valid.groupBy("label", "hash", "embedding").agg(F.min("vec_id").alias("point"), F.count("vec_id").alias("copies"))
     )
     shards = in_shards(points)
     built = shards.groupBy("label", "shard").applyInArrow(_build, "point bigint, near array<bigint>")
@@ -426,6 +444,7 @@ def near_duplicates(embeddings: DataFrame, id: str = "vec_id", reach: float = RA
         .join(reached, F.col("point") == reached.id, "left")
         .select(
             "label",
+            "hash",
             "embedding",
             (F.col("copies") - 1 + F.coalesce("others", F.lit(0))).alias("n_links"),
             F.coalesce("component", "point").alias("component_id"),
@@ -433,7 +452,7 @@ def near_duplicates(embeddings: DataFrame, id: str = "vec_id", reach: float = RA
     )
     ok = F.col("label").isNotNull() & F.col("vec_id").isNotNull() & usable("embedding")
     alone = rows.where(~F.coalesce(ok, F.lit(False))).select("vec_id", F.lit(0).cast("bigint").alias("n_links"), F.col("vec_id").alias("component_id"))
-    found = valid.join(named, ["label", "embedding"]).select("vec_id", "n_links", "component_id").union(alone)
+    found = valid.join(named, ["label", "hash", "embedding"]).select("vec_id", "n_links", "component_id").union(alone)
     return found.withColumn("kept", F.coalesce(F.col("vec_id") == F.col("component_id"), F.lit(False)))
 
 
