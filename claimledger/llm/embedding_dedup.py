@@ -120,7 +120,7 @@ def in_shards(points: DataFrame) -> DataFrame:
         small = rows.join(large.select("label", "shard"), ["label", "shard"], "left_anti")
         done = small if done is None else done.union(small)
         if large.isEmpty():
-            return stored(done.dropDuplicates(["label", "shard", "point"]))
+            return stored(done)
         here = rows.join(large, ["label", "shard"])
         sample = here.where(F.pmod(F.xxhash64("point"), F.col("members")) < SAMPLE_ROWS)
         centres = stored(
@@ -133,7 +133,7 @@ def in_shards(points: DataFrame) -> DataFrame:
         each = centres.join(large, ["label", "shard"]).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
         keys = ["label", "shard", "part"]
         rows = own.groupBy(keys).cogroup(each.select(*keys, "centre").groupBy(keys)).applyInArrow(_deal, _POINT)
-    return stored(done.union(rows).dropDuplicates(["label", "shard", "point"]))
+    return stored(done.union(rows))
 
 
 def robust_prune(near: np.ndarray, similar: np.ndarray, degree: int = NEIGHBOURS) -> np.ndarray:
@@ -164,10 +164,11 @@ def build_graph(vectors: np.ndarray) -> list[list[int]]:
     count = len(vectors)
     if count < 2:
         return [[] for _ in range(count)]
-    similar = (vectors @ vectors.T).astype(np.float32)
+    single = vectors.astype(np.float32)
+    similar = single @ single.T
     np.fill_diagonal(similar, -2)
     # The nearest ones stay unpruned: in a dense cluster, pruning alone leaves parts that do not reach each other.
-    near = _nearest(similar, np.ones((count, count), bool), min(POOL, count - 1))
+    near = _nearest(similar, None, min(POOL, count - 1))
     kept = robust_prune(near, similar)
     kept[:, :NEAREST] = True
     both = np.zeros((count, count), bool)
@@ -185,10 +186,11 @@ def build_graph(vectors: np.ndarray) -> list[list[int]]:
     return [np.flatnonzero(own).tolist() for own in both]
 
 
-def _nearest(similar: np.ndarray, wanted: np.ndarray, width: int) -> np.ndarray:
+def _nearest(similar: np.ndarray, wanted: np.ndarray | None, width: int) -> np.ndarray:
     """For each row the most similar ``width`` of the wanted columns, by falling similarity; -1 where there are fewer."""
-    value = np.where(wanted, similar, -3)
-    near = np.argpartition(-value, min(width, value.shape[1]) - 1, axis=1)[:, :width]
+    value = similar if wanted is None else np.where(wanted, similar, np.float32(-3))
+    width = min(width, value.shape[1])
+    near = np.argpartition(value, value.shape[1] - width, axis=1)[:, value.shape[1] - width :]
     found = np.take_along_axis(value, near, 1)
     order = np.argsort(-found, axis=1, kind="stable")
     return np.where(np.take_along_axis(found, order, 1) > -3, np.take_along_axis(near, order, 1), -1)
@@ -217,7 +219,7 @@ def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) ->
     if count < 2:
         return np.empty(0, int), np.empty(0, int)
     lists = np.zeros((count, count), bool)
-    lists[np.repeat(np.arange(count), [len(own) for own in graph]), [p for own in graph for p in own]] = True
+    lists[np.repeat(np.arange(count), [len(own) for own in graph]), np.concatenate(graph).astype(int)] = True
     lists = _packed(lists)
     single = vectors.astype(np.float32)
     medoid = int((single @ single.mean(0)).argmax())
@@ -290,11 +292,16 @@ def _build(rows: pa.Table) -> pa.Table:
 
 
 def _search(reach: float):
-    def run(rows: pa.Table) -> pa.Table:
-        rows = rows.sort_by("point")
+    def run(rows: pa.Table, lists: pa.Table) -> pa.Table:
+        rows, lists = rows.sort_by("point"), lists.sort_by("own")
         points = rows.column("point").to_numpy()
-        place = {p: i for i, p in enumerate(points.tolist())}
-        graph = [[place[p] for p in own or [] if p in place] for own in rows.column("near").to_pylist()]
+        # The united lists of the same points, of which those in the shard are followed.
+        near = lists.column("near").combine_chunks()
+        flat, sizes = near.flatten().to_numpy(), pc.list_value_length(near).to_numpy()
+        at = np.minimum(np.searchsorted(points, flat), max(len(points) - 1, 0))
+        here = points[at] == flat
+        ends = np.cumsum(np.bincount(np.repeat(np.arange(len(sizes)), sizes)[here], minlength=len(points)))
+        graph = np.split(at[here], ends[:-1])
         vectors = _matrix(rows.column("embedding"))
         low, high = search(vectors, graph, reach)
         keep = np.einsum("ij,ij->i", vectors[low], vectors[high]) >= reach
@@ -431,9 +438,11 @@ def near_duplicates(embeddings: DataFrame, id: str = "vec_id", reach: float = RA
     shards = in_shards(points)
     built = shards.groupBy("label", "shard").applyInArrow(_build, "point bigint, near array<bigint>")
     united = stored(built.groupBy("point").agg(F.array_sort(F.array_distinct(F.flatten(F.collect_list("near")))).alias("near")))
+    own = shards.select(F.col("label").alias("group"), F.col("shard").alias("part"), F.col("point").alias("own"))
+    lists = own.join(united, F.col("own") == F.col("point")).select("group", "part", "own", "near")
     pairs = stored(
-        shards.join(united, "point")
-        .groupBy("label", "shard")
+        shards.groupBy("label", "shard")
+        .cogroup(lists.groupBy("group", "part"))
         .applyInArrow(_search(reach), "low bigint, high bigint")
         .distinct()
     )
