@@ -20,6 +20,7 @@ import math
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -297,8 +298,9 @@ def _search(reach: float):
         points = rows.column("point").to_numpy()
         # The united lists of the same points, of which those in the shard are followed.
         near = lists.column("near").combine_chunks()
-        flat, sizes = near.flatten().to_numpy(), pc.list_value_length(near).to_numpy()
-        at = np.minimum(np.searchsorted(points, flat), max(len(points) - 1, 0))
+        flat = near.flatten().to_numpy(zero_copy_only=False)
+        sizes = pc.list_value_length(near).to_numpy(zero_copy_only=False)
+        at = np.minimum(np.searchsorted(points, flat), len(points) - 1)
         here = points[at] == flat
         ends = np.cumsum(np.bincount(np.repeat(np.arange(len(sizes)), sizes)[here], minlength=len(points)))
         graph = np.split(at[here], ends[:-1])
