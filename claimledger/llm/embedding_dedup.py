@@ -4,9 +4,9 @@ Vectors are compared within a label only. Equal vectors are one point. The point
 bounded size by their nearest centroids (learned from a bounded sample), several shards each, so that neighbours meet
 in a shard. In each shard a graph is built: every point's nearest ones, pruned so that a neighbour is left out where
 another neighbour is much closer to it (robust pruning), with links in both directions. A point's lists from all its
-shards are united. Then every point is searched for from the shard's medoid and its own list: the best known
-point is expanded next, until the best ``BEAM`` are; points within the range are all expanded, however many there are. What is
-found is verified in double precision.
+shards are united. Then every point is searched for from the shard's medoid and its own list, all points of a shard at a time and in
+waves: a wave expands what is among a point's best ``BEAM`` or within the range, however many there are, until all of that is
+expanded. What is found is verified in double precision.
 
 A shard knows only its own points, so its links tell which points belong to one group, and no more. The links are then counted
 over each whole group, all pairs of it, whatever shards its points were in: a group of at most ``SHARD_ROWS`` at once, a
