@@ -4,14 +4,18 @@ A paragraph is a line, or, where a notice is wrapped, a line and those after it
 notice can reach from the line's last words. A multinomial logistic regression over hashed word n-grams tells which licence family a paragraph
 names, or that it names none ("unknown"). It is learned from the notices below, whole and in parts, against a bounded
 sample of the corpus's own paragraphs and sentences that only mention licences. Its chances are calibrated by a
-temperature chosen on held-out examples. A paragraph that is likelier than not of a family is compared
+temperature: the one that suits best a classifier learned without a notice of every family, on just those notices. A paragraph that is likelier than not of a family is compared
 with that family's notices: the share of a notice's word pairs that the paragraph holds must reach ``CONFIRM``.
 
-A paragraph without any word of ``CUE`` is unknown by definition, so the corpus is scanned once with a pattern, and only
-paragraphs with a cue are classified.
+What can be confirmed decides what is classified, and nothing is lost by that. A paragraph that is confirmed holds at least ``CONFIRM`` of
+the n word pairs of some notice, so it lacks at most n - ceil(CONFIRM * n) of them, and of any set with one pair more than
+that it holds one. ``gate_pairs`` takes such a set of each notice, of its more unusual pairs; a paragraph with none of them
+need not be looked at, whatever the classifier would say. So the corpus is scanned once with a pattern of these pairs.
 """
 
+import math
 import re
+from collections import defaultdict
 from collections.abc import Callable
 
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
@@ -22,12 +26,14 @@ from pyspark.sql import functions as F
 
 from claimledger.llm.common import stored
 
-# Every notice matches it, also where a line ends between its words.
-CUE = (
+# Words of licences. Only the corpus's lines without any are taken as examples of text that names none.
+LICENCE_WORDS = (
     r"(?i)licen[sc]|copyright|copyleft|warrant|redistribut|public\W+domain|creative\W+commons|\bspdx\b|all\W+rights\W+reserved"
     r"|hereby\W+granted|free\W+of\W+charge|associated\W+documentation|source\W+and\W+binary|source\W+code\W+form|free\W+software"
     r"|no\W+part\W+of\W+this|gpl|\bgnu\b|\bmpl\b|\bbsd\b|mozilla\W+public|\bcc0|\bcc\W+by\b|apache\W+2|(?-i:\bMIT\b)"
 )
+# Words that most texts hold: a pair with fewer of them is more unusual.
+USUAL = frozenset("# a all and any are as be by can in is it law may no not of or part this the to under version with without work you".split())
 BITS = 12
 CONFIRM = 0.5
 MAX_BACKGROUND = 400
@@ -97,8 +103,15 @@ NOTICES: dict[str, tuple[str, ...]] = {
         "All rights reserved. No part of this publication may be reproduced without written permission",
     ),
 }
+
+
+def notice_words(notice: str) -> list[str]:
+    """What ``words`` gives for a notice."""
+    return ["#" if w[0].isdigit() else w for w in re.findall(r"[^\W\d_]+|[0-9]+(?:\.[0-9]+)*", notice.lower())]
+
+
 # Words of the longest notice.
-LONGEST = max(len(re.findall(r"[^\W\d_]+|[0-9]+(?:\.[0-9]+)*", notice)) for own in NOTICES.values() for notice in own)
+LONGEST = max(len(notice_words(notice)) for own in NOTICES.values() for notice in own)
 # Sentences that mention licences and name none.
 MENTIONS = (
     "The driver showed a valid license to the officer.",
@@ -118,6 +131,35 @@ MENTIONS = (
 )
 
 
+def gate_pairs(tokens: list[str]) -> list[tuple[str, str]]:
+    """Word pairs of a notice of which every paragraph that it can confirm holds one."""
+    own = sorted(set(zip(tokens, tokens[1:], strict=False)), key=lambda p: (len(USUAL.intersection(p)), -len(p[0] + p[1]), p))
+    return own[: len(own) - max(1, math.ceil(CONFIRM * len(own))) + 1]
+
+
+def _gate() -> str:
+    """A pattern that every text in lower case matches that has one of the notices' ``gate_pairs``."""
+    then = defaultdict(set)
+    for own in NOTICES.values():
+        for notice in own:
+            for first, second in gate_pairs(notice_words(notice)):
+                # Numbers stand apart from letters without anything between.
+                then[first].add(("[^\\p{L}0-9#]*" if "#" in (first, second) else "[^\\p{L}0-9#]+") + second.replace("#", "[0-9#]"))
+    at = defaultdict(list)
+    for first, rest in sorted(then.items()):
+        at[first[0]].append(first[1:] + f"(?:{'|'.join(sorted(rest))})")
+    starts = [(c.replace("#", "[0-9#]") if c == "#" else rf"{c}(?<![\p{{L}}#]{c})") + f"(?:{'|'.join(ends)})" for c, ends in sorted(at.items())]
+    return "|".join(starts)
+
+
+GATE = _gate()
+
+
+def may_name(text: Column) -> Column:
+    """Whether a text can be confirmed as any notice. Never false where it can."""
+    return F.lower(text).rlike(GATE)
+
+
 def _once(value: Column, use: Callable[[Column], Column]) -> Column:
     """``use(value)`` with ``value`` computed a single time, however often it is used."""
     return F.get(F.transform(F.array(value), use), F.lit(0))
@@ -152,13 +194,13 @@ def grams(tokens: Column) -> Column:
 
 
 def paragraphs(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
-    """(row, doc_id, paragraph, last, start, words, head, content) of the lines with a cue, alone and with the lines after them.
+    """(row, doc_id, paragraph, last, start, words, head, content) of the lines that can be notices, alone and with the lines after them.
 
     A line alone has no ``head`` and is its own ``last``. Else ``words`` are the line's last words, ``head`` of them, and the
     first words after it, up to a blank line and at most ``LONGEST`` of each: a notice that begins in the line and ends
     in a later one is among them whole. ``row`` numbers the documents' rows. Starts are code points.
     """
-    given = documents.where(F.col(text).rlike(CUE)).select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("_text"))
+    given = documents.where(may_name(F.col(text))).select(F.col(id).cast("bigint").alias("doc_id"), F.col(text).alias("_text"))
     lines = given.select(F.monotonically_increasing_id().alias("row"), "doc_id", F.split("_text", "\n").alias("_lines"))
     starts = F.aggregate(
         "_lines",
@@ -181,7 +223,7 @@ def paragraphs(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
         )
 
     alone = F.transform(
-        F.filter("_told", lambda line: line["content"].rlike(CUE)),
+        F.filter("_told", lambda line: may_name(line["content"])),
         lambda line: made(line, line["at"], line["words"], F.lit(None).cast("int"), line["content"]),
     )
 
@@ -208,39 +250,42 @@ def paragraphs(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
 
     several = F.filter(
         F.transform("_told", lambda line: _once(after(line), lambda then: wrapped(line, then))),
-        lambda p: (p["last"] > p["paragraph"]) & p["content"].rlike(CUE),
+        lambda p: (p["last"] > p["paragraph"]) & may_name(p["content"]),
     )
     return told.select("row", "doc_id", F.explode(F.concat(alone, several)).alias("p")).select("row", "doc_id", "p.*")
 
 
 def _examples(spark: SparkSession, documents: DataFrame, text: str) -> DataFrame:
-    """(family, words, held_out): notices whole, by half and inside other text, and background."""
-    notices = [(family, notice) for family, own in NOTICES.items() for notice in own]
-    plain = spark.createDataFrame([*notices, *((UNKNOWN, m) for m in MENTIONS)], "family string, text string")
+    """(family, words, held_out): notices whole, by half and inside other text, and background.
+
+    Held out, in every form, are one notice of each family and every third example of background.
+    """
+    notices = [(family, notice, i % 3 == 1) for family, own in NOTICES.items() for i, notice in enumerate(own)]
+    mentions = [(UNKNOWN, mention, i % 3 == 1) for i, mention in enumerate(MENTIONS)]
+    plain = spark.createDataFrame([*notices, *mentions], "family string, text string, held_out boolean")
     lines = (
         documents.where(F.col(text).isNotNull())
         .select(F.xxhash64(text).alias("order"), F.get(F.split(text, "\n"), F.lit(0)).alias("text"))
-        .where(~F.col("text").rlike(CUE) & (F.length("text") > 0))
+        .where(~F.col("text").rlike(LICENCE_WORDS) & (F.length("text") > 0))
     )
     # A fixed choice of the corpus's own paragraphs, bounded: those whose texts hash lowest.
-    background = lines.orderBy("order", "text").limit(MAX_BACKGROUND).select(F.lit(UNKNOWN).alias("family"), F.substring("text", 1, 400).alias("text"))
-    tokens = plain.union(background).select("family", words(F.col("text")).alias("words"))
+    background = lines.orderBy("order", "text").limit(MAX_BACKGROUND).select(
+        F.lit(UNKNOWN).alias("family"), F.substring("text", 1, 400).alias("text"), (F.pmod("order", F.lit(3)) == 1).alias("held_out")
+    )
+    tokens = plain.union(background).select("family", "held_out", words(F.col("text")).alias("words"))
     half = F.ceil(F.size("words") / 2).cast("int")
     filler = F.array(*[F.lit(w) for w in ("see", "also", "the", "notes", "below")])
-    # A notice's beginning alone still names its family if it is long; unknown text stays unknown however it is cut.
+    # A long notice names its family also by its beginning or end alone; unknown text stays unknown however it is cut.
+    cut = (F.size("words") > 12) | (F.col("family") == UNKNOWN)
     variants = F.array(
-        F.struct(F.lit(0).alias("kind"), F.col("words").alias("words")),
-        F.struct(F.lit(1).alias("kind"), F.concat(filler, F.col("words")).alias("words")),
-        F.struct(F.lit(2).alias("kind"), F.concat(F.col("words"), filler).alias("words")),
-        F.struct(F.lit(3).alias("kind"), F.when((F.size("words") > 12) | (F.col("family") == UNKNOWN), F.slice("words", F.lit(1), half)).alias("words")),
-        F.struct(F.lit(4).alias("kind"), F.concat(F.col("words"), F.col("words")).alias("words")),
-    )
-    return (
-        tokens.select("family", F.explode(variants).alias("v"))
-        .select("family", "v.words", "v.kind")
-        .where(F.size("words") > 0)
-        .withColumn("held_out", F.col("kind") == 2)
+        F.col("words"),
+        F.concat(filler, F.col("words")),
+        F.concat(F.col("words"), filler),
+        F.when(cut, F.slice("words", F.lit(1), half)),
+        F.when(cut, F.slice("words", half - F.floor(half / 3).cast("int") + 1, F.size("words"))),
+        F.concat(F.col("words"), F.col("words")),
     )
+    return tokens.select("family", "held_out", F.explode(variants).alias("words")).where(F.size("words") > 0)
 
 
 class LicenceModel:
@@ -296,8 +341,11 @@ def train(documents: DataFrame, text: str = "text") -> LicenceModel:
     notices = spark.createDataFrame([(f, n) for f, own in NOTICES.items() for n in own], "family string, text string")
     pairs = notices.select("family", F.array_distinct(_pairs(words(F.col("text")))).alias("pairs")).collect()
     templates = [(r.family, r.pairs) for r in pairs]
-    model = LicenceModel(regression.fit(_hashed(rows.where("not held_out")).coalesce(1)), families, templates, 1.0)
-    held = model.chances(rows.where("held_out"), TEMPERATURES).select("label", "chances")
+
+    def learned(examples: DataFrame, temperature: float = 1.0) -> LicenceModel:
+        return LicenceModel(regression.fit(_hashed(examples).coalesce(1)), families, templates, temperature)
+
+    held = learned(rows.where("not held_out")).chances(rows.where("held_out"), TEMPERATURES).select("label", "chances")
     # Log loss of every temperature in one pass.
     place = (F.col("label") + 1).cast("int")
     losses = held.select(
@@ -306,8 +354,7 @@ def train(documents: DataFrame, text: str = "text") -> LicenceModel:
             for i in range(len(TEMPERATURES))
         ]
     ).first()
-    model.temperature = min(zip(losses, TEMPERATURES, strict=True), key=lambda x: (x[0] is None, x[0], x[1]))[1]
-    return model
+    return learned(rows, min(zip(losses, TEMPERATURES, strict=True), key=lambda x: (x[0] is None, x[0], x[1]))[1])
 
 
 def similarity(tokens: Column, family: Column, templates: list[tuple[str, list[str]]]) -> Column:
@@ -328,7 +375,7 @@ def find_licences(documents: DataFrame, model: LicenceModel, id: str = "doc_id",
     up to where the longest notice could end, unless a line among them names the family by itself. NULL and empty texts
     have no paragraphs. Repeated rows give their rows again; a NULL id stays NULL. Only what is confirmed is shuffled.
     """
-    # Only paragraphs with a cue: written, so that each is classified once.
+    # Only paragraphs that can be confirmed: written, so that each is classified once.
     scored = stored(model.chances(paragraphs(documents, id, text)))
     best = F.array_max(F.transform("chances", lambda c, i: F.struct(c.alias("probability"), (-i).alias("place"))))
     family = F.element_at(F.array(*map(F.lit, model.families)), (1 - F.col("best.place")).cast("int"))

@@ -555,12 +555,45 @@ def test_all_rights_reserved_alone(spark, documents):
 
 def test_every_notice_is_confirmed(spark, documents):
     notices = [(family, notice) for family, own in license_scan.NOTICES.items() for notice in own]
-    assert all(re.search(license_scan.CUE, notice) for _, notice in notices)
+    plain = spark.createDataFrame([(n,) for _, n in notices], "text string").select("text", license_scan.words(F.col("text")).alias("words"))
+    assert all(r.words == license_scan.notice_words(r.text) for r in plain.collect())
     given = documents([*((i, n) for i, (_, n) in enumerate(notices)), *((100 + i, " ".join(words(i, 40))) for i in range(60)), (200, "x y\nAll rights reserved.\nz")])
     found = {(r.doc_id, r.paragraph): r.family for r in license_scan.find_licences(given, license_scan.train(given)).collect()}
     assert found == {**{(i, 0): family for i, (family, _) in enumerate(notices)}, (200, 1): "proprietary"}
 
 
+def test_the_gate_hides_nothing_that_can_be_confirmed(spark, documents):
+    rng, given = random.Random(9), []
+    for notice in (n for own in license_scan.NOTICES.values() for n in own):
+        for _ in range(120):
+            kept = [w for w in notice.split() if rng.random() < rng.choice((0.6, 0.8, 1.0))]
+            if rng.random() < 0.5:
+                at = rng.randrange(len(kept) + 1)
+                kept[at:at] = rng.choices(("see", "İ", "K", "7", "#", "the", "x2y"), k=rng.randint(1, 3))
+            if rng.random() < 0.3:
+                kept = kept[(cut := rng.randrange(len(kept) + 1)) :] + kept[:cut]
+            joined = rng.choice((" ", " ", "\n", "\t ", ", ", " -- ", "_")).join(kept)
+            given.append((rng.choice((joined, joined.upper(), joined.title())),))
+    rows = spark.createDataFrame(given, "text string").withColumn("words", license_scan.words(F.col("text")))
+    templates = [(f, spark.range(1).select(license_scan._pairs(F.array(*map(F.lit, license_scan.notice_words(n))))).first()[0]) for f, own in license_scan.NOTICES.items() for n in own]
+    templates = [(f, sorted(set(pairs))) for f, pairs in templates]
+    best = F.greatest(*[license_scan.similarity(F.col("words"), F.lit(f), templates) for f in license_scan.NOTICES])
+    told = rows.select("text", best.alias("similarity"), license_scan.may_name(F.col("text")).alias("seen"), F.col("text").rlike(license_scan.LICENCE_WORDS).alias("word")).collect()
+    can = [r for r in told if r.similarity >= license_scan.CONFIRM]
+    assert len(can) > 2000 and [r.text for r in can if not r.seen] == []
+    assert any(not r.word for r in can) and any(not r.seen for r in told)
+
+
+def test_notices_without_a_licence_word_are_found(spark, documents):
+    part = "To the extent possible under law, the author has waived all"
+    assert not re.search(license_scan.LICENCE_WORDS, part)
+    end = "redistribute it and/or modify it under the terms of the GNU General Public"
+    rows = [(1, "a\n" + part + "\nb"), (2, end), (3, "the author has waived all"), *((100 + i, " ".join(words(i, 40))) for i in range(60))]
+    given = documents(rows)
+    found = license_scan.find_licences(given, license_scan.train(given)).collect()
+    assert sorted((r.doc_id, r.paragraph, r.family) for r in found) == [(1, 1, "CC0"), (2, 0, "GPL")]
+
+
 def test_wrapped_notices(spark, documents):
     grant = (
         "Copyright (c) 2020 Acme\n\nPermission is hereby granted, free of charge, to any person obtaining a copy\n"
