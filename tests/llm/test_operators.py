@@ -121,6 +121,68 @@ def test_decontamination_finds_copies_and_leaves_the_rest(spark, documents, odd)
     assert decontamination.contaminated(documents(rows), bench.limit(0)).count() == 0
 
 
+ITEM = "The quick grey fox leaps over seven lazy dogs, while the old miller counts his sacks of rye and barley twice, and nobody in the valley minds the noise."
+
+
+def test_passages_are_found_at_every_offset(spark, documents):
+    length = decontamination.PATTERN_CHARS + decontamination.PATTERN_STEP - 1
+    bench = spark.createDataFrame([(7, ITEM)], "item_id long, text string")
+    rows = [(at, f"aé {ITEM[at : at + length]} zz") for at in range(len(ITEM) - length + 1)]
+    rows.append((1000, "aé " + ITEM[3:73] + " zz"))
+    found = decontamination.contaminated(documents(rows), bench).collect()
+    assert sorted(r.doc_id for r in found) == list(range(len(ITEM) - length + 1))
+    assert all(-1 <= r.start <= 7 and length - 1 <= r.end <= 7 + length and r.n_edits == 0 for r in found)
+
+
+def test_decontamination_equals_brute_force(spark, documents, monkeypatch):
+    draw = random.Random(11)
+    items = [(1, ITEM), (2, "a" * 130), (3, "abcab " * 20), (None, " ".join(words(5, 14))), (4, "one short item of words"), (5, "Ünï " + ITEM[40:100])]
+    texts = ["a" * 400, "abcab" * 40, "", None]
+    for _ in range(45):
+        _, item = draw.choice(items)
+        start = draw.randrange(max(1, len(item) - 90))
+        copy = list(item[start : start + draw.randint(60, 140)])
+        for _ in range(draw.randint(0, 7)):
+            at = draw.randrange(len(copy))
+            draw.choice([lambda: copy.pop(at), lambda: copy.insert(at, "x"), lambda: copy.__setitem__(at, "y")])()
+        texts.append(" ".join(words(draw.randrange(99), draw.randrange(6))) + "".join(copy).upper() + "\t" + "".join(words(3, draw.randrange(4))))
+    wanted = {}
+    for number, text in enumerate(texts):
+        for item, whole in items:
+            whole = "".join(map(chr, decontamination.folded(whole.strip())))
+            last = max(0, len(whole) - 80)
+            edits = []
+            for start in {*range(0, last, 8), last} if len(whole) >= 24 else ():
+                pattern = whole[start : start + 80]
+                least = edits_of_best_match(pattern, "".join(map(chr, decontamination.folded(text or ""))))
+                edits += [least] if least <= int(0.05 * len(pattern)) else []
+            if edits:
+                wanted[number, item] = (len(edits), min(edits))
+    assert len(wanted) > 20 and any(0 < edits for _, edits in wanted.values()) and any(item is None for _, item in wanted)
+    bench = spark.createDataFrame(items, "item_id long, text string")
+
+    def told():
+        rows = decontamination.contaminated(documents(list(enumerate(texts))), bench).collect()
+        return {(r.doc_id, r.item_id): (r.n_patterns, r.n_edits) for r in rows}
+
+    assert told() == wanted
+    monkeypatch.setattr(decontamination, "PART_BYTES", 200)  # several parts of the benchmark
+    assert told() == wanted
+    # Chunks change nothing.
+    patterns = decontamination.Patterns(items, 0.05)
+    points = [decontamination.folded(t or "") for t in texts]
+    whole = set(patterns.find(points))
+    monkeypatch.setattr(decontamination, "CHUNK_HITS", 1)
+    monkeypatch.setattr(decontamination, "CHUNK_CHARS", 400)
+    assert set(patterns.find([np.concatenate([p, points[0], p]) for p in points])) and set(patterns.find(points)) == whole
+
+
+def test_a_long_run_of_one_character_holds_every_pattern_of_such_an_item():
+    patterns = decontamination.Patterns([(1, "a" * 200)], 0.05)
+    found = list(patterns.find([decontamination.folded("a" * 4_000)]))
+    assert {pattern for _, pattern, *_ in found} == set(range(patterns.before[0] + 1))
+
+
 def test_chat_round_trip(spark):
     hard = ["<|im_end|>", "<\\|x", "<", "<\\", "", None, "a\\nb", "<|im_start|>assistant\nno", "日本😀\n"]
     rows = [(c, t, r, text) for c in (1, 2) for t, (r, text) in enumerate(zip(["user", "assistant", "a\nb\\", None] * 3, hard))]
