@@ -8,15 +8,18 @@ answer kept), else a shorter one, and step back where none fits. A bitfield of p
 bounds the walk to one visit per position.
 
 No piece of the vocabulary holds the space mark after another character, so a text falls into chunks (space marks, then
-other characters) that are encoded on their own. That is checked when the vocabulary is loaded.
+other characters) that are encoded on their own. That is checked when the vocabulary is loaded. Nor does merging cross two
+neighbours that no piece holds side by side: chunks are cut where marks (punctuation, control characters and what pieces
+join to them) meet other characters, so a word is the same chunk whatever mark or line end follows it.
 """
 
 import heapq
 import re
 from array import array
-from collections.abc import Sequence
+from collections.abc import Iterable, Sequence
 from dataclasses import dataclass
 from functools import lru_cache
+from itertools import pairwise
 
 import ahocorasick
 import numpy as np
@@ -27,10 +30,9 @@ from pyspark.sql import DataFrame
 from claimledger.llm.common import add_columns
 
 SPACE = "▁"
-CUT = f"\0{SPACE}"
-CHUNK = re.compile(f"{SPACE}+[^{SPACE}]*|[^{SPACE}]+")
 
-# Chunks and pairs remembered per worker process, about 100 MB, as workers go on to other stages. Emptied when full.
+# Chunks and pairs remembered per worker process, about 100 MB, as workers go on to other stages. Pairs are emptied when
+# full. Chunks are held in two halves: when the younger is full, the older goes, and what is used again stays.
 REMEMBERED_CHUNKS = 200_000
 REMEMBERED_PAIRS = 400_000
 LONGEST_REMEMBERED = 64
@@ -63,6 +65,23 @@ class Vocabulary:
         return cls(pieces, tuple(model.get_score(i) for i in size), normal, byte_ids)
 
 
+def marks(pieces: Iterable[str]) -> set[str]:
+    """The ASCII characters that are no letters or digits, and all characters that pieces join to them."""
+    beside: dict[str, set[str]] = {}
+    for piece in pieces:
+        for a, b in pairwise(piece):
+            if SPACE not in (a, b):
+                beside.setdefault(a, set()).add(b)
+                beside.setdefault(b, set()).add(a)
+    found = {chr(i) for i in range(128) if not chr(i).isalnum()}
+    ahead = list(found)
+    while ahead:
+        new = beside.get(ahead.pop(), set()) - found
+        found |= new
+        ahead += new
+    return found
+
+
 class Decoder:
     """Decodes with one vocabulary. Much smaller than a codec."""
 
@@ -111,13 +130,18 @@ class Codec(Decoder):
         self.matches = ahocorasick.Automaton()
         self._pairs: dict[tuple[int, int], bool] = {}
         self._chunks: dict[str, bytes] = {}
+        self._older: dict[str, bytes] = {}
+        self._characters = {piece for piece in self.id_of if len(piece) == 1}
+        inside = "".join(map(re.escape, sorted(marks(self.id_of))))
+        self._cut = re.compile(f"{SPACE}*[^{SPACE}{inside}]+|{SPACE}*[{inside}]+|{SPACE}+")
         self._length = [len(piece) for piece in vocabulary.pieces]
         # A piece that merging does not rebuild can never come out.
         usable = {p: i for p, i in self.id_of.items() if len(p) == 1 or self._merge(p) == [p]}
         #: For each piece the longest shorter piece that it begins with, or -1.
         self._shorter = [-1] * len(vocabulary.pieces)
         for piece, i in usable.items():
-            self.matches.add_word(piece, i)
+            if len(piece) > 1:  # a single character is a match wherever it stands
+                self.matches.add_word(piece, i)
             prefixes = (usable.get(piece[:length]) for length in range(len(piece) - 1, 0, -1))
             self._shorter[i] = next((p for p in prefixes if p is not None), -1)
         self.matches.make_automaton()
@@ -162,17 +186,18 @@ class Codec(Decoder):
 
     def _walk(self, text: str) -> list[int]:
         """The ids of a text all of whose characters are pieces, by backtracking."""
-        size, lengths, shorter, pairs = len(text), self._length, self._shorter, self._pairs
-        longest = [-1] * size
-        for end, i in self.matches.iter(text):  # ends ascend, so the longest match from a start comes last
-            longest[end - lengths[i] + 1] = i
-        failed = bytearray(size // 8 + 1)
+        size, lengths, shorter, pairs, id_of = len(text), self._length, self._shorter, self._pairs, self.id_of
+        # By the position before the start. Ends ascend, so the longest match from a start comes last.
+        longest = {end - lengths[i]: i for end, i in self.matches.iter(text)}.get
+        failed: bytearray | None = None
         ids: list[int] = []
-        at, i, last = 0, longest[0], -1
+        at, i, last = 0, longest(-1), -1
+        if i is None:
+            i = id_of[text[0]]
         while at < size:
             while i >= 0:
                 stop = at + lengths[i]
-                if not failed[stop >> 3] & (1 << (stop & 7)):
+                if failed is None or not failed[stop >> 3] & (1 << (stop & 7)):
                     if last < 0:
                         break
                     fits = pairs.get((last, i))
@@ -183,9 +208,13 @@ class Codec(Decoder):
                 ids.append(i)
                 last, at = i, stop
                 if at < size:
-                    i = longest[at]
+                    i = longest(at - 1)
+                    if i is None:
+                        i = id_of[text[at]]
                 continue
             # Merging fixes the piece that ends at a position, so one that leads nowhere fails for good.
+            if failed is None:
+                failed = bytearray(size // 8 + 1)
             failed[at >> 3] |= 1 << (at & 7)
             if not ids:
                 raise AssertionError(f"no encoding for {text!r}")
@@ -196,7 +225,19 @@ class Codec(Decoder):
 
     def _chunk(self, chunk: str) -> bytes:
         """The ids of a chunk, packed as 32-bit numbers."""
-        ids = array("i")
+        packed = self._older.get(chunk)
+        if packed is None:
+            packed = array("i", self._ids(chunk)).tobytes()
+        if len(chunk) <= LONGEST_REMEMBERED:
+            if len(self._chunks) >= REMEMBERED_CHUNKS // 2:
+                self._older, self._chunks = self._chunks, {}
+            self._chunks[chunk] = packed
+        return packed
+
+    def _ids(self, chunk: str) -> list[int]:
+        if self._characters.issuperset(chunk):
+            return self._walk(chunk)
+        ids: list[int] = []
         start = 0
         for at, character in enumerate(chunk):
             if character not in self.id_of:  # never merges: its bytes
@@ -206,24 +247,14 @@ class Codec(Decoder):
                 start = at + 1
         if start < len(chunk):
             ids.extend(self._walk(chunk[start:]))
-        packed = ids.tobytes()
-        if len(chunk) <= LONGEST_REMEMBERED:
-            if len(self._chunks) >= REMEMBERED_CHUNKS:
-                self._chunks.clear()
-            self._chunks[chunk] = packed
-        return packed
+        return ids
 
     def encode_into(self, text: str, out: bytearray) -> None:
         """Append the ids of ``text`` as 32-bit numbers, none for an empty one."""
         if not text:
             return
-        remembered = self._chunks.get
-        if SPACE in text or "\0" in text or "  " in text or text[0] == " " or text[-1] == " ":
-            chunks = CHUNK.findall(f"{SPACE}{text.replace(' ', SPACE)}")
-        else:  # single spaces only: every word with the mark before it
-            chunks = f"{SPACE}{text.replace(' ', CUT)}".split("\0")
-        for chunk in chunks:
-            known = remembered(chunk)
+        for chunk in self._cut.findall(f"{SPACE}{text.replace(' ', SPACE)}"):
+            known = self._chunks.get(chunk)
             out += self._chunk(chunk) if known is None else known
 
     def encode(self, text: str) -> list[int]:
