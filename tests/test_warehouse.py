@@ -247,3 +247,41 @@ def test_a_practice_with_many_rows_is_split_over_files(spark, staged, tmp_path):
             spark.conf.unset(key)
     assert len(list((tmp_path / "fact").glob("version-*/Practice_ID=0001/*.parquet"))) > 2
     assert len(list((tmp_path / "fact").glob("version-*/Practice_ID=0002/*.parquet"))) <= 2
+
+
+def small_table(spark):
+    return warehouse_rows(small_fact(spark, [{"charge_id": c, "source_id": s} for c, s in (("A", "1"), ("B", "3"))]))
+
+
+def test_a_few_practices_are_written_where_they_are(spark, staged, tmp_path):
+    """Each task leaves a file per practice, and the rows do not move for it; of unknown practices they do."""
+    fact = charge_fact(staged, ["0001"]).localCheckpoint().repartition(4)
+    for name, practices, files in (("few", 1, 4), ("many", 9, 1), ("unknown", None, 1)):
+        same_rows(load_fact(fact, str(tmp_path / name), practices), warehouse_rows(fact))
+        assert len(list((tmp_path / name).glob("version-*/Practice_ID=0001/*.parquet"))) == files
+
+
+def test_rows_are_checked_without_folders_too(spark, tmp_path):
+    rows = warehouse_rows(small_fact(spark, [{"charge_id": "A", "source_id": s, "amt": None} for s in "123"]))
+    by_practice = warehouse.store_checked(rows, str(tmp_path / "folders"))
+    assert warehouse.store_checked(rows, str(tmp_path / "plain"), by=()) == by_practice
+    assert not list((tmp_path / "plain").glob("Practice_ID=*"))
+    same_rows(spark.read.schema(F_TRANSACTIONS).parquet(str(tmp_path / "plain")), rows)
+
+
+def test_only_what_can_be_null_is_counted(spark):
+    rows = spark.sql("select 'C' as Charge_ID, cast(null as string) as Guar_Type, 'P' as Practice_ID")
+    counted = rows.agg(*warehouse._possible_nulls(rows))
+    assert counted.columns == ["Guar_Type"] and counted.first().Guar_Type == 1
+    assert rows.drop("Guar_Type").agg(*warehouse._possible_nulls(rows.drop("Guar_Type"))).count() == 1
+
+
+def test_keys_are_compared_where_hashes_meet(spark, tmp_path, monkeypatch):
+    """A hash of two keys is no violation, and without repeated hashes the keys are not grouped."""
+    rows = small_table(spark)
+    grouped, real = [], warehouse._repeated_keys
+    monkeypatch.setattr(warehouse, "_repeated_keys", lambda found: (grouped.append(1), real(found))[1])
+    assert warehouse.store_checked(rows, str(tmp_path / "a"))[-1][2] == 0 and not grouped
+    met = spark.sql("select 1L as violations")
+    monkeypatch.setattr(warehouse, "_repeated_hashes", lambda found: met)
+    assert warehouse.store_checked(rows, str(tmp_path / "b"))[-1][2] == 0 and grouped
