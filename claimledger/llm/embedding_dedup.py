@@ -110,7 +110,7 @@ def in_shards(points: DataFrame) -> DataFrame:
     """The points in overlapping shards of at most ``SHARD_ROWS``. Shards over that size are split again.
 
     A shard's centroids come from at most about ``SAMPLE_ROWS`` of its points. One that does not get smaller (its points are
-    all alike) is left as it is after ``MAX_LEVELS``.
+    all alike) is cut by hash after ``MAX_LEVELS``.
     """
     done = None
     rows = points.select("label", F.lit("").alias("shard"), "point", "embedding")
@@ -134,7 +134,21 @@ def in_shards(points: DataFrame) -> DataFrame:
         each = centres.join(large, ["label", "shard"]).withColumn("part", F.explode(F.sequence(F.lit(0), parts - 1)))
         keys = ["label", "shard", "part"]
         rows = own.groupBy(keys).cogroup(each.select(*keys, "centre").groupBy(keys)).applyInArrow(_deal, _POINT)
-    return stored(done.union(rows))
+    return stored(done.union(_in_block_pairs(stored(rows))))
+
+
+def _in_block_pairs(rows: DataFrame) -> DataFrame:
+    """The rows, with each shard over ``SHARD_ROWS`` dealt by hash to blocks of half the size, and every two blocks made a
+    shard: all its pairs still meet, and no task holds more than a shard."""
+    key = ["label", "shard"]
+    sizes = rows.groupBy(key).agg(F.count("point").alias("members")).where(F.col("members") > SHARD_ROWS)
+    blocks = sizes.select(*key, F.ceil(F.col("members") * 2 / SHARD_ROWS).cast("int").alias("blocks"))
+    block = F.pmod(F.xxhash64("point"), F.col("blocks")).cast("int")
+    dealt = rows.join(blocks, key).withColumn("block", block)
+    other = dealt.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).where("block != other")
+    pair = F.concat_ws("+", F.col("shard"), F.least("block", "other").cast("string"), F.greatest("block", "other").cast("string"))
+    paired = other.select("label", pair.alias("shard"), "point", "embedding")
+    return rows.join(blocks, key, "left_anti").union(paired)
 
 
 def robust_prune(near: np.ndarray, similar: np.ndarray, degree: int = NEIGHBOURS) -> np.ndarray:
@@ -224,13 +238,21 @@ def search(vectors: np.ndarray, graph: list[list[int]], reach: float = RANGE) ->
     lists = _packed(lists)
     single = vectors.astype(np.float32)
     medoid = int((single @ single.mean(0)).argmax())
-    found = [
-        _search_some(np.arange(first, min(first + _QUERIES, count)), single, lists, medoid, reach)
-        for first in range(0, count, _QUERIES)
-    ]
-    query, point = (np.concatenate(part) for part in zip(*found, strict=True))
-    pairs = np.unique(np.minimum(query, point) * count + np.maximum(query, point))
-    return pairs // count, pairs % count
+    # Marked, not listed: where all points are alike there are as many pairs as marks.
+    met = np.zeros((count, count), bool)
+    for first in range(0, count, _QUERIES):
+        met[_search_some(np.arange(first, min(first + _QUERIES, count)), single, lists, medoid, reach)] = True
+    met |= met.T
+    return np.nonzero(np.triu(met, 1))
+
+
+def within(vectors: np.ndarray, low: np.ndarray, high: np.ndarray, reach: float) -> np.ndarray:
+    """Which pairs of rows are within ``reach``, a bounded number of pairs at a time: two vectors are copied for each."""
+    keep = np.empty(len(low), bool)
+    for first in range(0, len(low), _PAIRS):
+        some = slice(first, first + _PAIRS)
+        keep[some] = np.einsum("ij,ij->i", vectors[low[some]], vectors[high[some]]) >= reach
+    return keep
 
 
 def _search_some(queries: np.ndarray, single: np.ndarray, lists: np.ndarray, medoid: int, reach: float) -> tuple[np.ndarray, np.ndarray]:
@@ -306,7 +328,7 @@ def _search(reach: float):
         graph = np.split(at[here], ends[:-1])
         vectors = _matrix(rows.column("embedding"))
         low, high = search(vectors, graph, reach)
-        keep = np.einsum("ij,ij->i", vectors[low], vectors[high]) >= reach
+        keep = within(vectors, low, high, reach)
         least = least_reached(len(points), low[keep], high[keep])
         own = np.flatnonzero(least != np.arange(len(points)))
         return pa.table({"low": points[least[own]], "high": points[own]})
