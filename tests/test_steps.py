@@ -6,7 +6,9 @@ import pytest
 
 from claimledger.operators import joins
 from claimledger.plans import encounter_balances as plan
+from claimledger.plans.charge_fact import charge_fact
 from claimledger.plans.encounter_balances import encounter_balances
+from claimledger.plans.warehouse import load_fact
 from claimledger.sources.billing import read_billing
 from claimledger.sources.staging import ALL_PRACTICES, flawed
 from claimledger.sources.storage import CLEANUP_SETTING, shared_folder, shuffles_removed, stored_step
@@ -59,17 +61,33 @@ def test_steps_give_the_same_rows_of_flawed_tables(spark, staged, monkeypatch, s
     same_rows(encounter_balances(flawed(staged), ALL_PRACTICES), whole)
 
 
-def test_a_stored_step_leaves_no_shuffle_files(spark):
-    def shuffle_files():
-        folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
-        return {n for top in folders for _, _, names in os.walk(top.toString()) for n in names if n.startswith("shuffle_")}
+def shuffle_files(spark):
+    folders = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().localDirs()
+    return {n for top in folders for _, _, names in os.walk(top.toString()) for n in names if n.startswith("shuffle_")}
+
 
+def test_a_stored_step_leaves_no_shuffle_files(spark):
     rows = spark.range(10_000).groupBy("id").count()
-    before, setting = shuffle_files(), spark.conf.get(CLEANUP_SETTING)
+    before, setting = shuffle_files(spark), spark.conf.get(CLEANUP_SETTING)
     step = stored_step(rows, shared_folder(spark))
     assert spark.conf.get(CLEANUP_SETTING) == setting
-    assert shuffle_files() <= before
+    assert shuffle_files(spark) <= before
     assert step.count() == 10_000
     with pytest.raises(ZeroDivisionError), shuffles_removed(spark):
         raise ZeroDivisionError
     assert spark.conf.get(CLEANUP_SETTING) == setting
+
+
+def test_a_load_leaves_no_shuffle_files(spark, staged):
+    fact = charge_fact(staged, ALL_PRACTICES)
+    before = shuffle_files(spark)
+    table = load_fact(fact, shared_folder(spark, "f_transactions"), len(ALL_PRACTICES))
+    assert shuffle_files(spark) <= before
+    assert table.count() == fact.count()
+
+
+def test_the_insurance_balance_is_formed_after_the_last_move(spark, stored, settings):
+    lines = planned(charge_fact(read_billing(spark, stored), ALL_PRACTICES)).splitlines()
+    move = next(n for n, line in enumerate(lines) if "Exchange hashpartitioning(enc_id" in line)
+    assert any("AS chginsbal" in line for line in lines[:move])
+    assert not any("chginsbal" in line for line in lines[move:])
