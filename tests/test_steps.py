@@ -37,9 +37,10 @@ def moved_by(df, column):
     return planned(df).count(f"Exchange hashpartitioning({column}")
 
 
-@pytest.mark.parametrize("hashed_rows", [0, 10**9])
-def test_a_large_job_leaves_its_last_step_to_the_caller(spark, stored, monkeypatch, settings, hashed_rows):
-    monkeypatch.setattr(joins, "HASHED_ROWS", hashed_rows)
+@pytest.mark.parametrize("fits", [True, False])
+def test_a_large_job_leaves_its_last_step_to_the_caller(spark, stored, monkeypatch, settings, fits):
+    """Its code is short where the sides by guarantor are hashed, and where rows are sorted."""
+    monkeypatch.setattr(joins, "HASHED_BYTES", joins.HASHED_BYTES if fits else -1)
     billing = read_billing(spark, stored)
     whole = encounter_balances(billing, ALL_PRACTICES)
     monkeypatch.setattr(plan, "STEP_ROWS", 0)
@@ -47,6 +48,7 @@ def test_a_large_job_leaves_its_last_step_to_the_caller(spark, stored, monkeypat
     # Rows by guarantor are left, nothing that came before.
     assert not moved_by(steps, "enc_id") and moved_by(whole, "enc_id") and moved_by(steps, "guar_id")
     assert not any(scans(planned(steps), table) for table in ("charges", "trans_detail", "patient_encounter"))
+    assert ("ShuffledHashJoin [guar_id" in planned(steps)) == fits
     sizes = sizes_of_code(steps)
     assert max(sizes) < LONGEST, sizes
     same_rows(steps, whole)
